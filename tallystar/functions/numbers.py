@@ -17,13 +17,18 @@ NUMBER_SHAPE = (
 )
 
 
+def _rare_spelling(text: Column) -> Column:
+    """Numbers that try_cast does not know: digit groups with ``_`` and a signed NaN."""
+    grouped = F.regexp_replace(text, "(?<=[0-9])_(?=[0-9])", "").try_cast("double")
+    signed_nan = F.lower(F.trim(text)).isin("+nan", "-nan")
+    return F.when(text.contains("_"), grouped).when(signed_nan, F.lit(float("nan")))
+
+
 def parse_float(text: Column) -> Column:
     """Text -> double, NULL when the text is not a number."""
-    plain = F.when(
-        text.contains("_"), F.regexp_replace(text, "(?<=[0-9])_(?=[0-9])", "")
-    ).otherwise(text)
-    unsigned_nan = F.when(F.lower(F.trim(plain)).isin("+nan", "-nan"), F.lit("nan")).otherwise(plain)
-    return F.when(text.rlike(NUMBER_SHAPE), unsigned_nan.try_cast("double"))
+    return F.when(
+        text.rlike(NUMBER_SHAPE), F.coalesce(text.try_cast("double"), _rare_spelling(text))
+    )
 
 
 def safe_float(text: Column, default: float = 0.0) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from tallystar import schemas
-from tallystar.functions.numbers import safe_float
+from tallystar.functions.numbers import parse_float
 from tallystar.functions.timestamps import as_wall_clock, instant_to_wall_clock
 
 OK, ERROR, QUARANTINE = "ok", "error", "quarantine"
@@ -36,9 +36,12 @@ def json_decode(messages: DataFrame, schema: StructType, value: str = "value") -
     text = F.col(value).cast("string")
     options = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
     wrapped = F.from_json(F.concat(F.lit("["), text, F.lit("]")), ArrayType(schema), options)
+    # A filter on ``data`` cannot move below the generator, so it never makes
+    # Spark parse the payload once more.
+    only = F.when(F.size("_parsed") == 1, F.col("_parsed"))
     return (
         messages.withColumn("_parsed", wrapped)
-        .withColumn("data", F.when(F.size("_parsed") == 1, F.get("_parsed", F.lit(0))))
+        .select(*messages.columns, F.explode_outer(only).alias("data"))
         .withColumn(
             "reason",
             F.when(F.col(value).isNull(), "null payload")
@@ -48,7 +51,6 @@ def json_decode(messages: DataFrame, schema: StructType, value: str = "value") -
             .when(F.try_parse_json(text).isNotNull(), "not a json object")
             .otherwise("not json"),
         )
-        .drop("_parsed")
     )
 
 
@@ -69,8 +71,11 @@ def quarantine(messages: DataFrame, schema: StructType, value: str = "value") ->
 def measure(name: str) -> Column:
     """A measure decoded as text -> double; bare NaN/Infinity arrive in quotes."""
     text = F.col(name)
-    bare = text.isin('"NaN"', '"Infinity"', '"-Infinity"')
-    return safe_float(F.when(bare, F.translate(text, '"', "")).otherwise(text))
+    bare = F.when(
+        text.isin('"NaN"', '"Infinity"', '"-Infinity"'),
+        F.translate(text, '"', "").try_cast("double"),
+    )
+    return F.coalesce(parse_float(text), bare, F.lit(0.0))
 
 
 def ingest_stamp(at: datetime | str | Column | None = None) -> Column:
