@@ -1,4 +1,7 @@
-"""CSV snapshots: header, CRLF, minimal quoting, doubled quotes, NULL as empty."""
+"""CSV snapshots: header, CRLF, minimal quoting, doubled quotes, NULL as empty.
+
+A line feed inside a value is written as CRLF too and read back as a line feed.
+"""
 
 from __future__ import annotations
 
