@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallystar.functions.keys import digits
 from tallystar.functions.timestamps import as_wall_clock, floor_to_quarter
+from tallystar.sources.rows import one_row
 
 BUCKETS_PER_DAY = 96
 
@@ -35,7 +36,7 @@ def dim_time(
     """``days`` of 15-minute buckets, key ``yyyyMMdd_HHmm``."""
     first = as_wall_clock(start)
     last = first + F.expr(f"INTERVAL {15 * (days * BUCKETS_PER_DAY - 1)} MINUTES")
-    return _time_rows(_quarters(spark.range(1), first, last))
+    return _time_rows(_quarters(one_row(spark), first, last))
 
 
 def dim_time_spanning(events: DataFrame, ts: str = "event_ts") -> DataFrame:

@@ -6,9 +6,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallystar import schemas
 from tallystar.functions.timestamps import as_wall_clock
+from tallystar.sources.rows import literal_rows, one_row
 
 NAMESPACE = "etl"
 
@@ -39,7 +41,8 @@ METRICS = {
 def meta_table(spark: SparkSession, created_ts, updated_ts=None) -> DataFrame:
     """The table registry."""
     created = as_wall_clock(created_ts)
-    return spark.createDataFrame(TABLES, "table_name string, type string, description string").select(
+    named = StructType(schemas.META_TABLE.fields[:3])
+    return literal_rows(spark, TABLES, named).select(
         F.concat(F.lit(f"{NAMESPACE}."), "table_name").alias("table_name"),
         "type",
         "description",
@@ -83,7 +86,7 @@ def meta_column(tables: dict[str, DataFrame], observed: bool = False) -> DataFra
             source = df.agg(*[flag.alias(f.name) for flag, f in zip(flags, df.schema)])
             nullable = [F.col(f.name) for f in df.schema]
         else:
-            source = df.sparkSession.range(1)
+            source = one_row(df.sparkSession)
             nullable = [F.lit("YES" if f.nullable else "NO") for f in df.schema]
         rows = F.array(
             *[
@@ -103,7 +106,8 @@ def meta_column(tables: dict[str, DataFrame], observed: bool = False) -> DataFra
 
 def meta_metric(spark: SparkSession, metrics: dict[str, str] = METRICS) -> DataFrame:
     """The metric registry as rows."""
-    return spark.createDataFrame(
+    return literal_rows(
+        spark,
         [(name, formula, f"{name} over the fact") for name, formula in metrics.items()],
         schemas.META_METRIC,
     )

@@ -6,8 +6,8 @@ map side, so no key's rows ever meet in one task.
 A per-key *order* (previous row, next row, last known value) does need a key's
 rows together.  ``add_slices`` cuts the time line of a hot key into slices of
 bounded expected size; the window then runs per (key, slice) and the slice edges
-are stitched with one summary row per slice.  Ordinary keys stay in slice 0 and
-pay nothing.
+are stitched with one summary row per slice.  Ordinary keys have no slice (NULL)
+and pay nothing.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from tallystar.functions.timestamps import epoch_seconds
 EVENT_ORDER = ("event_ts", "event_id")
 SLICE = "_slice"
 # Rows of one key that one task may sort; above it the key is sliced.
-MAX_ROWS_PER_GROUP = 5_000_000
+MAX_ROWS_PER_GROUP = 1_000_000
 
 
 def latest_by_key(
@@ -52,7 +52,9 @@ def first_by_key(
 def add_slices(
     rows: DataFrame, key: str, ts: str, max_rows: int = MAX_ROWS_PER_GROUP
 ) -> tuple[DataFrame, bool]:
-    """Add a slice number; the flag says whether any key is hot.
+    """Number the slices of hot keys; the flag says whether there are any.
+
+    ``key`` holds no NULL.
 
     The table of hot keys holds at most total_rows / max_rows keys, whatever the
     data, and that bound is what makes it safe to broadcast.
@@ -70,15 +72,22 @@ def add_slices(
         )
     )
     if hot.isEmpty():
-        return rows.withColumn(SLICE, F.lit(0).cast("long")), False
-    sliced = rows.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot")), "left")
+        return rows.withColumn(SLICE, F.lit(None).cast("long")), False
+    sliced = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
     number = F.floor((second - F.col("_lo")) * F.col("_cuts") / F.col("_span")).cast("long")
-    return (
-        sliced.withColumn(SLICE, F.coalesce(number, F.lit(0).cast("long"))).select(
-            *rows.columns, SLICE
-        ),
-        True,
-    )
+    return sliced.withColumn(SLICE, number).select(*rows.columns, SLICE), True
+
+
+def join_edges(rows: DataFrame, key: str, edges: DataFrame) -> DataFrame:
+    """Attach ``_carry`` of (_key, _at) to the rows of that key and slice.
+
+    There is one edge per slice, so the table keeps the bound of the hot keys.
+    """
+    return rows.join(
+        F.broadcast(edges.where(F.col("_carry").isNotNull()).select("_key", "_at", "_carry")),
+        (F.col(key) == F.col("_key")) & (F.col(SLICE) == F.col("_at")),
+        "left",
+    ).drop("_key", "_at")
 
 
 def _stitched(
@@ -89,22 +98,16 @@ def _stitched(
     neighbour = (F.lag if back else F.lead)(value).over(window)
     if not hot:
         return rows.withColumn(name, neighbour)
-    # Edge rows of every slice; ordinary keys have one slice and need no edge.
     pick = (F.max_by if back else F.min_by)(value, F.struct(*order))
     per_key = Window.partitionBy("_key").orderBy("_at")
     edges = (
-        rows.groupBy(F.col(key).alias("_key"), F.col(SLICE).alias("_at"))
+        rows.where(F.col(SLICE).isNotNull())
+        .groupBy(F.col(key).alias("_key"), F.col(SLICE).alias("_at"))
         .agg(pick.alias("_edge"))
         .withColumn("_carry", (F.lag if back else F.lead)("_edge").over(per_key))
-        .where(F.col("_carry").isNotNull())
-        .select("_key", "_at", "_carry")
-    )
-    joined = rows.withColumn(name, neighbour).join(
-        F.broadcast(edges),
-        F.col(key).eqNullSafe(F.col("_key")) & (F.col(SLICE) == F.col("_at")),
-        "left",
     )
-    return joined.withColumn(name, F.coalesce(name, "_carry")).drop("_key", "_at", "_carry")
+    joined = join_edges(rows.withColumn(name, neighbour), key, edges)
+    return joined.withColumn(name, F.coalesce(name, "_carry")).drop("_carry")
 
 
 def with_previous(rows, key, value, order, hot, name="_previous") -> DataFrame:

@@ -21,6 +21,7 @@ from tallystar.operators.rank import (
     MAX_ROWS_PER_GROUP,
     SLICE,
     add_slices,
+    join_edges,
     latest_by_key,
     with_next,
     with_previous,
@@ -151,45 +152,41 @@ def _last_started(events: DataFrame, versions: DataFrame, max_rows: int) -> Data
     version = F.struct("user_sk", "effective_from", "effective_to")
     starts = versions.select(
         "user_id",
-        F.col("effective_from").alias("_at"),
+        F.col("effective_from").alias("_time"),
         F.lit(0).alias("_kind"),
         version.alias("_version"),
         F.lit(None).cast(events.schema).alias("_event"),
     )
     lookups = events.where(F.col("user_id").isNotNull()).select(
         "user_id",
-        F.col("event_ts").alias("_at"),
+        F.col("event_ts").alias("_time"),
         F.lit(1).alias("_kind"),
         F.lit(None).cast(starts.schema["_version"].dataType).alias("_version"),
         F.struct(*events.columns).alias("_event"),
     )
-    sliced, hot = add_slices(starts.unionByName(lookups), "user_id", "_at", max_rows)
+    sliced, hot = add_slices(starts.unionByName(lookups), "user_id", "_time", max_rows)
     so_far = (
         Window.partitionBy("user_id", SLICE)
-        .orderBy("_at", "_kind", "_version.effective_to")
+        .orderBy("_time", "_kind", "_version.effective_to")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     found = sliced.withColumn("_found", F.last("_version", ignorenulls=True).over(so_far))
     if hot:
         # A slice starts with the last version of the slices before it.
         earlier = (
-            Window.partitionBy("_user").orderBy("_no").rowsBetween(Window.unboundedPreceding, -1)
+            Window.partitionBy("_key").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
         )
-        order = F.struct("_at", "_version.effective_to")
+        order = F.struct("_time", "_version.effective_to")
         edges = (
-            sliced.groupBy(F.col("user_id").alias("_user"), F.col(SLICE).alias("_no"))
+            sliced.where(F.col(SLICE).isNotNull())
+            .groupBy(F.col("user_id").alias("_key"), F.col(SLICE).alias("_at"))
             .agg(F.max_by("_version", F.when(F.col("_kind") == 0, order)).alias("_edge"))
             .withColumn("_carry", F.last("_edge", ignorenulls=True).over(earlier))
-            .where(F.col("_carry").isNotNull())
-            .select("_user", "_no", "_carry")
         )
-        found = found.join(
-            F.broadcast(edges),
-            (F.col("user_id") == F.col("_user")) & (F.col(SLICE) == F.col("_no")),
-            "left",
-        ).withColumn("_found", F.coalesce("_found", "_carry"))
+        found = join_edges(found, "user_id", edges)
+        found = found.withColumn("_found", F.coalesce("_found", "_carry"))
     return found.where(
-        (F.col("_kind") == 1) & (F.col("_at") < F.col("_found.effective_to"))
+        (F.col("_kind") == 1) & (F.col("_time") < F.col("_found.effective_to"))
     ).select("_event.*", "_found.*")
 
 

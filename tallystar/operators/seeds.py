@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar import schemas
+from tallystar.sources.rows import literal_rows
 
 # Seed rows of the reference dimensions.
 REGIONS = [
@@ -55,7 +56,7 @@ def seed_employees(spark: SparkSession) -> DataFrame:
     def pick(rows: list[tuple]) -> Column:
         return F.get(F.array(*[F.lit(r[0]) for r in rows]), (n % len(rows)).cast("int"))
 
-    return spark.range(1, SEEDED_EMPLOYEES + 1).select(
+    return spark.range(1, SEEDED_EMPLOYEES + 1, 1, 1).select(
         F.concat(F.lit("E"), (n + 1000).cast("string")).alias("employee_id"),
         F.concat(F.lit("Employee_"), n.cast("string")).alias("employee_name"),
         pick(MANAGERS).alias("manager_id"),
@@ -65,20 +66,20 @@ def seed_employees(spark: SparkSession) -> DataFrame:
 
 
 def seed_region_boxes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(REGION_BOXES, schemas.DIM_REGION_BOX)
+    return literal_rows(spark, REGION_BOXES, schemas.DIM_REGION_BOX)
 
 
 def seed_regions(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(REGIONS, schemas.DIM_REGION)
+    return literal_rows(spark, REGIONS, schemas.DIM_REGION)
 
 
 def seed_dims(spark: SparkSession) -> dict[str, DataFrame]:
     """Seed rows by table name."""
     return {
         "dim_region": seed_regions(spark),
-        "dim_company": spark.createDataFrame(COMPANIES, schemas.DIM_COMPANY),
-        "dim_branch": spark.createDataFrame(BRANCHES, schemas.DIM_BRANCH),
-        "dim_manager": spark.createDataFrame(MANAGERS, schemas.DIM_MANAGER),
-        "dim_project": spark.createDataFrame(PROJECTS, schemas.DIM_PROJECT),
+        "dim_company": literal_rows(spark, COMPANIES, schemas.DIM_COMPANY),
+        "dim_branch": literal_rows(spark, BRANCHES, schemas.DIM_BRANCH),
+        "dim_manager": literal_rows(spark, MANAGERS, schemas.DIM_MANAGER),
+        "dim_project": literal_rows(spark, PROJECTS, schemas.DIM_PROJECT),
         "dim_employee": seed_employees(spark),
     }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallystar import schemas
 from tallystar.functions.timestamps import as_wall_clock, normalize_ts
 from tallystar.operators.dims import dim_upsert
+from tallystar.sources.rows import one_row
 
 # Pipeline names and the mark of a pipeline that never ran.
 LIVE_STREAM = "live_stream"
@@ -44,7 +45,7 @@ def watermark_next(batch: DataFrame, pipeline: str = LIVE_STREAM) -> DataFrame:
 
 def watermark_init(spark, at: datetime | str = EPOCH, pipeline: str = LIVE_STREAM) -> DataFrame:
     """First mark of a pipeline: the epoch loads all history, the setup time none of it."""
-    return spark.range(1).select(
+    return one_row(spark).select(
         F.lit(pipeline).alias("pipeline_name"), as_wall_clock(at).alias("last_run_ts")
     )
 

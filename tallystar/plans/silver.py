@@ -9,6 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallystar import schemas
 from tallystar.functions.timestamps import as_wall_clock
 from tallystar.operators import facts, scd2
 from tallystar.operators.dims import ORGANISATION, Dimension, dim_upsert, last_seconds_only
@@ -23,6 +24,7 @@ from tallystar.operators.watermark import (
 )
 from tallystar.plans.warehouse import Warehouse
 from tallystar.sources.csv_snapshots import csv_export
+from tallystar.sources.rows import literal_rows, one_row
 
 # Batches above this many rows look for the last second of each key first.
 NARROW_ABOVE = 20_000_000
@@ -39,7 +41,7 @@ def _bounds(batch: DataFrame):
 
 
 def _save_mark(warehouse: Warehouse, pipeline: str, upto: datetime, run_ts) -> None:
-    mark = warehouse.spark.range(1).select(
+    mark = one_row(warehouse.spark).select(
         F.lit(pipeline).alias("pipeline_name"), as_wall_clock(upto).alias("last_run_ts")
     )
     marks = warehouse.watermarks
@@ -92,7 +94,7 @@ def silver_run(
     _save_mark(warehouse, LIVE_STREAM, max(upto, mark), run_ts)
     counts = {"raw_loaded": bounds["row_count"], "fact_user_activity": bounds["row_count"]}
     warehouse.run_counts.write_run(
-        spark.createDataFrame(list(counts.items()), warehouse.run_counts.schema).coalesce(1), run_id
+        literal_rows(spark, list(counts.items()), schemas.RUN_COUNTS), run_id
     )
     if lateness is not None:
         batch.unpersist()

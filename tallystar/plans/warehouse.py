@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import SparkSession
@@ -10,6 +11,7 @@ from tallystar import schemas
 from tallystar.operators import calendar, catalog, seeds
 from tallystar.operators.dims import ORGANISATION, dim_upsert
 from tallystar.operators.watermark import EPOCH, LIVE_STREAM, watermark_init
+from tallystar.sources.rows import empty
 from tallystar.sources.tables import AppendTable, SnapshotTable
 
 
@@ -79,16 +81,20 @@ def bootstrap(
     history, ``run_ts`` leaves out whatever arrived before setup.
     """
     spark = warehouse.spark
-    for table in warehouse.tables:
-        table.recreate() if overwrite else table.ensure()
-    keys = {d.table: d.key for d in ORGANISATION} | {"dim_region": "region_code"}
-    for name, rows in seeds.seed_dims(spark).items():
+    with ThreadPoolExecutor(8) as pool:  # the tables do not depend on each other
+        list(pool.map(lambda t: t.recreate() if overwrite else t.ensure(), warehouse.tables))
+    keys = {d.table: d.key for d in ORGANISATION} | {
+        "dim_region": "region_code",
+        "dim_time": "time_key",
+    }
+    seeded = seeds.seed_dims(spark) | {"dim_time": calendar.dim_time(spark, first_day, days)}
+
+    def fill(name: str) -> None:
         table = warehouse.dims[name]
-        table.replace(dim_upsert(table.read(), rows, keys[name]))
-    times = warehouse.dims["dim_time"]
-    times.replace(
-        dim_upsert(times.read(), calendar.dim_time(spark, first_day, days), "time_key")
-    )
+        table.replace(dim_upsert(table.read(), seeded[name], keys[name]))
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(fill, seeded))
     marks = warehouse.watermarks.read()
     if marks.where(marks.pipeline_name == LIVE_STREAM).isEmpty():
         warehouse.watermarks.replace(
@@ -97,6 +103,6 @@ def bootstrap(
     warehouse.meta_table.replace(catalog.meta_table(spark, run_ts))
     warehouse.meta_column.replace(
         catalog.meta_column(
-            {t.name: spark.createDataFrame([], t.schema) for t in warehouse.tables}
+            {t.name: empty(spark, t.schema) for t in warehouse.tables}
         )
     )

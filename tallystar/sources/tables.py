@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from tallystar.sources import files
+from tallystar.sources.rows import empty
 
 KEPT_VERSIONS = 3
 
@@ -42,7 +43,7 @@ class SnapshotTable:
         """The newest version; ``before_run`` skips what an earlier try of that run wrote."""
         versions = self._committed(before_run)
         if not versions:
-            return self.spark.createDataFrame([], self.schema)
+            return empty(self.spark, self.schema)
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/{versions[-1]}")
 
     def replace(self, rows: DataFrame, run: str | None = None) -> None:
@@ -59,7 +60,7 @@ class SnapshotTable:
 
     def recreate(self) -> None:
         """Drop and create empty."""
-        self.replace(self.spark.createDataFrame([], self.schema))
+        self.replace(empty(self.spark, self.schema))
 
 
 class AppendTable:
@@ -90,7 +91,7 @@ class AppendTable:
         """
         columns = [*self.schema.names, *(["event_date"] if self.date_from else [])]
         if not files.exists(self.spark, self.path):
-            return self.spark.createDataFrame([], self._stored).select(*columns)
+            return empty(self.spark, self._stored).select(*columns)
         # The declared schema spares the inference job and keeps run ids text.
         rows = self.spark.read.schema(self._stored).parquet(self.path)
         if without_run is not None:
@@ -116,8 +117,7 @@ class AppendTable:
 
     def recreate(self) -> None:
         files.remove(self.spark, self.path)
-        empty = self.spark.createDataFrame([], self.schema)
-        empty.write.mode("overwrite").parquet(self.path)
+        empty(self.spark, self.schema).write.mode("overwrite").parquet(self.path)
 
 
 def schema_type(name: str):

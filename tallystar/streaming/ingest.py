@@ -16,6 +16,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from tallystar import schemas
 from tallystar.operators import decode
+from tallystar.sources.rows import one_row
 from tallystar.sources.tables import AppendTable
 
 
@@ -67,7 +68,7 @@ class RawIngest:
                 w.errors.write_run(decode.stream_errors(kept), f"{source}-{batch_id}")
             if counts["quarantined"]:
                 w.quarantine.write_run(decode.quarantined(kept, self.value), source, batch_id)
-            report = batch.sparkSession.range(1).select(
+            report = one_row(batch.sparkSession).select(
                 F.lit(batch_id).cast("long").alias("batch_id"),
                 *[F.lit(counts[c]).cast("long").alias(c) for c in schemas.BATCH_COUNTS.names[1:]],
             )

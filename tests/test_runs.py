@@ -155,3 +155,21 @@ def test_user_star_in_two_batches_and_a_crash(spark, root, monkeypatch):
     users, fact = users_of(whole)
     assert len({row[0] for row in users}) == len(users)
     assert len({row[0] for row in fact}) == len(fact)
+
+
+def test_command_line(spark, root):
+    import json
+
+    from tallystar.__main__ import arguments, run
+
+    line = json.dumps({"event_id": "1", "event_ts": "2025-01-01 00:00:00", "company_id": "C1"})
+    spark.createDataFrame([(line,)], "value string").write.text(f"{root}/inbox")
+    place = ["--root", f"{root}/w", "--run-ts", RUN_TS]
+    run(arguments(["bootstrap", *place]))
+    stream = ["--format", "text", "--path", f"{root}/inbox", "--checkpoint", f"{root}/c"]
+    run(arguments(["ingest", *place, *stream, "--available-now"]))
+    assert run(arguments(["silver", *place, "--export", f"{root}/csv"]))["raw_loaded"] == 1
+    assert run(arguments(["users", *place])) == {"inserts": 0, "updates": 0}
+    warehouse = Warehouse(spark, f"{root}/w")
+    assert warehouse.dims["dim_company"].read().count() == 4
+    assert "dim_company.csv" in files.children(spark, f"{root}/csv")
