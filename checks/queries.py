@@ -108,7 +108,7 @@ def json_decode(spark, sf):
 
 @query
 def raw_append(spark, sf):
-    return ingested(spark, sf).raw.read().drop("event_date")
+    return ingested(spark, sf).raw.read()
 
 
 @query
@@ -121,7 +121,9 @@ def raw_append_idempotent(spark, sf):
     writer = RawIngest(warehouse, source="replay", ingested_at=RUN_TS)
     for batch_id, part in ((0, first), (1, second), (1, second), (0, first)):
         writer(payloads.join(part.select("i"), "i", "left_semi").select("value"), batch_id)
-    return warehouse.raw.read().select("event_id", "event_ts", "watch_time", text("event_date"))
+    return warehouse.raw.read(prunable=True).select(
+        "event_id", "event_ts", "watch_time", text("event_date")
+    )
 
 
 @query

@@ -57,7 +57,7 @@ def run(args: argparse.Namespace) -> object:
     if args.job == "silver":
         return silver_run(warehouse, run_ts, args.export, args.lateness)
     if args.job == "users":
-        return user_star_run(warehouse, warehouse.raw.read(), run_ts)
+        return user_star_run(warehouse, warehouse.raw.read(prunable=True), run_ts)
     place = (
         {"topic": args.topic, "servers": args.servers}
         if args.format == "kafka"

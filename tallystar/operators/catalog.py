@@ -70,6 +70,13 @@ def meta_table_counts(tables: dict[str, DataFrame], run_ts) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+def batch_size_entry(spark: SparkSession, name: str, size: int, run_ts) -> DataFrame:
+    """Catalog row of a table whose record_count is the size of its last batch."""
+    kind, text = next((kind.lower(), text) for table, kind, text in TABLES if table == name)
+    row = (f"{NAMESPACE}.{name}", NAMESPACE, kind, text, size, run_ts)
+    return literal_rows(spark, [row], schemas.META_TABLE_COUNTS)
+
+
 def meta_column(tables: dict[str, DataFrame], observed: bool = False) -> DataFrame:
     """One row per column of each table.
 

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from tallystar import schemas
 from tallystar.operators.rank import first_by_key, latest_by_key
+from tallystar.sources.tables import not_before
 
 
 @dataclass(frozen=True)
@@ -104,9 +105,7 @@ def last_seconds_only(
             yield events
             return
         oldest = F.lit(bounds["oldest"]).cast("timestamp_ntz")
-        narrowed = events.where(F.col("event_ts") >= oldest)
-        if "event_date" in events.columns:
-            narrowed = narrowed.where(F.col("event_date") >= oldest.cast("date"))
+        narrowed = not_before(events, oldest).where(F.col("event_ts") >= oldest)
         hit = F.lit(False)
         for i, d in enumerate(dimensions):
             mine = heads.where(F.col("dim") == d.table).select(

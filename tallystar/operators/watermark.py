@@ -11,6 +11,7 @@ from tallystar import schemas
 from tallystar.functions.timestamps import as_wall_clock, normalize_ts
 from tallystar.operators.dims import dim_upsert
 from tallystar.sources.rows import one_row
+from tallystar.sources.tables import EVENT_DATE, EVENT_SECOND, not_before
 
 # Pipeline names and the mark of a pipeline that never ran.
 LIVE_STREAM = "live_stream"
@@ -53,14 +54,11 @@ def watermark_init(spark, at: datetime | str = EPOCH, pipeline: str = LIVE_STREA
 def since(raw: DataFrame, mark: Column | datetime | str) -> DataFrame:
     """Rows strictly after the mark; a NULL event_ts never qualifies."""
     mark = as_wall_clock(mark)
-    rows = raw.where(F.col("event_ts") > mark)
-    if "event_date" in raw.columns:
-        rows = rows.where(F.col("event_date") >= mark.cast("date"))
-    return rows
+    return not_before(raw, mark).where(F.col("event_ts") > mark)
 
 
 def incremental_load(raw: DataFrame, mark, lateness: str | None = None) -> DataFrame:
-    """New RAW rows since the mark, 25 columns, unordered.
+    """New RAW rows since the mark, unordered: 25 columns, and those to prune by.
 
     ``lateness`` (an interval such as ``'10 minutes'``) reads that far behind the
     mark again; combine it with ``dedupe_by_key`` against the fact.
@@ -68,8 +66,8 @@ def incremental_load(raw: DataFrame, mark, lateness: str | None = None) -> DataF
     mark = as_wall_clock(mark)
     if lateness is not None:
         mark = mark - F.expr(f"INTERVAL {lateness}")
-    partition = [c for c in ("event_date",) if c in raw.columns]
-    return since(raw, mark).select(*schemas.RAW.names, *partition)
+    pruning = [c for c in (EVENT_DATE, EVENT_SECOND) if c in raw.columns]
+    return since(raw, mark).select(*schemas.RAW.names, *pruning)
 
 
 def incremental_load_14col(raw: DataFrame, mark) -> DataFrame:

@@ -25,6 +25,7 @@ from tallystar.operators.watermark import (
 from tallystar.plans.warehouse import Warehouse
 from tallystar.sources.csv_snapshots import csv_export
 from tallystar.sources.rows import literal_rows, one_row
+from tallystar.sources.tables import not_before
 
 # Batches above this many rows look for the last second of each key first.
 NARROW_ABOVE = 20_000_000
@@ -60,16 +61,16 @@ def silver_run(
     The batch is not cached: RAW is columnar and listed once, so each output
     re-reads only its own columns of the same files, pruned by date.  Without
     new rows nothing at all is written.  ``lateness`` re-reads that interval
-    behind the mark and keeps only events the fact does not hold yet.
+    behind the mark and keeps only events the fact does not hold yet; copies of
+    an event carry the same event_ts.
     """
     spark = warehouse.spark
     mark = watermark_read(warehouse.watermarks.read(), LIVE_STREAM).first()["last_run_ts"]
     run_id = _run_id(mark)
-    batch = incremental_load(warehouse.raw.read(), mark, lateness)
+    batch = incremental_load(warehouse.raw.read(prunable=True), mark, lateness)
     if lateness is not None:
-        held = warehouse.fact.read(without_run=run_id)
         oldest = as_wall_clock(mark) - F.expr(f"INTERVAL {lateness}")
-        held = held.where(F.col("event_date") >= oldest.cast("date"))
+        held = not_before(warehouse.fact.read(prunable=True, without_run=run_id), oldest)
         batch = dedupe_by_key(batch, "event_id", held).persist()
     bounds = _bounds(batch)
     if not bounds["row_count"]:
@@ -78,21 +79,30 @@ def silver_run(
         return {}
     upto = bounds["upto"]
 
-    def save(dimension: Dimension, events: DataFrame) -> None:
-        table = warehouse.dims[dimension.table]
-        table.replace(dim_upsert(table.read(), dimension.latest(events), dimension.key))
+    def save(dimension: Dimension, events: DataFrame) -> int:
+        """Upsert one dimension; its few new rows are kept, as the upsert reads them twice."""
+        table, new = warehouse.dims[dimension.table], dimension.latest(events).persist()
+        try:
+            table.replace(dim_upsert(table.read(), new, dimension.key))
+            return new.count()
+        finally:
+            new.unpersist()
 
     large = bounds["row_count"] > narrow_above
     with last_seconds_only(batch) if large else nullcontext(batch) as heads:
         # The five writes are independent; side by side they fill the cluster.
         with ThreadPoolExecutor(len(ORGANISATION)) as pool:
-            list(pool.map(lambda d: save(d, heads), ORGANISATION))
+            upserted = list(pool.map(lambda d: save(d, heads), ORGANISATION))
 
     warehouse.fact.write_run(facts.fact_project(batch, run_ts), run_id)
     # RAW holds doubles, so no row can be refused by the fact's cast here; text
     # sources go through facts.fact_errors.
     _save_mark(warehouse, LIVE_STREAM, max(upto, mark), run_ts)
-    counts = {"raw_loaded": bounds["row_count"], "fact_user_activity": bounds["row_count"]}
+    counts = {
+        "raw_loaded": bounds["row_count"],
+        **{d.table: n for d, n in zip(ORGANISATION, upserted)},
+        "fact_user_activity": bounds["row_count"],
+    }
     warehouse.run_counts.write_run(
         literal_rows(spark, list(counts.items()), schemas.RUN_COUNTS), run_id
     )
@@ -100,7 +110,7 @@ def silver_run(
         batch.unpersist()
     if export_dir:
         tables = {name: warehouse.dims[name].read() for name in EXPORTED}
-        tables["fact_user_activity"] = warehouse.fact.read().drop("event_date")
+        tables["fact_user_activity"] = warehouse.fact.read()
         csv_export(tables, export_dir)
     return counts
 
@@ -120,8 +130,10 @@ def user_star_run(warehouse: Warehouse, raw: DataFrame, run_ts: datetime | str)
         return {}
     # A retry must compare with the versions from before its first try.
     current = warehouse.user_current.read(before_run=run_id)
-    inserts, updates = scd2.scd2_counts(current, batch).first()
     delta = scd2.scd2_delta(current, batch).persist()
+    # Versions opened by this batch start after the mark, older ones do not.
+    opened = F.col("is_current") & (F.col("effective_from") > as_wall_clock(mark))
+    inserts, updates = delta.agg(F.count_if(opened), F.count_if(~F.col("is_current"))).first()
     warehouse.user_closed.write_run(delta.where(~F.col("is_current")), run_id)
     warehouse.user_current.replace(delta.where("is_current"), run_id)
     delta.unpersist()

@@ -40,6 +40,7 @@ class Warehouse:
         self.dims["dim_time"] = snapshot("dim_time", schemas.DIM_TIME)
         self.meta_table = snapshot("meta_table", schemas.META_TABLE)
         self.meta_column = snapshot("meta_column", schemas.META_COLUMN)
+        self.meta_counts = snapshot("meta_table_counts", schemas.META_TABLE_COUNTS)
         self.watermarks = snapshot("etl_watermarks", schemas.ETL_WATERMARKS)
         # User star: closed versions only grow, current ones are replaced.
         self.user_current = snapshot("dim_user_current", schemas.DIM_USER_SCD2)
@@ -65,6 +66,13 @@ class Warehouse:
         """The whole type-2 user dimension."""
         return self.user_closed.read().unionByName(self.user_current.read())
 
+    def register_counts(self, run_ts: datetime | str) -> None:
+        """Count the star's tables and replace their catalog rows."""
+        tables = {t.name: t.read() for t in (self.raw, *self.dims.values(), self.fact)}
+        counts = catalog.meta_table_counts(tables, run_ts).persist()
+        self.meta_counts.replace(dim_upsert(self.meta_counts.read(), counts, "table_name"))
+        counts.unpersist()
+
 
 def bootstrap(
     warehouse: Warehouse,

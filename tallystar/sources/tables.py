@@ -5,21 +5,26 @@ directory and readers take the newest one that carries ``_SUCCESS``, so a run
 may read the table it is about to replace and a broken write is never seen.
 
 ``AppendTable`` grows by named runs.  A run owns its directory, and writing the
-same run again replaces it, which makes a retried run exactly-once.
+same run again replaces it, which makes a retried run exactly-once.  A table with
+an event time is partitioned by its day and also stores its epoch second: Parquet
+row groups are skipped by the statistics of a bigint, not of a TIMESTAMP_NTZ.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
+from tallystar.functions.timestamps import epoch_seconds
 from tallystar.sources import files
 from tallystar.sources.rows import empty
 
 KEPT_VERSIONS = 3
+# Stored next to the rows of a table with an event time, to prune by.
+EVENT_DATE, EVENT_SECOND = "event_date", "event_second"
 
 
 class SnapshotTable:
@@ -79,17 +84,20 @@ class AppendTable:
 
     @property
     def _stored(self) -> StructType:
-        fields = [StructField(c, schema_type("string")) for c in self.run_columns]
+        fields = [StructField(EVENT_SECOND, LongType())] if self.date_from else []
+        fields += [StructField(c, StringType()) for c in self.run_columns]
         if self.date_from:
-            fields.append(StructField("event_date", schema_type("date")))
+            fields.append(StructField(EVENT_DATE, DateType()))
         return StructType(self.schema.fields + fields)
 
-    def read(self, without_run: str | None = None) -> DataFrame:
-        """All rows; a table with ``date_from`` also shows event_date, to prune by.
+    def read(self, prunable: bool = False, without_run: str | None = None) -> DataFrame:
+        """All rows.
 
-        ``without_run`` leaves out one run, for a retry that will replace it.
+        ``prunable`` adds event_date and event_second of a table with an event
+        time.  ``without_run`` leaves out one run, for a retry that replaces it.
         """
-        columns = [*self.schema.names, *(["event_date"] if self.date_from else [])]
+        pruning = [EVENT_DATE, EVENT_SECOND] if prunable and self.date_from else []
+        columns = [*self.schema.names, *pruning]
         if not files.exists(self.spark, self.path):
             return empty(self.spark, self._stored).select(*columns)
         # The declared schema spares the inference job and keeps run ids text.
@@ -105,10 +113,13 @@ class AppendTable:
         where = "/".join([self.path, *[f"{c}={v}" for c, v in zip(self.run_columns, run)]])
         rows = rows.select(*self.schema.names)
         if self.date_from:
-            rows = rows.withColumn("event_date", F.col(self.date_from).cast("date"))
+            event_ts = F.col(self.date_from)
+            rows = rows.withColumns(
+                {EVENT_SECOND: epoch_seconds(event_ts), EVENT_DATE: event_ts.cast("date")}
+            )
         writer = rows.write.mode("overwrite")
         if self.date_from:
-            writer = writer.partitionBy("event_date")
+            writer = writer.partitionBy(EVENT_DATE)
         writer.parquet(where)
 
     def ensure(self) -> None:
@@ -120,5 +131,13 @@ class AppendTable:
         empty(self.spark, self.schema).write.mode("overwrite").parquet(self.path)
 
 
-def schema_type(name: str):
-    return StructType.fromDDL(f"c {name}").fields[0].dataType
+def not_before(rows: DataFrame, ts: Column) -> DataFrame:
+    """Skip days, files and row groups that end before ``ts``, where the rows allow it.
+
+    Keeps the whole second of ``ts``; the exact condition stays with the caller.
+    """
+    if EVENT_DATE in rows.columns:
+        rows = rows.where(F.col(EVENT_DATE) >= ts.cast("date"))
+    if EVENT_SECOND in rows.columns:
+        rows = rows.where(F.col(EVENT_SECOND) >= epoch_seconds(ts))
+    return rows

@@ -7,7 +7,7 @@ three counters reach the driver.  Every output is a run of its table named by
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tallystar import schemas
-from tallystar.operators import decode
+from tallystar.operators import catalog, decode
+from tallystar.operators.dims import dim_upsert
 from tallystar.sources.rows import one_row
 from tallystar.sources.tables import AppendTable
 
@@ -36,6 +37,7 @@ class RawIngest:
     ``source`` names the stream in the run directories; by default it is the id
     Spark gives the query, which its checkpoint keeps across restarts.
     ``ingested_at`` fixes the ingestion time, for repeatable runs.
+    ``register_size`` keeps the size of the last batch in the catalog.
     """
 
     def __init__(
@@ -44,8 +46,10 @@ class RawIngest:
         value: str = "value",
         source: str | None = None,
         ingested_at: datetime | str | None = None,
+        register_size: bool = False,
     ):
         self.warehouse, self.value = warehouse, value
+        self.register_size = register_size
         self.source, self.ingested_at = source, ingested_at
 
     def _source(self, batch: DataFrame) -> str:
@@ -54,6 +58,12 @@ class RawIngest:
         context = batch.sparkSession.sparkContext
         return context.getLocalProperty("sql.streaming.queryId") or "batch"
 
+    def _register(self, spark, size: int) -> None:
+        now = self.ingested_at or datetime.now(timezone.utc).replace(tzinfo=None)
+        entry = catalog.batch_size_entry(spark, self.warehouse.raw.name, size, now)
+        table = self.warehouse.meta_counts
+        table.replace(dim_upsert(table.read(), entry, "table_name"))
+
     def __call__(self, batch: DataFrame, batch_id: int) -> dict[str, int]:
         source = self._source(batch)
         kept = decode.classify(batch, self.value).persist(StorageLevel.MEMORY_AND_DISK)
@@ -73,6 +83,8 @@ class RawIngest:
                 *[F.lit(counts[c]).cast("long").alias(c) for c in schemas.BATCH_COUNTS.names[1:]],
             )
             w.batch_counts.write_run(report, source, batch_id)
+            if self.register_size:
+                self._register(batch.sparkSession, counts["inserted"])
             return counts
         finally:
             kept.unpersist()

@@ -16,7 +16,7 @@ from tests.util import RUN_TS, at, raw_frame, rows_of
 
 def contents(warehouse):
     tables = {d.table: rows_of(warehouse.dims[d.table].read(), *d.schema.names) for d in ORGANISATION}
-    fact = warehouse.fact.read().drop("event_date")
+    fact = warehouse.fact.read()
     return {**tables, "fact": rows_of(fact, *fact.columns)}
 
 
@@ -28,7 +28,10 @@ def mark(warehouse, pipeline=watermark.LIVE_STREAM):
 def one_run(spark, sf, tmp_path_factory):
     warehouse = Warehouse(spark, str(tmp_path_factory.mktemp("one")))
     warehouse.raw.write_run(fixtures.raw(spark, sf), "t", 0)
-    assert silver_run(warehouse, RUN_TS)["raw_loaded"] == 1000
+    counts = silver_run(warehouse, RUN_TS)
+    assert counts["raw_loaded"] == counts["fact_user_activity"] == 1000
+    assert counts["dim_branch"] == warehouse.dims["dim_branch"].read().count() == 5
+    assert rows_of(warehouse.run_counts.read(), "step", "row_count") == sorted(counts.items())
     return contents(warehouse)
 
 
@@ -133,7 +136,7 @@ def test_watermarks_keep_other_pipelines(spark):
 
 def users_of(warehouse):
     users = warehouse.users()
-    fact = warehouse.user_fact.read().drop("event_date")
+    fact = warehouse.user_fact.read()
     return rows_of(users, *users.columns), rows_of(fact, *fact.columns)
 
 

@@ -58,6 +58,20 @@ def test_replayed_batch_adds_nothing_and_empty_batch_writes_nothing(spark, root)
     assert warehouse.quarantine.read().count() == 1
     writer(batch, 2)
     assert warehouse.raw.read().count() == 2
+    assert warehouse.meta_counts.read().count() == 0
+
+
+def test_batch_size_is_registered_on_request(spark, root):
+    warehouse = Warehouse(spark, root)
+    writer = RawIngest(warehouse, source="s", register_size=True)
+    for n, lines in enumerate(([message(1), message(2)], [message(3)])):
+        writer(spark.createDataFrame([(v,) for v in lines], "value string"), n)
+    row = warehouse.meta_counts.read().collect()
+    assert [(r.table_name, r.record_count) for r in row] == [("etl.raw_user_stream_events", 1)]
+    warehouse.register_counts("2025-01-01 00:00:00")
+    counts = warehouse.meta_counts.read()
+    assert counts.count() == 9
+    assert rows_of(counts.where("table_type = 'raw'"), "record_count") == [(3,)]
 
 
 def test_a_new_query_never_overwrites_an_older_one(spark, root):
