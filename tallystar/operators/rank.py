@@ -52,30 +52,44 @@ def first_by_key(
 def add_slices(
     rows: DataFrame, key: str, ts: str, max_rows: int = MAX_ROWS_PER_GROUP
 ) -> tuple[DataFrame, bool]:
-    """Number the slices of hot keys; the flag says whether there are any.
+    """Cut the time line of hot keys; the flag says whether there are any.
 
+    A slice is named by its first second.  A group above ``max_rows`` is cut into
+    slices of equal width, and a slice that is still above (a burst) is cut again,
+    down to single seconds.  There are at most total_rows / max_rows such groups,
+    whatever the data; that bound makes the table of them safe to broadcast.
     ``key`` holds no NULL.
-
-    The table of hot keys holds at most total_rows / max_rows keys, whatever the
-    data, and that bound is what makes it safe to broadcast.
     """
     second = epoch_seconds(F.col(ts))
-    hot = (
-        rows.groupBy(key)
-        .agg(F.count("*").alias("_n"), F.min(second).alias("_lo"), F.max(second).alias("_hi"))
-        .where(F.col("_n") > max_rows)
-        .select(
-            F.col(key).alias("_hot"),
-            F.ceil(F.col("_n") / max_rows).alias("_cuts"),
-            "_lo",
-            (F.col("_hi") - F.col("_lo") + 1).alias("_span"),
+    sliced, hot = rows.withColumn(SLICE, F.lit(None).cast("long")), False
+    while True:
+        cuts = F.ceil(F.col("_n") / max_rows)
+        crowded = (
+            sliced.groupBy(key, SLICE)
+            .agg(F.count("*").alias("_n"), F.min(second).alias("_lo"), F.max(second).alias("_hi"))
+            .where((F.col("_n") > max_rows) & (F.col("_hi") > F.col("_lo")))
+            .select(
+                F.col(key).alias("_hot"),
+                F.col(SLICE).alias("_from"),
+                "_lo",
+                F.ceil((F.col("_hi") - F.col("_lo") + 1) / cuts).alias("_width"),
+            )
+        )
+        if crowded.isEmpty():
+            return sliced, hot
+        hot = True
+        first_second = (
+            F.col("_lo") + F.floor((second - F.col("_lo")) / F.col("_width")) * F.col("_width")
+        )
+        sliced = (
+            sliced.join(
+                F.broadcast(crowded),
+                (F.col(key) == F.col("_hot")) & F.col(SLICE).eqNullSafe(F.col("_from")),
+                "left",
+            )
+            .withColumn(SLICE, F.coalesce(first_second, SLICE))
+            .select(*rows.columns, SLICE)
         )
-    )
-    if hot.isEmpty():
-        return rows.withColumn(SLICE, F.lit(None).cast("long")), False
-    sliced = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
-    number = F.floor((second - F.col("_lo")) * F.col("_cuts") / F.col("_span")).cast("long")
-    return sliced.withColumn(SLICE, number).select(*rows.columns, SLICE), True
 
 
 def join_edges(rows: DataFrame, key: str, edges: DataFrame) -> DataFrame:

@@ -145,12 +145,13 @@ def test_windows_close_past_the_delay_and_late_rows_are_dropped(spark, root, zon
     assert seen[2] == [first, (at("2025-03-09 02:30:00"), 1, 4.0)]
 
 
-def test_dedupe_within_the_delay(spark, root):
+@pytest.mark.parametrize("combine", [True, False])
+def test_dedupe_within_the_delay(spark, root, combine):
     seen = collect_stream(
         spark,
         root,
-        lambda s: stream_dedupe(s, "10 minutes"),
-        [("1", "2025-01-01 00:00:00", 1.0), ("1", "2025-01-01 00:00:00", 1.0)],
+        lambda s: stream_dedupe(s, "10 minutes", combine=combine),
+        [("1", "2025-01-01 00:00:00", 1.0), ("1", "2025-01-01 00:00:00", 1.0), (None, "2025-01-01 00:00:00", 1.0)],
         [("1", "2025-01-01 00:05:00", 1.0), ("2", "2025-01-01 00:05:00", 1.0)],
         [("2", "2025-01-01 00:06:00", 1.0)],
     )
