@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystar.functions.timestamps import epoch_seconds
+from tallystar.sources.files import shared_dir
 
 EVENT_ORDER = ("event_ts", "event_id")
 SLICE = "_slice"
@@ -77,7 +78,10 @@ def add_slices(
         )
         if crowded.isEmpty():
             return sliced, hot
-        hot = True
+        # Written out, so that the next round's plan does not hold this round's twice.
+        hot, path = True, shared_dir(rows.sparkSession, "slices")
+        crowded.write.parquet(path)
+        crowded = rows.sparkSession.read.schema(crowded.schema).parquet(path)
         first_second = (
             F.col("_lo") + F.floor((second - F.col("_lo")) / F.col("_width")) * F.col("_width")
         )

@@ -136,9 +136,10 @@ def user_star_run(warehouse: Warehouse, raw: DataFrame, run_ts: datetime | str)
     inserts, updates = delta.agg(F.count_if(opened), F.count_if(~F.col("is_current"))).first()
     warehouse.user_closed.write_run(delta.where(~F.col("is_current")), run_id)
     warehouse.user_current.replace(delta.where("is_current"), run_id)
+    # Versions closed by earlier batches end before this one begins: the delta holds
+    # every version that can match, two per user at most.
+    versions = delta.select("user_sk", "user_id", "effective_from", "effective_to")
+    warehouse.user_fact.write_run(scd2.fact_user_watch(batch, versions), run_id)
     delta.unpersist()
-    # Only versions that reach into the batch can match; that also bounds the join.
-    reaching = warehouse.users().where(F.col("effective_to") > as_wall_clock(mark))
-    warehouse.user_fact.write_run(scd2.fact_user_watch(batch, reaching), run_id)
     _save_mark(warehouse, RAW_TO_SILVER, upto, run_ts)
     return {"inserts": inserts, "updates": updates}

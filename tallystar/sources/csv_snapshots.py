@@ -31,11 +31,11 @@ def csv_export(tables: dict[str, DataFrame], directory: str) -> list[str]:
     """
     written = []
     for name, rows in tables.items():
-        seen = rows.limit(ONE_FILE_ROWS + 1).count()
-        if seen == 0:
+        size = rows.count()
+        if size == 0:
             continue
-        if seen <= ONE_FILE_ROWS:
-            rows = rows.coalesce(1)
+        if size <= ONE_FILE_ROWS:
+            rows = rows.repartition(1)
         path = f"{directory.rstrip('/')}/{name.split('.')[-1]}.csv"
         rows.write.mode("overwrite").options(lineSep="\r\n", **DIALECT).csv(path)
         written.append(path)

@@ -7,12 +7,14 @@ three counters reach the driver.  Every output is a run of its table named by
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tallystar import schemas
 from tallystar.operators import catalog, decode
@@ -21,14 +23,10 @@ from tallystar.sources.rows import one_row
 from tallystar.sources.tables import AppendTable
 
 
-def append_decoded(
-    rows: DataFrame, table: AppendTable, source: str, batch_id: int
-) -> int:
-    """Append rows as one run; returns how many, and writes nothing for none."""
-    if rows.isEmpty():
-        return 0
-    table.write_run(rows, source, batch_id)
-    return rows.count()
+def run_source(batch: DataFrame) -> str:
+    """The id of the streaming query this batch belongs to."""
+    context = batch.sparkSession.sparkContext
+    return context.getLocalProperty("sql.streaming.queryId") or "batch"
 
 
 class RawIngest:
@@ -52,12 +50,6 @@ class RawIngest:
         self.register_size = register_size
         self.source, self.ingested_at = source, ingested_at
 
-    def _source(self, batch: DataFrame) -> str:
-        if self.source:
-            return self.source
-        context = batch.sparkSession.sparkContext
-        return context.getLocalProperty("sql.streaming.queryId") or "batch"
-
     def _register(self, spark, size: int) -> None:
         now = self.ingested_at or datetime.now(timezone.utc).replace(tzinfo=None)
         entry = catalog.batch_size_entry(spark, self.warehouse.raw.name, size, now)
@@ -65,7 +57,7 @@ class RawIngest:
         table.replace(dim_upsert(table.read(), entry, "table_name"))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> dict[str, int]:
-        source = self._source(batch)
+        source = self.source or run_source(batch)
         kept = decode.classify(batch, self.value).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             counts = decode.batch_counts(kept).first().asDict()
@@ -91,18 +83,42 @@ class RawIngest:
 
 
 class ShapeIngest:
-    """The same writer for any flat event shape, typed, with optional NOT NULL columns."""
-
-    def __init__(self, table: AppendTable, rejects: AppendTable, shape, required=(), value="value"):
-        self.table, self.rejects, self.shape = table, rejects, shape
-        self.required, self.value = tuple(required), value
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        rows = decode.decoded(batch, self.shape, self.value)
-        good, bad = decode.split_required(rows, *self.required)
-        source = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
-        append_decoded(good, self.table, source, batch_id)
-        append_decoded(bad, self.rejects, source, batch_id)
+    """The same writer for any flat event shape, typed, with NOT NULL columns.
+
+    ``rejects`` takes the rows that lack one of ``required``, ``quarantine`` the
+    payloads that are no JSON object.
+    """
+
+    def __init__(
+        self,
+        table: AppendTable,
+        rejects: AppendTable,
+        quarantine: AppendTable,
+        shape: StructType,
+        required: Sequence[str] = (),
+        value: str = "value",
+    ):
+        self.table, self.rejects, self.quarantine = table, rejects, quarantine
+        self.shape, self.required, self.value = shape, tuple(required), value
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> dict[str, int]:
+        kept = decode.json_decode(batch, self.shape, self.value).persist()
+        try:
+            objects = kept.where(F.col("reason").isNull()).select("data.*")
+            good, bad = decode.split_required(objects, *self.required)
+            broken = kept.where(F.col("reason").isNotNull()).select(
+                F.col(self.value).cast("string").alias("value"), "reason"
+            )
+            counts = {}
+            for table, rows in (
+                (self.table, good), (self.rejects, bad), (self.quarantine, broken)
+            ):
+                counts[table.name] = rows.count()
+                if counts[table.name]:
+                    table.write_run(rows, run_source(batch), batch_id)
+            return counts
+        finally:
+            kept.unpersist()
 
 
 def start_ingest(

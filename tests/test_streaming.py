@@ -88,12 +88,17 @@ def test_a_new_query_never_overwrites_an_older_one(spark, root):
 def test_other_shapes_with_required_columns(spark, root):
     table = AppendTable(spark, root, "live", schemas.LIVE_EVENT, ("source", "batch_id"))
     rejects = AppendTable(spark, root, "rejects", schemas.LIVE_EVENT, ("source", "batch_id"))
-    writer = ShapeIngest(table, rejects, schemas.LIVE_EVENT, schemas.LIVE_EVENT.names)
+    broken = AppendTable(spark, root, "broken", schemas.QUARANTINE, ("source", "batch_id"))
+    names = schemas.LIVE_EVENT.names
+    writer = ShapeIngest(table, rejects, broken, schemas.LIVE_EVENT, names)
     good = {"id": 1, "username": "u", "watch_time": 2.0, "country": "IN", "timestamp": "t"}
     lines = [json.dumps(good), json.dumps({**good, "country": None}), "junk"]
-    writer(spark.createDataFrame([(v,) for v in lines], "value string"), 0)
+    for _ in range(2):
+        counts = writer(spark.createDataFrame([(v,) for v in lines], "value string"), 0)
+    assert counts == {"live": 1, "rejects": 1, "broken": 1}
     assert rows_of(table.read(), "id") == [(1,)]
     assert rejects.read().count() == 1
+    assert rows_of(broken.read(), "value") == [("junk",)]
 
 
 def test_kafka_is_only_an_option_away(spark):
