@@ -120,6 +120,18 @@ def meta_metric(spark: SparkSession, metrics: dict[str, str] = METRICS) -> DataF
     )
 
 
+def metric_definitions(
+    spark: SparkSession, category: str, metrics: dict[str, str] = METRICS
+) -> DataFrame:
+    """The same registry in its older, four-column form."""
+    return meta_metric(spark, metrics).select(
+        "metric_name",
+        F.col("metric_formula").alias("sql_definition"),
+        F.col("description").alias("business_definition"),
+        F.lit(category).alias("category"),
+    )
+
+
 def metric_eval(fact: DataFrame, metrics: dict[str, str] = METRICS) -> DataFrame:
     """Evaluate every metric in one aggregation of the fact: (metric_name, metric_value)."""
     values = fact.agg(

@@ -8,10 +8,11 @@ from datetime import datetime
 from pyspark.sql import SparkSession
 
 from tallystar import schemas
+from tallystar.functions.timestamps import as_wall_clock
 from tallystar.operators import calendar, catalog, seeds
 from tallystar.operators.dims import ORGANISATION, dim_upsert
 from tallystar.operators.watermark import EPOCH, LIVE_STREAM, watermark_init
-from tallystar.sources.rows import empty
+from tallystar.sources.rows import empty, one_row
 from tallystar.sources.tables import AppendTable, SnapshotTable
 
 
@@ -42,6 +43,9 @@ class Warehouse:
         self.meta_column = snapshot("meta_column", schemas.META_COLUMN)
         self.meta_counts = snapshot("meta_table_counts", schemas.META_TABLE_COUNTS)
         self.watermarks = snapshot("etl_watermarks", schemas.ETL_WATERMARKS)
+        # Older dimensions of the user star: region boxes and the 15-minute calendar.
+        self.region_boxes = snapshot("dim_region_box", schemas.DIM_REGION_BOX)
+        self.calendar = snapshot("dim_time_15min", schemas.DIM_TIME_15MIN)
         # User star: closed versions only grow, current ones are replaced.
         self.user_current = snapshot("dim_user_current", schemas.DIM_USER_SCD2)
         self.user_closed = append("dim_user_closed", schemas.DIM_USER_SCD2, "run_id")
@@ -94,11 +98,19 @@ def bootstrap(
     keys = {d.table: d.key for d in ORGANISATION} | {
         "dim_region": "region_code",
         "dim_time": "time_key",
+        "dim_region_box": "region_code",
+        "dim_time_15min": "time_15min_sk",
     }
-    seeded = seeds.seed_dims(spark) | {"dim_time": calendar.dim_time(spark, first_day, days)}
+    anchor = one_row(spark).select(as_wall_clock(run_ts).alias("run_ts"))
+    seeded = seeds.seed_dims(spark) | {
+        "dim_time": calendar.dim_time(spark, first_day, days),
+        "dim_region_box": seeds.seed_region_boxes(spark),
+        "dim_time_15min": calendar.dim_time_calendar(anchor, "run_ts"),
+    }
+    older = {t.name: t for t in (warehouse.region_boxes, warehouse.calendar)}
 
     def fill(name: str) -> None:
-        table = warehouse.dims[name]
+        table = (warehouse.dims | older)[name]
         table.replace(dim_upsert(table.read(), seeded[name], keys[name]))
 
     with ThreadPoolExecutor(8) as pool:

@@ -139,6 +139,7 @@ META_TABLE_COUNTS = _table(
     last_updated=CLOCK,
 )
 META_COLUMN = _table("table_name column_name data_type is_nullable description")
+METRIC_DEFINITION = _table("metric_name sql_definition business_definition category")
 META_METRIC = _table("metric_name metric_formula description")
 ETL_WATERMARKS = _table("pipeline_name last_run_ts", last_run_ts=CLOCK)
 QUARANTINE = _table("value reason")

@@ -76,6 +76,8 @@ def test_catalog(spark):
     metrics = catalog.metric_eval(raw, {"n": "count(*)", "most": "max(watch_time)"})
     assert rows_of(metrics, "metric_name", "metric_value") == [("most", 1.0), ("n", 1.0)]
     assert catalog.meta_metric(spark).count() == len(catalog.METRICS)
+    definitions = catalog.metric_definitions(spark, "watch")
+    assert definitions.columns == schemas.METRIC_DEFINITION.names
 
 
 def test_region_box_bounds_are_closed(spark):

@@ -41,6 +41,8 @@ def test_bootstrap(spark, root):
     assert len(warehouse.tables) == 13
     assert warehouse.dims["dim_time"].read().count() == 2880
     assert warehouse.meta_table.read().count() == 9
+    assert warehouse.region_boxes.read().count() == 5
+    assert warehouse.calendar.read().count() == 60 * 96 + 1
     assert warehouse.meta_column.read().where("table_name = 'etl.dim_time'").count() == 3
     assert mark(warehouse) == at(watermark.EPOCH)
     # A second bootstrap keeps data and doubles nothing; overwrite drops it.
