@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import connect, difference
+from checks.oracle import ORACLE
+from checks.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -11,13 +13,15 @@ def duck(sf):
     return connect(sf)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, sf, name):
     assert difference(spark, duck, name, sf) is None
 
 
 def test_registries_match():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLE) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):
