@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallystar.llm import contamination, pieces, secrets
+from tallystar.llm import contamination, pieces, repeats, secrets, simhash
 from tallystar.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,14 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(read(spark, sf_dir, "documents")))
 
 
+def op3_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op5_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op7_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(read(spark, sf_dir, "documents"), piece_model())
 
@@ -33,6 +41,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_secret_scans, op7_piece_round_trip, op9_decontamination)
+    f.__name__: f
+    for f in (op2_secret_scans, op3_simhash_groups, op5_repeat_removal, op7_piece_round_trip, op9_decontamination)
 }
 ORACLE: dict[str, str] = {}
