@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallystar.llm import contamination, pieces, repeats, secrets, simhash
+from tallystar.llm import contamination, pieces, repeats, rules, secrets, simhash
 from tallystar.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(read(spark, sf_dir, "documents")).drop("p_good")
+
+
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(read(spark, sf_dir, "documents")))
 
@@ -42,6 +46,13 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op2_secret_scans, op3_simhash_groups, op5_repeat_removal, op7_piece_round_trip, op9_decontamination)
+    for f in (
+        op1_quality_rules,
+        op2_secret_scans,
+        op3_simhash_groups,
+        op5_repeat_removal,
+        op7_piece_round_trip,
+        op9_decontamination,
+    )
 }
 ORACLE: dict[str, str] = {}
