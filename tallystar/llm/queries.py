@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallystar.llm import contamination, pieces, repeats, rules, secrets, simhash
+from tallystar.llm import contamination, counts, pages, pieces, quality, repeats, rules, secrets, sharding, simhash
 from tallystar.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,28 +31,48 @@ def op3_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op4_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(read(spark, sf_dir, "documents"))
+
+
 def op5_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(read(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.token_counts(read(spark, sf_dir, "documents"), piece_model())
+
+
 def op7_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(read(spark, sf_dir, "documents"), piece_model())
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(read(spark, sf_dir, "pages"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
     return contamination.digest(contamination.hits(docs, benchmark))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_rules,
         op2_secret_scans,
         op3_simhash_groups,
+        op4_minimax_shards,
         op5_repeat_removal,
+        op6_token_counts,
         op7_piece_round_trip,
+        op8_html_extraction,
         op9_decontamination,
+        op10_quality_classifier,
     )
 }
 ORACLE: dict[str, str] = {}
