@@ -208,11 +208,16 @@ def judge(docs: DataFrame) -> DataFrame:
 
 def keep(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
-    # Statistics and row travel together, so that no text is shuffled; the votes are counted first.
-    table = posteriors(kept(statistics(docs, []), "rules").withColumn("votes", votes()))
-    table = table.select(F.col("votes").alias("pattern__"), "p_good")
-    columns = docs.columns
-    carried = docs.select(F.struct(*columns).alias("row__"), "text")
-    seen = statistics(carried, ["row__"]).withColumn("votes", votes())
-    good = seen.join(F.broadcast(table), F.col("votes") == F.col("pattern__")).where(~_failed() & (F.col("p_good") >= 0.5))
-    return good.select("row__.*")
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    seen = kept(statistics(keyed, ["doc_id", "text_key"]), "rules").withColumn("votes", votes())
+    table = posteriors(seen).select(F.col("votes").alias("pattern"), "p_good")
+    bad = (
+        seen.join(F.broadcast(table), F.col("votes") == F.col("pattern"))
+        .where(_failed() | (F.col("p_good") < 0.5))
+        .select(F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key"))
+        .distinct()
+    )
+    # Id and text together, so that rows of one id with different texts are told apart.
+    return docs.join(
+        bad, docs["doc_id"].eqNullSafe(bad["bad_id"]) & (F.xxhash64(docs["text"]) == bad["bad_key"]), "left_anti"
+    )

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystar.llm.common import kept, per_text
@@ -284,9 +284,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without those that link to one of a smaller id; of rows of one id one stays.  Rows
-    without an id stay."""
+    """``docs`` without those that link to one of a smaller id.  Rows equal in id and text count as one and
+    leave one; rows without an id stay, as nothing tells them apart from others."""
     found = near_duplicates(docs)
     gone = found.where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("gone_id")).distinct()
     rest = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
-    return rest
+    columns = docs.columns
+    turn = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id"))
+    return rest.withColumn("turn__", turn).where("turn__ = 1").select(*columns)
