@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallystar.llm import contamination, counts, pages, pieces, quality, repeats, rules, secrets, sharding, simhash
 from tallystar.llm.common import read
+from tallystar.llm.sql import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,4 +76,4 @@ QUERIES: dict[str, Query] = {
         op10_quality_classifier,
     )
 }
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES", "piece_model"]
