@@ -34,10 +34,10 @@ def canonical(frame: pd.DataFrame) -> list[tuple]:
     return sorted(tuple(map(show, row)) for row in frame.itertuples(index=False))
 
 
-def difference(spark, con, name: str, sf_dir: str) -> str | None:
+def difference(spark, con, name: str, sf_dir: str, queries=QUERIES, oracle=ORACLE) -> str | None:
     """What differs between the query and its SQL, or None."""
-    mine = QUERIES[name](spark, sf_dir).toPandas()
-    theirs = con.execute(ORACLE[name]).df()
+    mine = queries[name](spark, sf_dir).toPandas()
+    theirs = con.execute(oracle[name]).df()
     if sorted(mine.columns) != sorted(theirs.columns):
         return f"columns {sorted(mine.columns)} != {sorted(theirs.columns)}"
     a, b = canonical(mine), canonical(theirs)
