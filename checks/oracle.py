@@ -86,7 +86,21 @@ LAST_PER_BATCH = f"""lastrows AS (SELECT * FROM (
   FROM (SELECT *, CASE WHEN event_ts <= TIMESTAMP '{CUT}' THEN 1 ELSE 2 END AS b FROM raw) x) t
   WHERE rn = 1)"""
 APPLIED = f"applied AS ({versions('lastrows', 'b')})"
-HISTORY = f"history AS ({versions('raw', 'event_ts, event_id')})"
+# The last state of each user and second counts.
+HISTORY = f"""lastsec AS (SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_ts ORDER BY event_id DESC) AS rn FROM raw) t
+  WHERE rn = 1),
+history AS ({versions('lastsec', 'event_ts')})"""
+# A payload as the producer writes it: fields in order, NULL ones left out.
+PAYLOAD = "'{' || concat_ws(',', " + ", ".join(
+    f"""'"{c}":' || """
+    + (
+        f"CAST({c} AS VARCHAR)"
+        if c in ("lat", "lon")
+        else f"""'"' || {text("event_ts") if c == "event_ts" else "watch_time_raw" if c == "watch_time" else c} || '"'"""
+    )
+    for c in schemas.EVENT_TEXT.names
+) + ") || '}'"
 AS_OF = """e JOIN {v} v ON e.user_id = v.user_id
   AND e.event_ts >= v.effective_from AND e.event_ts < v.effective_to"""
 
@@ -177,14 +191,14 @@ WATCH = "round(sum(watch_time), 2)"
 
 ORACLE: dict[str, str] = {
     "stream_source": ctes(MESSAGES)
-    + """SELECT i, CASE WHEN broken = 'null' THEN NULL WHEN broken IS NOT NULL THEN broken
-      ELSE '{"event_id":"' END AS head FROM msg""",
+    + f"""SELECT i, CASE WHEN broken = 'null' THEN NULL WHEN broken IS NOT NULL THEN broken
+      ELSE {PAYLOAD} END AS value FROM msg""",
     "json_decode": ctes(MESSAGES)
     + "SELECT "
     + ", ".join(
         text("event_ts") + " AS event_ts" if c == "event_ts" else c
         for c in schemas.EVENT_TEXT.names
-        if c not in ("watch_time", "lat", "lon")
+        if c != "watch_time"
     )
     + ", coalesce(try_cast(watch_time_raw AS DOUBLE), 0.0) AS watch_time FROM msg WHERE broken IS NULL",
     "raw_append": ctes(MESSAGES)
@@ -198,8 +212,15 @@ ORACLE: dict[str, str] = {
     )
     + " FROM msg WHERE broken IS NULL AND NOT late",
     "raw_append_idempotent": ctes(MESSAGES)
-    + """SELECT event_id, event_ts, coalesce(try_cast(watch_time_raw AS DOUBLE), 0.0) AS watch_time,
-      strftime(event_ts, '%Y-%m-%d') AS event_date FROM msg WHERE broken IS NULL""",
+    + "SELECT "
+    + ", ".join(
+        {
+            "ingestion_ts": f"TIMESTAMP '{RUN_TS}' AS ingestion_ts",
+            "watch_time": "coalesce(try_cast(watch_time_raw AS DOUBLE), 0.0) AS watch_time",
+        }.get(c, c)
+        for c in schemas.RAW.names
+    )
+    + ", strftime(event_ts, '%Y-%m-%d') AS event_date FROM msg WHERE broken IS NULL",
     "ingest_stamp": ctes()
     + f"""SELECT event_id, TIMESTAMP '{RUN_TS}' AS ingestion_ts,
       date_diff('second', event_ts, TIMESTAMP '{RUN_TS}') AS lag_seconds FROM raw""",
@@ -383,6 +404,12 @@ ORACLE: dict[str, str] = {
             f"SELECT 'etl_watermarks', 'live_stream|' || {text('max(event_ts)')}, 0.0 FROM raw",
         ]
     ),
+    "silver_run_late": ctes(FACT) + "SELECT * FROM fact",
+    "user_star_run": ctes(LAST_PER_BATCH, APPLIED)
+    + f"""SELECT 'user' AS kind, user_sk, {joined(["user_id", *TRACKED])} AS content,
+      {text("effective_from")} AS effective_from, {text("effective_to")} AS effective_to FROM applied
+      UNION ALL SELECT 'fact', user_sk, event_id, {text("event_ts")}, NULL
+      FROM raw {AS_OF.format(v="applied")}""",
     "empty_batch_guard": ctes(MESSAGES)
     + """SELECT 'none' AS batch, false AS written, CAST(0 AS BIGINT) AS raw_rows
       UNION ALL SELECT 'all', true, count(*) FROM msg WHERE broken IS NULL""",
@@ -412,19 +439,23 @@ ORACLE: dict[str, str] = {
         CAST(count(DISTINCT user_id) AS DOUBLE) AS u, CAST(count(DISTINCT employee_id) AS DOUBLE) AS e,
         CAST(count(*) FILTER (WHERE watch_time = 0) AS DOUBLE) AS z FROM raw) m""",
     "watch_by_org": ctes(*DIM_CTES)
-    + f"""SELECT company_name, branch_name, count(*) AS events, {WATCH} AS watch_time,
-      CAST(grouping(company_name, branch_name) AS BIGINT) AS grouping_level,
+    + f"""SELECT company_id, CASE WHEN grouping(company_id) = 0 THEN max(company_name) END AS company_name,
+      branch_id, CASE WHEN grouping(branch_id) = 0 THEN max(branch_name) END AS branch_name,
+      count(*) AS events, {WATCH} AS watch_time,
+      CAST(grouping(company_id, branch_id) AS BIGINT) AS grouping_level,
       {WATCH} / count(*) AS avg_watch_time
-      FROM (SELECT c.company_name, b.branch_name, r.watch_time FROM raw r
-        JOIN dim_company c ON c.company_id = r.company_id
-        JOIN dim_branch b ON b.branch_id = r.branch_id) x
-      GROUP BY ROLLUP (company_name, branch_name)""",
+      FROM (SELECT r.company_id, c.company_name, r.branch_id,
+          CASE b.branch_name WHEN 'Gurgaon' THEN 'Noida' ELSE b.branch_name END AS branch_name, r.watch_time
+        FROM raw r LEFT JOIN dim_company c ON c.company_id = r.company_id AND c.company_id <> 'C2'
+        LEFT JOIN dim_branch b ON b.branch_id = r.branch_id) x
+      GROUP BY ROLLUP (company_id, branch_id)""",
     "watch_by_department": ctes(*DIM_CTES)
     + f"""SELECT m.department, count(*) AS events, count(DISTINCT r.user_id) AS users,
-      {WATCH} AS watch_time FROM raw r JOIN dim_manager m ON m.manager_id = r.manager_id GROUP BY 1""",
+      {WATCH} AS watch_time FROM raw r
+      LEFT JOIN dim_manager m ON m.manager_id = r.manager_id AND m.manager_id <> 'M_C1_1' GROUP BY 1""",
     "watch_by_project": ctes(*DIM_CTES)
-    + f"""SELECT p.project_code, p.project_name, c.company_name, count(*) AS events, {WATCH} AS watch_time
-      FROM raw r JOIN dim_project p ON p.project_code = r.project_code
+    + f"""SELECT r.project_code, p.project_name, c.company_name, count(*) AS events, {WATCH} AS watch_time
+      FROM raw r LEFT JOIN dim_project p ON p.project_code = r.project_code AND p.project_code <> 'P_C1_1'
       LEFT JOIN dim_company c ON c.company_id = p.company_id GROUP BY 1, 2, 3""",
     "watch_15min": ctes()
     + f"""SELECT strftime(t, '%Y%m%d_%H%M') AS time_key, t AS time_bucket_start,

@@ -29,6 +29,7 @@ from tallystar.operators import (
     seeds,
     watermark,
 )
+from tallystar.plans import silver
 from tallystar.plans.silver import silver_run
 from tallystar.plans.warehouse import Warehouse, bootstrap
 from tallystar.sources import csv_snapshots, files
@@ -94,15 +95,17 @@ def stream_source_rows(spark, sf):
         "checkpointLocation", files.shared_dir(spark, "checkpoint")
     ).trigger(availableNow=True).start().awaitTermination()
     landed = spark.read.schema("i bigint, value string").parquet(out)
-    return landed.select("i", F.substring("value", 1, 13).alias("head"))
+    return landed.select("i", "value")
 
 
 @query
 def json_decode(spark, sf):
     rows = decode.decoded(fixtures.messages(spark, sf), schemas.EVENT_TEXT)
     return rows.select(
-        *[F.col(c) for c in schemas.EVENT_TEXT.names if c not in ("watch_time", "lat", "lon")],
-        decode.measure("watch_time").alias("watch_time"),
+        *[
+            decode.measure(c).alias(c) if c in ("watch_time", "lat", "lon") else F.col(c)
+            for c in schemas.EVENT_TEXT.names
+        ]
     )
 
 
@@ -121,9 +124,7 @@ def raw_append_idempotent(spark, sf):
     writer = RawIngest(warehouse, source="replay", ingested_at=RUN_TS)
     for batch_id, part in ((0, first), (1, second), (1, second), (0, first)):
         writer(payloads.join(part.select("i"), "i", "left_semi").select("value"), batch_id)
-    return warehouse.raw.read(prunable=True).select(
-        "event_id", "event_ts", "watch_time", text("event_date")
-    )
+    return warehouse.raw.read(prunable=True).select(*schemas.RAW.names, text("event_date"))
 
 
 @query
@@ -641,6 +642,58 @@ def silver_run_twice(spark, sf):
     return union(parts)
 
 
+@query
+def silver_run_late(spark, sf):
+    """A plain run, late events under two different lateness values, a plain run: each event once."""
+    warehouse = Warehouse(spark, files.shared_dir(spark, "warehouse"))
+    bootstrap(warehouse, RUN_TS, first_day="2024-01-01 00:00:00")
+    first, second = fixtures.two_batches(fixtures.raw(spark, sf))
+    day = f"timestamp_ntz'{fixtures.CUT}' - INTERVAL 1 DAY"
+    late, hour = f"event_ts > {day}", F.minute("event_ts") % 3
+    steps = [
+        (first.where(f"NOT ({late}) OR minute(event_ts) % 3 = 0"), None),
+        (first.where(late).where(hour == 1), "2 days"),
+        (first.where(late).where(hour == 2), "30 hours"),
+        (second, None),
+    ]
+    for n, (batch, lateness) in enumerate(steps):
+        warehouse.raw.write_run(batch, "test", n)
+        silver_run(warehouse, RUN_TS, lateness=lateness)
+    return warehouse.fact.read()
+
+
+@query
+def user_star_run(spark, sf):
+    """Two batches, with four failed tries of the second: users and facts as if none had failed."""
+    warehouse = Warehouse(spark, files.shared_dir(spark, "warehouse"))
+    raw = fixtures.raw(spark, sf)
+    first, _ = fixtures.two_batches(raw)
+    silver.user_star_run(warehouse, first, RUN_TS)
+
+    def lost(*_):
+        raise OSError("lost before the mark")
+
+    save, tries = silver._save_mark, 4
+    for n in range(tries + 1):
+        silver._save_mark = lost if n < tries else save
+        try:
+            silver.user_star_run(warehouse, raw, RUN_TS)
+        except OSError:
+            continue
+        finally:
+            silver._save_mark = save
+    users, fact = warehouse.users(), warehouse.user_fact.read()
+    return _versions(users).select(
+        F.lit("user").alias("kind"), "user_sk", F.concat_ws("|", "user_id", *scd2.TRACKED).alias("content"),
+        text("effective_from"), "effective_to",
+    ).unionByName(
+        fact.select(
+            F.lit("fact").alias("kind"), "user_sk", F.col("event_id").alias("content"),
+            text("event_ts").alias("effective_from"), F.lit(None).cast("string").alias("effective_to"),
+        )
+    )
+
+
 @query
 def empty_batch_guard(spark, sf):
     warehouse = Warehouse(spark, files.shared_dir(spark, "warehouse"))
@@ -690,16 +743,17 @@ def metric_eval(spark, sf):
 @query
 def watch_by_org(spark, sf):
     raw = fixtures.raw(spark, sf)
-    return analytics.watch_by_org(
-        facts.fact_project(raw, RUN_TS), dims.COMPANY.latest(raw), dims.BRANCH.latest(raw)
-    )
+    # A company nobody knows, and two branches of one name.
+    companies = dims.COMPANY.latest(raw).where("company_id <> 'C2'")
+    branches = dims.BRANCH.latest(raw).replace({"Gurgaon": "Noida"}, subset=["branch_name"])
+    return analytics.watch_by_org(facts.fact_project(raw, RUN_TS), companies, branches)
 
 
 @query
 def watch_by_department(spark, sf):
     raw = fixtures.raw(spark, sf)
     return analytics.watch_by_department(
-        facts.fact_project(raw, RUN_TS), dims.MANAGER.latest(raw)
+        facts.fact_project(raw, RUN_TS), dims.MANAGER.latest(raw).where("manager_id <> 'M_C1_1'")
     )
 
 
@@ -707,7 +761,9 @@ def watch_by_department(spark, sf):
 def watch_by_project(spark, sf):
     raw = fixtures.raw(spark, sf)
     return analytics.watch_by_project(
-        facts.fact_project(raw, RUN_TS), dims.PROJECT.latest(raw), dims.COMPANY.latest(raw)
+        facts.fact_project(raw, RUN_TS),
+        dims.PROJECT.latest(raw).where("project_code <> 'P_C1_1'"),
+        dims.COMPANY.latest(raw),
     )
 
 

@@ -5,12 +5,34 @@ from __future__ import annotations
 import argparse
 from datetime import datetime, timezone
 
+from tallystar import schemas
 from tallystar.operators.watermark import EPOCH
 from tallystar.plans.silver import silver_run, user_star_run
 from tallystar.plans.warehouse import Warehouse, bootstrap
 from tallystar.session import build
 from tallystar.sources.streams import stream_source
-from tallystar.streaming.ingest import RawIngest, start_ingest
+from tallystar.sources.tables import AppendTable
+from tallystar.streaming.ingest import RawIngest, ShapeIngest, start_ingest
+
+
+# Older event shapes and their NOT NULL columns.
+SHAPES = {
+    "sensor": (schemas.SENSOR_EVENT, ()),
+    "live": (schemas.LIVE_EVENT, ()),
+    "user": (schemas.USER_EVENT, ("event_id",)),
+}
+
+
+def shape_writer(spark, root: str, shape: str) -> ShapeIngest:
+    """Tables ``raw_<shape>``, ``raw_<shape>_rejects`` and ``raw_<shape>_quarantine``."""
+    schema, required = SHAPES[shape]
+
+    def table(suffix: str, columns) -> AppendTable:
+        return AppendTable(spark, root, f"raw_{shape}{suffix}", columns, ("source", "batch_id"))
+
+    return ShapeIngest(
+        table("", schema), table("_rejects", schema), table("_quarantine", schemas.QUARANTINE), schema, required
+    )
 
 
 def arguments(argv=None) -> argparse.Namespace:
@@ -36,11 +58,14 @@ def arguments(argv=None) -> argparse.Namespace:
     ingest.add_argument("--path", help="directory of a file source")
     ingest.add_argument("--checkpoint", required=True)
     ingest.add_argument("--interval", help="trigger interval; default back to back")
+    ingest.add_argument("--starting", default="latest", help="first offset of a new topic query")
+    ingest.add_argument("--shape", choices=["org", *SHAPES], default="org", help="shape of the events")
     ingest.add_argument("--available-now", action="store_true", help="stop when caught up")
 
     silver = job("silver", "load new RAW rows into the star schema")
     silver.add_argument("--export", help="directory of the CSV snapshots")
     silver.add_argument("--lateness", help="interval behind the mark to read again")
+    silver.add_argument("--register-counts", action="store_true", help="count the tables afterwards")
 
     job("users", "load new RAW rows into the type-2 user star")
     return parser.parse_args(argv)
@@ -55,17 +80,19 @@ def run(args: argparse.Namespace) -> object:
         mark = run_ts if args.watermark == "now" else args.watermark
         return bootstrap(warehouse, run_ts, args.overwrite, args.first_day, args.days, mark)
     if args.job == "silver":
-        return silver_run(warehouse, run_ts, args.export, args.lateness)
+        return silver_run(
+            warehouse, run_ts, args.export, args.lateness, register=args.register_counts
+        )
     if args.job == "users":
         return user_star_run(warehouse, warehouse.raw.read(prunable=True), run_ts)
     place = (
-        {"topic": args.topic, "servers": args.servers}
+        {"topic": args.topic, "servers": args.servers, "starting": args.starting}
         if args.format == "kafka"
         else {"path": args.path}
     )
     query = start_ingest(
         stream_source(spark, args.format, **place),
-        RawIngest(warehouse),
+        RawIngest(warehouse) if args.shape == "org" else shape_writer(spark, args.root, args.shape),
         args.checkpoint,
         args.interval,
         args.available_now,

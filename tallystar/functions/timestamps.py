@@ -20,6 +20,10 @@ LAST_SECOND = 253402300799
 # Accepted text shapes.  Space form: only the first 19 characters
 # count.  ISO form: the whole text must match; group 1 is the wall clock.
 SPACE_FORM = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
+EVENT_FORM = (
+    r"^\s*\d{4}-\d{1,2}-\d{1,2}(?:[T ]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d+)?)?"
+    r"\s*(?:Z|[+-]\d{1,2}(?::?\d{2}(?::?\d{2})?)?)?)?\s*$"
+)
 ISO_FORM = (
     r"^(\d{4}-\d{2}-\d{2}(?:[T ]\d{2}(?::\d{2}(?::\d{2})?)?)?)"
     r"(?:[.,]\d+)?(?:Z|[+-]\d{2}(?::?\d{2}(?::?\d{2})?)?)?$"
@@ -31,7 +35,7 @@ def as_wall_clock(value: Column | datetime | str) -> Column:
     if isinstance(value, Column):
         return value.cast("timestamp_ntz")
     if isinstance(value, datetime):
-        value = value.strftime("%Y-%m-%d %H:%M:%S")
+        value = value.isoformat(sep=" ")
     return F.lit(value).cast("timestamp_ntz")
 
 
@@ -75,6 +79,15 @@ def floor_to_quarter(ts: Column) -> Column:
     return ts - past
 
 
+def event_time(text: Column) -> Column:
+    """The wall clock of an event, at second precision; NULL where the text is none.
+
+    A date is whole, an offset is dropped, and the year is one of 1..9999.
+    """
+    parsed = F.when(text.rlike(EVENT_FORM), text.try_cast("timestamp_ntz"))
+    return F.when(F.year(parsed).between(1, 9999), truncate_to_second(parsed))
+
+
 def _from_text(text: Column) -> Column:
     head = F.substring(text, 1, 19)
     iso = F.regexp_extract(text, ISO_FORM, 1)

@@ -21,31 +21,45 @@ def _total(column: str = "watch_time") -> Column:
 
 
 def watch_by_org(fact: DataFrame, companies: DataFrame, branches: DataFrame) -> DataFrame:
-    """Events and watch time per company and branch, with ROLLUP subtotals."""
+    """Events and watch time per company and branch, with ROLLUP subtotals.
+
+    Groups are ids, so namesakes stay apart; an unknown id has no name and counts in
+    every total.
+    """
     per_branch = fact.groupBy("company_id", "branch_id").agg(
         F.count("*").alias("n"), F.sum("watch_time").alias("w")
     )
-    named = per_branch.join(companies.select("company_id", "company_name"), "company_id").join(
-        branches.select("branch_id", "branch_name"), "branch_id"
+    named = per_branch.join(
+        companies.select("company_id", "company_name"), "company_id", "left"
+    ).join(branches.select("branch_id", "branch_name"), "branch_id", "left")
+    total = named.rollup("company_id", "branch_id").agg(
+        F.max("company_name").alias("_company"),
+        F.max("branch_name").alias("_branch"),
+        F.sum("n").alias("events"),
+        _total("w").alias("watch_time"),
+        F.grouping_id().alias("grouping_level"),
     )
-    return (
-        named.rollup("company_name", "branch_name")
-        .agg(
-            F.sum("n").alias("events"),
-            _total("w").alias("watch_time"),
-            F.grouping_id().alias("grouping_level"),
-        )
-        .withColumn("avg_watch_time", F.col("watch_time") / F.col("events"))
+    level = F.col("grouping_level")
+    return total.select(
+        "company_id",
+        F.when(level < 3, F.col("_company")).alias("company_name"),
+        "branch_id",
+        F.when(level < 1, F.col("_branch")).alias("branch_name"),
+        "events",
+        "watch_time",
+        "grouping_level",
+        (F.col("watch_time") / F.col("events")).alias("avg_watch_time"),
     )
 
 
 def watch_by_department(fact: DataFrame, managers: DataFrame) -> DataFrame:
-    """Events, distinct users and watch time per department of the manager."""
+    """Events, distinct users and watch time per department of the manager; an unknown manager
+    counts under no department."""
     per_user = fact.groupBy("manager_id", "user_id").agg(
         F.count("*").alias("n"), F.sum("watch_time").alias("w")
     )
     return (
-        per_user.join(managers.select("manager_id", "department"), "manager_id")
+        per_user.join(managers.select("manager_id", "department"), "manager_id", "left")
         .groupBy("department", "user_id")
         .agg(F.sum("n").alias("n"), F.sum("w").alias("w"))
         .groupBy("department")
@@ -58,13 +72,13 @@ def watch_by_department(fact: DataFrame, managers: DataFrame) -> DataFrame:
 
 
 def watch_by_project(fact: DataFrame, projects: DataFrame, companies: DataFrame) -> DataFrame:
-    """Events and watch time per project, with its company."""
+    """Events and watch time per project, with its company; an unknown project has no names."""
     per_project = fact.groupBy("project_code").agg(
         F.count("*").alias("events"), _total().alias("watch_time")
     )
     return (
         per_project.join(
-            projects.select("project_code", "project_name", "company_id"), "project_code"
+            projects.select("project_code", "project_name", "company_id"), "project_code", "left"
         )
         .join(companies.select("company_id", "company_name"), "company_id", "left")
         .select("project_code", "project_name", "company_name", "events", "watch_time")

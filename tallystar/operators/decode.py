@@ -13,12 +13,14 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from tallystar import schemas
 from tallystar.functions.numbers import parse_float
-from tallystar.functions.timestamps import as_wall_clock, instant_to_wall_clock
+from tallystar.functions.timestamps import as_wall_clock, event_time, instant_to_wall_clock
 
+# Field of the element that follows a whole payload.
+END = "_end_of_payload"
 OK, ERROR, QUARANTINE = "ok", "error", "quarantine"
 
 # The metric row written for a rejected event.
@@ -30,18 +32,24 @@ def json_decode(messages: DataFrame, schema: StructType, value: str = "value") -
     """Decode ``value`` (text or binary) into ``data``, a struct of ``schema``.
 
     ``reason`` is NULL for a decoded object and says what is wrong otherwise.
-    The payload is parsed as the only element of an array, which makes trailing
-    text after the object malformed instead of silently ignored.
+    The payload is parsed as the first of two elements of an array.  Only a payload
+    that ends with its object lets the parser reach the second one, so trailing
+    text is malformed instead of silently ignored.
     """
     text = F.col(value).cast("string")
     options = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
-    wrapped = F.from_json(F.concat(F.lit("["), text, F.lit("]")), ArrayType(schema), options)
+    marked = StructType(schema.fields + [StructField(END, StringType())])
+    closed = F.concat(F.lit("["), text, F.lit(f',{{"{END}":"1"}}]'))
+    wrapped = F.from_json(closed, ArrayType(marked), options)
     # A filter on ``data`` cannot move below the generator, so it never makes
     # Spark parse the payload once more.
-    only = F.when(F.size("_parsed") == 1, F.col("_parsed"))
+    whole = (F.size("_parsed") == 2) & (F.get("_parsed", F.lit(1))[END] == "1")
+    only = F.when(whole, F.slice("_parsed", 1, 1))
+    fields = F.struct(*[F.col("data")[f].alias(f) for f in schema.names])
     return (
         messages.withColumn("_parsed", wrapped)
         .select(*messages.columns, F.explode_outer(only).alias("data"))
+        .withColumn("data", F.when(F.col("data").isNotNull(), fields))
         .withColumn(
             "reason",
             F.when(F.col(value).isNull(), "null payload")
@@ -88,7 +96,7 @@ def classify(messages: DataFrame, value: str = "value") -> DataFrame:
     event_ts = F.col("data.event_ts")
     return (
         json_decode(messages, schemas.EVENT_TEXT, value)
-        .withColumn("_event_ts", event_ts.try_cast("timestamp_ntz"))
+        .withColumn("_event_ts", event_time(event_ts))
         .withColumn(
             "status",
             F.when(F.col("reason").isNotNull(), QUARANTINE)

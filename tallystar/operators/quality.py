@@ -59,24 +59,51 @@ def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
 
 
 def fk_orphans(tables: dict[str, DataFrame], relations=RELATIONS) -> DataFrame:
-    """Per relation: orphan rows and distinct orphan keys (zero rows included)."""
-    reports = [
-        orphans(tables[child], tables[parent], key)
+    """Per relation: orphan rows and distinct orphan keys (zero rows included).
+
+    Every table is read once: its rows give its own key, as a parent, and the keys
+    they point to, as a child.  All of them are counted per (parent, value), where a
+    value without a parent's row is an orphan of the relations that hold it.
+    """
+    known = [r for r in relations if r[0] in tables and r[2] in tables]
+    keys = {parent: key for _, key, parent in known}
+
+    def values(name: str, rows: DataFrame) -> DataFrame:
+        found = [(name, keys[name], -1)] if name in keys else []
+        found += [(parent, key, n) for n, (child, key, parent) in enumerate(known) if child == name]
+        pairs = [
+            F.struct(F.lit(p).alias("parent"), F.col(k).alias("value"), F.lit(n).alias("relation"))
+            for p, k, n in found
+        ]
+        return rows.select(F.explode(F.array(*pairs)).alias("v")).select("v.*")
+
+    used = {t for child, _, parent in known for t in (child, parent)}
+    every = reduce(DataFrame.unionByName, [values(n, r) for n, r in tables.items() if n in used])
+    per_value = (
+        every.where(F.col("value").isNotNull())
+        .groupBy("parent", "value")
         .agg(
-            F.coalesce(F.sum("orphan_rows"), F.lit(0)).alias("orphan_rows"),
-            F.count("*").alias("orphan_keys"),
+            F.count_if(F.col("relation") == -1).alias("there"),
+            *[F.count_if(F.col("relation") == n).alias(f"n{n}") for n in range(len(known))],
         )
-        .select(
-            F.lit(child).alias("child_table"),
-            F.lit(key).alias("fk_column"),
-            F.lit(parent).alias("parent_table"),
-            "orphan_rows",
-            "orphan_keys",
-        )
-        for child, key, parent in relations
-        if child in tables and parent in tables
-    ]
-    return reduce(DataFrame.unionByName, reports)
+    )
+    totals = per_value.where("there = 0").agg(
+        *[F.coalesce(F.sum(f"n{n}"), F.lit(0)).alias(f"n{n}") for n in range(len(known))],
+        *[F.count_if(F.col(f"n{n}") > 0).alias(f"k{n}") for n in range(len(known))],
+    )
+    lines = F.array(
+        *[
+            F.struct(
+                F.lit(child).alias("child_table"),
+                F.lit(key).alias("fk_column"),
+                F.lit(parent).alias("parent_table"),
+                F.col(f"n{n}").alias("orphan_rows"),
+                F.col(f"k{n}").alias("orphan_keys"),
+            )
+            for n, (child, key, parent) in enumerate(known)
+        ]
+    )
+    return totals.select(F.inline(lines))
 
 
 def region_conformance(events: DataFrame, regions: DataFrame) -> DataFrame:

@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 from tallystar import schemas
 from tallystar.functions.keys import surrogate_key, time_bucket_key
 from tallystar.functions.numbers import parse_float
-from tallystar.functions.timestamps import as_wall_clock, epoch_seconds
+from tallystar.functions.timestamps import as_wall_clock, epoch_seconds, truncate_to_second
 from tallystar.operators.rank import (
-    EVENT_ORDER,
     MAX_ROWS_PER_GROUP,
     SLICE,
     add_slices,
@@ -27,11 +26,9 @@ from tallystar.operators.rank import (
     with_previous,
 )
 
+# Tracked attributes, and the open end of a version.
 TRACKED = ("username", "device_type", "app_version", "region_code", "city")
 END_OF_TIME = "9999-12-31 23:59:59"
-# Versions one event may be tested against in the equi join; users beyond it
-# switch the lookup to the sorted form, which is linear in their versions.
-MAX_VERSIONS_PER_KEY = 64
 
 
 def _changed(left: str, right: str) -> Column:
@@ -111,17 +108,26 @@ def scd2_counts(dim: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def scd2_history(events: DataFrame, max_rows: int = MAX_ROWS_PER_GROUP) -> DataFrame:
-    """Every attribute change opens a version, whatever the batch cuts."""
-    rows = events.where(F.col("user_id").isNotNull()).select(
-        "user_id", "event_ts", "event_id", *TRACKED
+    """Every attribute change opens a version, whatever the batch cuts.
+
+    Keys have second precision: of the states of one user in one second the last
+    counts.  That is an aggregation, so a crowded second is combined before the shuffle.
+    """
+    second = truncate_to_second(F.col("event_ts")).alias("event_ts")
+    last = F.max_by(F.struct(*TRACKED), F.struct("event_ts", "event_id")).alias("_last")
+    rows = (
+        events.where(F.col("user_id").isNotNull() & F.col("event_ts").isNotNull())
+        .groupBy("user_id", second)
+        .agg(last)
+        .select("user_id", "event_ts", "_last.*")
     )
     sliced, hot = add_slices(rows, "user_id", "event_ts", max_rows)
     attributes = F.struct(*TRACKED)
-    steps = with_previous(sliced, "user_id", attributes, EVENT_ORDER, hot)
+    steps = with_previous(sliced, "user_id", attributes, ("event_ts",), hot)
     changes = steps.withColumn("_now", attributes).where(
         F.col("_previous").isNull() | _changed("_previous", "_now")
     )
-    closed = with_next(changes, "user_id", F.struct("event_ts"), EVENT_ORDER, hot)
+    closed = with_next(changes, "user_id", F.struct("event_ts"), ("event_ts",), hot)
     end = F.coalesce("_next.event_ts", as_wall_clock(END_OF_TIME))
     return closed.select(
         surrogate_key(F.col("user_id"), F.col("event_ts")).alias("user_sk"),
@@ -194,12 +200,12 @@ def asof_lookup(
     events: DataFrame,
     versions: DataFrame,
     disjoint: bool = True,
-    max_versions: int = MAX_VERSIONS_PER_KEY,
     max_rows: int = MAX_ROWS_PER_GROUP,
 ) -> DataFrame:
     """Events with the version valid at event_ts; an event without one is dropped.
 
-    Adds user_sk, effective_from and effective_to.  ``disjoint=False`` allows
+    Adds user_sk, effective_from and effective_to.  One ordered pass over events and
+    version starts, linear in both.  ``disjoint=False`` allows
     overlapping versions of a user: the latest start wins, and the result holds
     one row per event_id, its first, as the fact's primary key demands.
     """
@@ -208,9 +214,6 @@ def asof_lookup(
         order = F.struct(-epoch_seconds(F.col("event_ts")), "effective_from", "user_sk")
         best = F.max_by(F.struct(*events.columns, *version), order).alias("_best")
         return _within(events, versions).groupBy("event_id").agg(best).select("_best.*")
-    crowded = versions.groupBy("user_id").count().where(F.col("count") > max_versions)
-    if crowded.isEmpty():
-        return _within(events, versions)
     return _last_started(events, versions, max_rows)
 
 

@@ -6,7 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import nullcontext
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallystar import schemas
@@ -20,7 +20,6 @@ from tallystar.operators.watermark import (
     incremental_load,
     incremental_load_14col,
     watermark_read,
-    watermark_write,
 )
 from tallystar.plans.warehouse import Warehouse
 from tallystar.sources.csv_snapshots import csv_export
@@ -32,21 +31,44 @@ NARROW_ABOVE = 20_000_000
 EXPORTED = tuple(d.table for d in ORGANISATION)
 
 
-def _run_id(mark: datetime) -> str:
-    """A run is named by the mark it started from, so a retry replaces it."""
-    return f"since-{mark:%Y%m%dT%H%M%S}"
+def _begin(warehouse: Warehouse, pipeline: str) -> tuple[datetime, int, str]:
+    """(mark, number, id) of the run that is due.
+
+    The number stands beside the mark and rises with it in one write, when a run is
+    done: a retry has the number of its first try and replaces what that wrote,
+    and no other run can have it, whichever events it loads.
+    """
+    marks = warehouse.watermarks.read()
+    mark = watermark_read(marks, pipeline).first()["last_run_ts"]
+    last = marks.where(F.col("pipeline_name") == pipeline).agg(F.max("run_number")).first()[0]
+    number = (last or 0) + 1
+    return mark, number, f"run-{number:08d}"
 
 
 def _bounds(batch: DataFrame):
     return batch.agg(F.count("*").alias("row_count"), F.max("event_ts").alias("upto")).first()
 
 
-def _save_mark(warehouse: Warehouse, pipeline: str, upto: datetime, run_ts) -> None:
+def _save_mark(warehouse: Warehouse, pipeline: str, upto: datetime, number: int) -> None:
+    """The mark keeps its fraction of a second: an event is after it, or was loaded."""
     mark = one_row(warehouse.spark).select(
-        F.lit(pipeline).alias("pipeline_name"), as_wall_clock(upto).alias("last_run_ts")
+        F.lit(pipeline).alias("pipeline_name"),
+        as_wall_clock(upto).alias("last_run_ts"),
+        F.lit(number).cast("long").alias("run_number"),
     )
     marks = warehouse.watermarks
-    marks.replace(watermark_write(marks.read(), mark, run_ts))
+    marks.replace(dim_upsert(marks.read(), mark, "pipeline_name"))
+
+
+def _late(batch: DataFrame, mark: datetime, held: DataFrame) -> DataFrame:
+    """What a run with lateness loads: events the fact does not hold, once each.
+
+    Without an id nothing tells a late event from a loaded one: those count from
+    the mark on, as in any other run.
+    """
+    has_id = F.col("event_id").isNotNull()
+    plain = batch.where(~has_id & (F.col("event_ts") > as_wall_clock(mark)))
+    return dedupe_by_key(batch.where(has_id), "event_id", held).unionByName(plain)
 
 
 def silver_run(
@@ -55,6 +77,7 @@ def silver_run(
     export_dir: str | None = None,
     lateness: str | None = None,
     narrow_above: int = NARROW_ABOVE,
+    register: bool = False,
 ) -> dict[str, int]:
     """One incremental run: dimensions, then the fact, then the watermark, then CSV.
 
@@ -62,16 +85,16 @@ def silver_run(
     re-reads only its own columns of the same files, pruned by date.  Without
     new rows nothing at all is written.  ``lateness`` re-reads that interval
     behind the mark and keeps only events the fact does not hold yet; copies of
-    an event carry the same event_ts.
+    an event carry the same event_ts.  ``register`` counts the star's tables
+    into the catalog afterwards.
     """
     spark = warehouse.spark
-    mark = watermark_read(warehouse.watermarks.read(), LIVE_STREAM).first()["last_run_ts"]
-    run_id = _run_id(mark)
+    mark, number, run_id = _begin(warehouse, LIVE_STREAM)
     batch = incremental_load(warehouse.raw.read(prunable=True), mark, lateness)
     if lateness is not None:
         oldest = as_wall_clock(mark) - F.expr(f"INTERVAL {lateness}")
         held = not_before(warehouse.fact.read(prunable=True, without_run=run_id), oldest)
-        batch = dedupe_by_key(batch, "event_id", held).persist()
+        batch = _late(batch, mark, held).persist()
     bounds = _bounds(batch)
     if not bounds["row_count"]:
         if lateness is not None:
@@ -94,24 +117,28 @@ def silver_run(
         with ThreadPoolExecutor(len(ORGANISATION)) as pool:
             upserted = list(pool.map(lambda d: save(d, heads), ORGANISATION))
 
-    warehouse.fact.write_run(facts.fact_project(batch, run_ts), run_id)
+    written = Observation()
+    fact = facts.fact_project(batch, run_ts).observe(written, F.count(F.lit(1)).alias("rows"))
+    warehouse.fact.write_run(fact, run_id)
     # RAW holds doubles, so no row can be refused by the fact's cast here; text
     # sources go through facts.fact_errors.
-    _save_mark(warehouse, LIVE_STREAM, max(upto, mark), run_ts)
+    _save_mark(warehouse, LIVE_STREAM, max(upto, mark), number)
     counts = {
         "raw_loaded": bounds["row_count"],
         **{d.table: n for d, n in zip(ORGANISATION, upserted)},
-        "fact_user_activity": bounds["row_count"],
+        "fact_user_activity": written.get["rows"],
     }
     warehouse.run_counts.write_run(
         literal_rows(spark, list(counts.items()), schemas.RUN_COUNTS), run_id
     )
     if lateness is not None:
         batch.unpersist()
+    if register:
+        warehouse.register_counts(run_ts)
     if export_dir:
         tables = {name: warehouse.dims[name].read() for name in EXPORTED}
         tables["fact_user_activity"] = warehouse.fact.read()
-        csv_export(tables, export_dir)
+        csv_export(tables, export_dir, one_file=EXPORTED)
     return counts
 
 
@@ -121,9 +148,7 @@ def user_star_run(warehouse: Warehouse, raw: DataFrame, run_ts: datetime | str)
     ``raw`` holds the user-event columns.  The fact looks up the dimension as it
     stands after the batch; a version that starts after an event cannot match it.
     """
-    marks = warehouse.watermarks.read()
-    mark = watermark_read(marks, RAW_TO_SILVER).first()["last_run_ts"]
-    run_id = _run_id(mark)
+    mark, number, run_id = _begin(warehouse, RAW_TO_SILVER)
     batch = incremental_load_14col(raw, mark)
     upto = _bounds(batch)["upto"]
     if upto is None:
@@ -141,5 +166,5 @@ def user_star_run(warehouse: Warehouse, raw: DataFrame, run_ts: datetime | str)
     versions = delta.select("user_sk", "user_id", "effective_from", "effective_to")
     warehouse.user_fact.write_run(scd2.fact_user_watch(batch, versions), run_id)
     delta.unpersist()
-    _save_mark(warehouse, RAW_TO_SILVER, upto, run_ts)
+    _save_mark(warehouse, RAW_TO_SILVER, upto, number)
     return {"inserts": inserts, "updates": updates}

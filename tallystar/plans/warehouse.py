@@ -6,6 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import SparkSession
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tallystar import schemas
 from tallystar.functions.timestamps import as_wall_clock
@@ -42,7 +43,9 @@ class Warehouse:
         self.meta_table = snapshot("meta_table", schemas.META_TABLE)
         self.meta_column = snapshot("meta_column", schemas.META_COLUMN)
         self.meta_counts = snapshot("meta_table_counts", schemas.META_TABLE_COUNTS)
-        self.watermarks = snapshot("etl_watermarks", schemas.ETL_WATERMARKS)
+        # Stored next to each mark: the number of the last run that moved it.
+        marks = StructType(schemas.ETL_WATERMARKS.fields + [StructField("run_number", LongType())])
+        self.watermarks = snapshot("etl_watermarks", marks)
         # Older dimensions of the user star: region boxes and the 15-minute calendar.
         self.region_boxes = snapshot("dim_region_box", schemas.DIM_REGION_BOX)
         self.calendar = snapshot("dim_time_15min", schemas.DIM_TIME_15MIN)
@@ -66,6 +69,21 @@ class Warehouse:
             self.watermarks,
         ]
 
+    @property
+    def others(self) -> list[SnapshotTable | AppendTable]:
+        """The tables around them: counts, rejects, older dimensions, the user star."""
+        return [
+            self.quarantine,
+            self.batch_counts,
+            self.run_counts,
+            self.meta_counts,
+            self.region_boxes,
+            self.calendar,
+            self.user_current,
+            self.user_closed,
+            self.user_fact,
+        ]
+
     def users(self):
         """The whole type-2 user dimension."""
         return self.user_closed.read().unionByName(self.user_current.read())
@@ -94,7 +112,10 @@ def bootstrap(
     """
     spark = warehouse.spark
     with ThreadPoolExecutor(8) as pool:  # the tables do not depend on each other
-        list(pool.map(lambda t: t.recreate() if overwrite else t.ensure(), warehouse.tables))
+        if overwrite:  # a mark that starts anew must find no row of an earlier life
+            list(pool.map(lambda t: t.recreate(), [*warehouse.tables, *warehouse.others]))
+        else:
+            list(pool.map(lambda t: t.ensure(), warehouse.tables))
     keys = {d.table: d.key for d in ORGANISATION} | {
         "dim_region": "region_code",
         "dim_time": "time_key",
@@ -118,11 +139,16 @@ def bootstrap(
     marks = warehouse.watermarks.read()
     if marks.where(marks.pipeline_name == LIVE_STREAM).isEmpty():
         warehouse.watermarks.replace(
-            marks.unionByName(watermark_init(spark, watermark, LIVE_STREAM))
+            marks.unionByName(
+                watermark_init(spark, watermark, LIVE_STREAM), allowMissingColumns=True
+            )
         )
     warehouse.meta_table.replace(catalog.meta_table(spark, run_ts))
     warehouse.meta_column.replace(
         catalog.meta_column(
-            {t.name: empty(spark, t.schema) for t in warehouse.tables}
+            {
+                t.name: empty(spark, schemas.ETL_WATERMARKS if t is warehouse.watermarks else t.schema)
+                for t in warehouse.tables
+            }
         )
     )

@@ -5,6 +5,8 @@ A line feed inside a value is written as CRLF too and read back as a line feed.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -19,22 +21,21 @@ DIALECT = {
     "ignoreTrailingWhiteSpace": False,
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
 }
-# A table up to this many rows is written as one file.
-ONE_FILE_ROWS = 100_000
 
 
-def csv_export(tables: dict[str, DataFrame], directory: str) -> list[str]:
+def csv_export(
+    tables: dict[str, DataFrame], directory: str, one_file: Collection[str] = ()
+) -> list[str]:
     """Write ``<directory>/<table>.csv`` per table; empty tables are skipped.
 
-    Each snapshot is a directory of part files, every one with the header: one
-    part for a small table, as many as the table has partitions otherwise.
+    Each snapshot is a directory of part files, every one with the header: as many
+    as the table has partitions, or one for the tables named in ``one_file``.
     """
     written = []
     for name, rows in tables.items():
-        size = rows.count()
-        if size == 0:
+        if rows.isEmpty():
             continue
-        if size <= ONE_FILE_ROWS:
+        if name in one_file:
             rows = rows.repartition(1)
         path = f"{directory.rstrip('/')}/{name.split('.')[-1]}.csv"
         rows.write.mode("overwrite").options(lineSep="\r\n", **DIALECT).csv(path)

@@ -29,7 +29,8 @@ def stream_source(
             "kafka.bootstrap.servers": servers,
             "subscribe": topic,
             "startingOffsets": starting,
-            "failOnDataLoss": "false",
+            # Offsets that aged out end the query; skipping them must be asked for.
+            "failOnDataLoss": "true",
         }
         return reader.options(**{**settings, **options}).load().select("value")
     if format in FILE_FORMATS and format != "text":

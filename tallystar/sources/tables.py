@@ -52,10 +52,18 @@ class SnapshotTable:
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/{versions[-1]}")
 
     def replace(self, rows: DataFrame, run: str | None = None) -> None:
-        last = max((int(v[2:].split(".")[0]) for v in self._versions()), default=0)
-        version = f"v={last + 1:08d}" + (f".{run}" if run else "")
+        """Write a new version.  A run owns one version: its retries write over their own.
+
+        ``rows`` of a retry must not read that version (``read(before_run=run)``).
+        """
+        versions = self._versions()
+        last = max((int(v[2:].split(".")[0]) for v in versions), default=0)
+        own = [v for v in versions if run and v.endswith(f".{run}")]
+        version = own[-1] if own else f"v={last + 1:08d}" + (f".{run}" if run else "")
         rows.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/{version}")
-        for old in self._committed()[:-KEPT_VERSIONS]:
+        # Readers may still hold the versions before this one.
+        older = [v for v in self._committed() if v < version]
+        for old in older[: 1 - KEPT_VERSIONS]:
             files.remove(self.spark, f"{self.path}/{old}")
 
     def ensure(self) -> None:
@@ -100,8 +108,13 @@ class AppendTable:
         columns = [*self.schema.names, *pruning]
         if not files.exists(self.spark, self.path):
             return empty(self.spark, self._stored).select(*columns)
+        # Whole runs only: one that is being written, or broke, has no mark of success.
+        runs = files.matching(self.spark, "/".join([self.path, *["*"] * len(self.run_columns), "_SUCCESS"]))
+        if not runs:
+            return empty(self.spark, self._stored).select(*columns)
         # The declared schema spares the inference job and keeps run ids text.
-        rows = self.spark.read.schema(self._stored).parquet(self.path)
+        rows = self.spark.read.schema(self._stored).option("basePath", self.path)
+        rows = rows.parquet(*[r.rpartition("/")[0] for r in runs])
         if without_run is not None:
             rows = rows.where(F.col(self.run_columns[0]) != without_run)
         return rows.select(*columns)

@@ -25,8 +25,10 @@ from tallystar.sources.tables import AppendTable
 
 def run_source(batch: DataFrame) -> str:
     """The id of the streaming query this batch belongs to."""
-    context = batch.sparkSession.sparkContext
-    return context.getLocalProperty("sql.streaming.queryId") or "batch"
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if query is None:
+        raise ValueError("outside a stream the source of a batch must be named")
+    return query
 
 
 class RawIngest:
@@ -97,7 +99,9 @@ class ShapeIngest:
         shape: StructType,
         required: Sequence[str] = (),
         value: str = "value",
+        source: str | None = None,
     ):
+        self.source = source
         self.table, self.rejects, self.quarantine = table, rejects, quarantine
         self.shape, self.required, self.value = shape, tuple(required), value
 
@@ -115,7 +119,7 @@ class ShapeIngest:
             ):
                 counts[table.name] = rows.count()
                 if counts[table.name]:
-                    table.write_run(rows, run_source(batch), batch_id)
+                    table.write_run(rows, self.source or run_source(batch), batch_id)
             return counts
         finally:
             kept.unpersist()

@@ -6,9 +6,6 @@ its UTC instant for the stateful operator and put back afterwards.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,30 +20,13 @@ def _watermarked(events: DataFrame, delay: str) -> DataFrame:
     )
 
 
-def _first_copies(key: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def keep(batches):
-        for batch in batches:
-            numbered = pa.table(
-                {"key": batch.column(key), "at": pa.array(range(batch.num_rows), pa.int64())}
-            )
-            first = numbered.group_by("key").aggregate([("at", "min")])["at_min"]
-            yield batch.take(first.combine_chunks())
-
-    return keep
-
-
-def stream_dedupe(
-    events: DataFrame, delay: str = "1 hour", key: str = "event_id", combine: bool = True
-) -> DataFrame:
-    """The first copy of each non-NULL key; a later copy within ``delay`` is dropped.
+def stream_dedupe(events: DataFrame, delay: str = "1 hour", key: str = "event_id") -> DataFrame:
+    """The first copy of each non-NULL key that is not too late; a later copy within ``delay`` is dropped.
 
-    All copies of a key meet in one state partition.  ``combine`` first drops the
-    copies inside each Arrow batch of a task, so that a key with very many copies
-    does not travel whole; without such keys it may be switched off.
+    All copies of a key meet in one state partition.  Nothing is dropped before the
+    stateful operator: which copy of a key is too late is known there only.
     """
     keyed = events.where(F.col(key).isNotNull())
-    if combine:
-        keyed = keyed.mapInArrow(_first_copies(key), keyed.schema)
     return _watermarked(keyed, delay).dropDuplicatesWithinWatermark([key]).drop(INSTANT)
 
 

@@ -127,3 +127,19 @@ def test_older_shapes(spark):
     assert (one.location, one.humidity) == ("x", 2.0)
     assert (two.id, two.watch_time) == (7, 1.5)
     assert len(schemas.USER_EVENT) == 13 and len(schemas.EVENT_TEXT) == 24
+
+
+@pytest.mark.parametrize("tail", ["]garbage", "]", "},{", "]]", ",", '],["x"', "]}", ",{}", '],[{"event_id":"x"}' ])
+def test_text_after_the_object_is_malformed(spark, tail):
+    rows = spark.createDataFrame([('{"event_id":"g"}' + tail,), ('{"event_id":"h"} \n',)], "value string")
+    assert rows_of(decode.decoded(rows, schemas.EVENT_TEXT), "event_id") == [("h",)]
+
+
+def test_times_that_no_wall_clock_holds_are_errors(spark):
+    times = ["+12345-01-01 00:00:00", "2025", "2025-01", "0000-01-01 00:00:00", "12345-01-01", "yesterday"]
+    good = ["2025-01-01", "2025-1-2 3:04:05", "2025-01-01T00:00:00.750Z", "2025-01-01 10:00:00+05:30", "9999-12-31 23:59:59"]
+    rows = spark.createDataFrame([('{"event_id":"%s","event_ts":"%s"}' % (t, t),) for t in times + good], "value string")
+    kinds = {r.data.event_id: r.status for r in decode.classify(rows).collect()}
+    assert kinds == {t: decode.ERROR for t in times} | {t: decode.OK for t in good}
+    stored = {r.event_id: r.event_ts for r in decode.raw_rows(decode.classify(rows), "2025-01-01").collect()}
+    assert all(t.microsecond == 0 for t in stored.values())

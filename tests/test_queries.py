@@ -27,6 +27,7 @@ def test_registries_match():
 def test_entry(spark):
     rows = contract.entry(spark)
     assert rows.columns == [
-        "company_name", "branch_name", "events", "watch_time", "grouping_level", "avg_watch_time",
+        "company_id", "company_name", "branch_id", "branch_name", "events", "watch_time",
+        "grouping_level", "avg_watch_time",
     ]
     assert rows.count() > 0

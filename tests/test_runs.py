@@ -178,3 +178,75 @@ def test_command_line(spark, root):
     warehouse = Warehouse(spark, f"{root}/w")
     assert warehouse.dims["dim_company"].read().count() == 4
     assert "dim_company.csv" in files.children(spark, f"{root}/csv")
+
+
+def test_late_facts_survive_later_runs(spark, root):
+    """Runs from one mark, with and without lateness, never replace each other."""
+    warehouse = Warehouse(spark, root)
+    steps = [
+        ({"event_id": "1", "event_ts": "2025-01-01 10:00:00"}, None),
+        ({"event_id": "2", "event_ts": "2025-01-01 05:30:00"}, "10 hours"),
+        ({"event_id": "3", "event_ts": "2025-01-01 09:45:00"}, "1 hour"),
+        ({"event_id": "4", "event_ts": "2025-01-01 10:30:00"}, None),
+    ]
+    for n, (event, lateness) in enumerate(steps):
+        warehouse.raw.write_run(raw_frame(spark, event), "t", n)
+        assert silver_run(warehouse, RUN_TS, lateness=lateness)["fact_user_activity"] == 1
+    assert rows_of(warehouse.fact.read(), "event_id") == [("1",), ("2",), ("3",), ("4",)]
+
+
+def test_a_fraction_of_a_second_is_loaded_once(spark, root):
+    warehouse, instant = Warehouse(spark, root), at("2025-01-01 10:00:00").replace(microsecond=750000)
+    warehouse.raw.write_run(raw_frame(spark, {"event_id": "1", "event_ts": instant}), "t", 0)
+    assert silver_run(warehouse, RUN_TS)["raw_loaded"] == 1
+    assert silver_run(warehouse, RUN_TS) == {}
+    assert mark(warehouse) == instant
+
+
+def test_events_without_an_id_count_with_lateness_too(spark, root):
+    warehouse = Warehouse(spark, root)
+    rows = [{"event_id": i, "event_ts": "2025-01-01 10:00:00"} for i in (None, "1")]
+    warehouse.raw.write_run(raw_frame(spark, *rows), "t", 0)
+    assert silver_run(warehouse, RUN_TS, lateness="1 hour")["raw_loaded"] == 2
+    assert silver_run(warehouse, RUN_TS, lateness="1 hour") == {}
+    assert warehouse.fact.read().count() == 2
+
+
+def test_readers_see_whole_runs_only(spark, root):
+    warehouse = Warehouse(spark, root)
+    for n in range(2):
+        warehouse.raw.write_run(raw_frame(spark, {"event_id": str(n), "event_ts": "2025-01-01 10:00:00"}), "t", n)
+    files.remove(spark, f"{warehouse.raw.path}/source=t/batch_id=1/_SUCCESS")
+    assert rows_of(warehouse.raw.read(), "event_id") == [("0",)]
+    files.remove(spark, f"{warehouse.raw.path}/source=t/batch_id=0/_SUCCESS")
+    assert warehouse.raw.read().count() == 0
+
+
+def test_overwriting_bootstrap_leaves_no_user_star(spark, root):
+    warehouse = Warehouse(spark, root)
+    bootstrap(warehouse, RUN_TS)
+    raw = fixtures.raw(spark, "/root/testdata/sf0.001")
+    warehouse.raw.write_run(raw, "t", 0)
+    silver_run(warehouse, RUN_TS)
+    user_star_run(warehouse, raw, RUN_TS)
+    assert warehouse.users().count() and warehouse.user_fact.read().count()
+    bootstrap(warehouse, RUN_TS, overwrite=True)
+    for table in (warehouse.user_current, warehouse.user_closed, warehouse.user_fact, warehouse.run_counts, warehouse.fact):
+        assert table.read().count() == 0
+    assert mark(warehouse, watermark.RAW_TO_SILVER) == at(watermark.EPOCH)
+
+
+def test_many_failed_tries_lose_no_version(spark, root, monkeypatch):
+    raw = fixtures.raw(spark, "/root/testdata/sf0.01")
+    first, _ = fixtures.two_batches(raw)
+    whole, broken = Warehouse(spark, f"{root}/a"), Warehouse(spark, f"{root}/b")
+    for warehouse in (whole, broken):
+        user_star_run(warehouse, first, RUN_TS)
+    with monkeypatch.context() as patch:
+        patch.setattr(silver.scd2, "fact_user_watch", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        for _ in range(5):
+            with pytest.raises(OSError):
+                user_star_run(broken, raw, RUN_TS)
+    for warehouse in (whole, broken):
+        user_star_run(warehouse, raw, RUN_TS)
+    assert users_of(whole) == users_of(broken)

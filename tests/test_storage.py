@@ -91,7 +91,7 @@ def test_run_is_replaced_and_dates_prune(spark, root):
 
 def test_csv_dialect(spark, root):
     rows = companies(spark, ("C1", 'say "hi", all', " padded "), ("C2", "a\nb", None))
-    written = csv_export({"etl.dim_company": rows, "dim_none": rows.where("false")}, root)
+    written = csv_export({"etl.dim_company": rows, "dim_none": rows.where("false")}, root, one_file={"etl.dim_company"})
     assert written == [f"{root}/dim_company.csv"]
     assert not files.exists(spark, f"{root}/dim_none.csv")
     text = b"".join(r.content for r in spark.read.format("binaryFile").load(written[0]).collect())

@@ -90,7 +90,7 @@ def test_other_shapes_with_required_columns(spark, root):
     rejects = AppendTable(spark, root, "rejects", schemas.LIVE_EVENT, ("source", "batch_id"))
     broken = AppendTable(spark, root, "broken", schemas.QUARANTINE, ("source", "batch_id"))
     names = schemas.LIVE_EVENT.names
-    writer = ShapeIngest(table, rejects, broken, schemas.LIVE_EVENT, names)
+    writer = ShapeIngest(table, rejects, broken, schemas.LIVE_EVENT, names, source="test")
     good = {"id": 1, "username": "u", "watch_time": 2.0, "country": "IN", "timestamp": "t"}
     lines = [json.dumps(good), json.dumps({**good, "country": None}), "junk"]
     for _ in range(2):
@@ -150,12 +150,22 @@ def test_windows_close_past_the_delay_and_late_rows_are_dropped(spark, root, zon
     assert seen[2] == [first, (at("2025-03-09 02:30:00"), 1, 4.0)]
 
 
-@pytest.mark.parametrize("combine", [True, False])
-def test_dedupe_within_the_delay(spark, root, combine):
+def test_dedupe_keeps_an_id_whose_first_copy_is_too_late(spark, root):
     seen = collect_stream(
         spark,
         root,
-        lambda s: stream_dedupe(s, "10 minutes", combine=combine),
+        lambda s: stream_dedupe(s, "10 minutes"),
+        [("a", "2025-01-01 10:00:00", 1.0)],
+        [("z", "2025-01-01 08:00:00", 1.0), ("z", "2025-01-01 10:01:00", 2.0)],
+    )
+    assert [r[0] for r in seen[-1]] == ["a", "z"]
+
+
+def test_dedupe_within_the_delay(spark, root):
+    seen = collect_stream(
+        spark,
+        root,
+        lambda s: stream_dedupe(s, "10 minutes"),
         [("1", "2025-01-01 00:00:00", 1.0), ("1", "2025-01-01 00:00:00", 1.0), (None, "2025-01-01 00:00:00", 1.0)],
         [("1", "2025-01-01 00:05:00", 1.0), ("2", "2025-01-01 00:05:00", 1.0)],
         [("2", "2025-01-01 00:06:00", 1.0)],

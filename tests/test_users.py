@@ -40,9 +40,10 @@ def skewed_events(spark, n=600, seed=3):
 
 
 def replay_history(events):
-    """Versions by walking each user's events in order."""
+    """Versions by walking each user's last event of every second in order."""
     versions, current = [], {}
-    for e in sorted(events, key=lambda e: (e.user_id, e.event_ts, e.event_id)):
+    last_of = {(e.user_id, e.event_ts): e for e in sorted(events, key=lambda e: e.event_id)}
+    for e in sorted(last_of.values(), key=lambda e: (e.user_id, e.event_ts)):
         attributes = tuple(e[c] for c in scd2.TRACKED)
         last = current.get(e.user_id)
         if last is None or last[1] != attributes:
@@ -101,8 +102,8 @@ def replay_lookup(events, versions):
 
 @pytest.mark.parametrize(
     "how",
-    [{}, {"max_versions": 1}, {"max_versions": 1, "max_rows": 40}, {"disjoint": False}],
-    ids=["join", "sorted", "sliced", "overlapping"],
+    [{}, {"max_rows": 40}, {"disjoint": False}],
+    ids=["sorted", "sliced", "overlapping"],
 )
 def test_lookup_equals_replay(spark, skewed, how):
     events = skewed.select("event_id", "event_ts", "user_id")
