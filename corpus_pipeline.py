@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallystar.llm import contamination, pieces, rules, secrets, simhash
-from tallystar.llm.common import kept, read
+from tallystar.llm.common import discard, kept, read, written
 from tallystar.llm.queries import piece_model
 
 
@@ -53,6 +53,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
+    begun = written()
     for name, stage in STAGES:
         docs = kept(stage(spark, docs, sf_dir), name)
+        discard(spark, begun, but=1)  # a stage's rows are all that the next one needs
     return docs

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tallystar.sources.files import shared_dir
+from tallystar.sources.files import remove, shared_dir
 
 #: Runs of these characters are words; the complement is ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,15 +22,34 @@ WHITE = r"[\x20\x09-\x0D]+"
 STEP_BYTES = 2_000_000
 
 
+#: Tables that ``kept`` has written and ``discard`` has not removed.
+_written: list[str] = []
+
+
 def kept(rows: DataFrame, name: str) -> DataFrame:
     """``rows`` written once in the shared folder and read back: a cut of the lineage that
-    outlives lost executors."""
+    outlives lost executors.  The table stays until ``discard``."""
     spark = rows.sparkSession
     path = shared_dir(spark, name)
     rows.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def written() -> int:
+    """How many tables ``kept`` has written that are still there."""
+    return len(_written)
+
+
+def discard(spark: SparkSession, since: int = 0, but: int = 0) -> None:
+    """Remove what ``kept`` wrote after the first ``since`` tables, but for the last ``but``.  No result
+    may need them any more."""
+    gone = _written[since : len(_written) - but]
+    del _written[since : len(_written) - but]
+    for path in gone:
+        remove(spark, path)
+
+
 def words(text: Column | str) -> Column:
     """The words of a text as an array; a null text has none."""
     column = F.col(text) if isinstance(text, str) else text

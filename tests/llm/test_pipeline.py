@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
-from tallystar.llm import contamination, secrets
+from tallystar.llm import common, contamination, secrets
 from tallystar.llm.queries import QUERIES, piece_model
 from tests.llm.test_contamination import brute as brute_windows
 from tests.llm.test_secrets import brute_base
@@ -81,7 +81,9 @@ def test_stages(spark, given):
 
 
 def test_run_and_registration(spark, given):
+    before = common.written()
     out = corpus_pipeline.run(spark, given)
+    assert common.written() == before + 1  # the scratch tables of finished stages are gone
     assert out.where(F.col("doc_id") == 401).count() == 1
     queries, sql = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     assert "pipeline" in queries and set(QUERIES) <= set(queries) and set(sql) <= set(queries)
