@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
+from checks import literals
 from checks.fixtures import CUT, DUCK_ADAPTER
-from tallystar import schemas
-from tallystar.operators import seeds
-from tallystar.operators.catalog import TABLES
-from tallystar.operators.decode import STREAM_ERROR_FORMULA
-from tallystar.operators.quality import RELATIONS
+from checks.literals import RELATIONS, STREAM_ERROR_FORMULA, TABLES
 
 RUN_TS = "2024-02-01 00:00:00"
-RAW_COLUMNS = ", ".join(schemas.RAW.names)
+RAW_COLUMNS = ", ".join(literals.RAW)
 TRACKED = ("username", "device_type", "app_version", "region_code", "city")
 SIG = "concat_ws('|', " + ", ".join(TRACKED) + ")"
 END = "TIMESTAMP '9999-12-31 23:59:59'"
@@ -48,7 +45,7 @@ def ctes(*parts: str) -> str:
 
 
 DIM_CTES = [f"{t} AS ({pick(t)})" for t in DIMS]
-FACT_COLUMNS = ", ".join(schemas.FACT_USER_ACTIVITY.names)
+FACT_COLUMNS = ", ".join(literals.FACT_USER_ACTIVITY)
 FACT = f"fact AS (SELECT {FACT_COLUMNS} FROM raw)"
 BATCHES = (
     f"one AS (SELECT * FROM raw WHERE event_ts <= TIMESTAMP '{CUT}')",
@@ -99,7 +96,7 @@ PAYLOAD = "'{' || concat_ws(',', " + ", ".join(
         if c in ("lat", "lon")
         else f"""'"' || {text("event_ts") if c == "event_ts" else "watch_time_raw" if c == "watch_time" else c} || '"'"""
     )
-    for c in schemas.EVENT_TEXT.names
+    for c in literals.EVENT_TEXT
 ) + ") || '}'"
 AS_OF = """e JOIN {v} v ON e.user_id = v.user_id
   AND e.event_ts >= v.effective_from AND e.event_ts < v.effective_to"""
@@ -114,10 +111,10 @@ def upserted(old: str, new: str, key: str) -> str:
 
 
 SEEDS = {
-    "dim_company": seeds.COMPANIES,
-    "dim_branch": seeds.BRANCHES,
-    "dim_manager": seeds.MANAGERS,
-    "dim_project": seeds.PROJECTS,
+    "dim_company": literals.COMPANIES,
+    "dim_branch": literals.BRANCHES,
+    "dim_manager": literals.MANAGERS,
+    "dim_project": literals.PROJECTS,
 }
 SEED_EMPLOYEES = """SELECT 'E' || CAST(1000 + n AS VARCHAR) AS employee_id,
   'Employee_' || CAST(n AS VARCHAR) AS employee_name,
@@ -153,7 +150,7 @@ EXPORT_COUNTS = " UNION ALL ".join(
     ]
     + [
         "SELECT 'fact_user_activity' AS table_name, "
-        f"'{','.join(schemas.FACT_USER_ACTIVITY.names)}' AS header, count(*) AS row_count FROM fact"
+        f"'{','.join(literals.FACT_USER_ACTIVITY)}' AS header, count(*) AS row_count FROM fact"
     ]
 )
 
@@ -173,13 +170,13 @@ def meta_count(name: str, source: str) -> str:
       FROM {source}"""
 
 
-def meta_columns(name: str, schema, text_columns: set[str], source: str) -> str:
+def meta_columns(name: str, columns: list[str], text_columns: set[str], source: str) -> str:
     return " UNION ALL ".join(
-        f"""SELECT 'etl.{name}' AS table_name, '{f.name}' AS column_name,
-          '{"string" if f.name in text_columns else f.dataType.simpleString()}' AS data_type,
-          (SELECT CASE WHEN count(*) > count({f.name}) THEN 'YES' ELSE 'NO' END FROM {source}) AS is_nullable,
-          '{f.name} of {name}' AS description"""
-        for f in schema
+        f"""SELECT 'etl.{name}' AS table_name, '{c}' AS column_name,
+          '{"string" if c in text_columns else literals.TYPES.get(c, "string")}' AS data_type,
+          (SELECT CASE WHEN count(*) > count({c}) THEN 'YES' ELSE 'NO' END FROM {source}) AS is_nullable,
+          '{c} of {name}' AS description"""
+        for c in columns
     )
 
 
@@ -197,7 +194,7 @@ ORACLE: dict[str, str] = {
     + "SELECT "
     + ", ".join(
         text("event_ts") + " AS event_ts" if c == "event_ts" else c
-        for c in schemas.EVENT_TEXT.names
+        for c in literals.EVENT_TEXT
         if c != "watch_time"
     )
     + ", coalesce(try_cast(watch_time_raw AS DOUBLE), 0.0) AS watch_time FROM msg WHERE broken IS NULL",
@@ -208,7 +205,7 @@ ORACLE: dict[str, str] = {
             "ingestion_ts": f"TIMESTAMP '{RUN_TS}' AS ingestion_ts",
             "watch_time": "coalesce(try_cast(watch_time_raw AS DOUBLE), 0.0) AS watch_time",
         }.get(c, c)
-        for c in schemas.RAW.names
+        for c in literals.RAW
     )
     + " FROM msg WHERE broken IS NULL AND NOT late",
     "raw_append_idempotent": ctes(MESSAGES)
@@ -218,7 +215,7 @@ ORACLE: dict[str, str] = {
             "ingestion_ts": f"TIMESTAMP '{RUN_TS}' AS ingestion_ts",
             "watch_time": "coalesce(try_cast(watch_time_raw AS DOUBLE), 0.0) AS watch_time",
         }.get(c, c)
-        for c in schemas.RAW.names
+        for c in literals.RAW
     )
     + ", strftime(event_ts, '%Y-%m-%d') AS event_date FROM msg WHERE broken IS NULL",
     "ingest_stamp": ctes()
@@ -236,7 +233,7 @@ ORACLE: dict[str, str] = {
     "incremental_load_14col": ctes()
     + "SELECT "
     + ", ".join(
-        "substr(user_id, 2) AS user_id" if c == "user_id" else c for c in schemas.RAW_USER.names
+        "substr(user_id, 2) AS user_id" if c == "user_id" else c for c in literals.RAW_USER
     )
     + f" FROM raw WHERE event_ts > TIMESTAMP '{CUT}'",
     "csv_export": ctes(*DIM_CTES, FACT) + EXPORT_COUNTS,
@@ -263,7 +260,7 @@ ORACLE: dict[str, str] = {
     + "SELECT "
     + ", ".join(
         "coalesce(try_cast(watch_time_raw AS DOUBLE), 0.0) AS watch_time" if c == "watch_time" else c
-        for c in schemas.FACT_USER_ACTIVITY.names
+        for c in literals.FACT_USER_ACTIVITY
     )
     + " FROM num WHERE watch_time_raw IS NULL OR watch_time_raw <> 'n/a'",
     "org_columns_select": ctes()
@@ -320,8 +317,8 @@ ORACLE: dict[str, str] = {
     "seed_employees": ctes(*DIM_CTES)
     + upserted("SELECT * FROM dim_employee", SEED_EMPLOYEES, "employee_id"),
     "seed_region_boxes": ctes(
-        f"boxes AS (SELECT * FROM {values(seeds.REGION_BOXES)} "
-        f"b({', '.join(schemas.DIM_REGION_BOX.names)}))"
+        f"boxes AS (SELECT * FROM {values(literals.REGION_BOXES)} "
+        f"b({', '.join(literals.DIM_REGION_BOX)}))"
     )
     + """SELECT b.region_code, region_name, b.city, CAST(min_lat AS DOUBLE) AS min_lat,
       CAST(max_lat AS DOUBLE) AS max_lat, CAST(min_lon AS DOUBLE) AS min_lon,
@@ -396,7 +393,7 @@ ORACLE: dict[str, str] = {
             + joined(
                 [
                     text(c) if c.endswith("_ts") else c
-                    for c in schemas.FACT_USER_ACTIVITY.names
+                    for c in literals.FACT_USER_ACTIVITY
                     if c != "watch_time"
                 ]
             )
@@ -428,9 +425,9 @@ ORACLE: dict[str, str] = {
     "meta_column": ctes(
         "rawtext AS (SELECT * EXCLUDE (watch_time_raw), watch_time_raw AS watch_time FROM num)", FACT
     )
-    + meta_columns("raw_user_stream_events", schemas.RAW, {"watch_time"}, "rawtext")
+    + meta_columns("raw_user_stream_events", literals.RAW, {"watch_time"}, "rawtext")
     + " UNION ALL "
-    + meta_columns("fact_user_activity", schemas.FACT_USER_ACTIVITY, set(), "fact"),
+    + meta_columns("fact_user_activity", literals.FACT_USER_ACTIVITY, set(), "fact"),
     "metric_eval": ctes()
     + f"""SELECT unnest(['events', 'watch_time_total', 'watch_time_per_event', 'active_users',
         'active_employees', 'idle_events']) AS metric_name,
@@ -474,8 +471,8 @@ ORACLE: dict[str, str] = {
     + f"""SELECT session_id, min(event_ts) AS first_event, max(event_ts) AS last_event,
       count(*) AS events, {WATCH} AS watch_time FROM raw GROUP BY 1""",
     "region_by_box": ctes(
-        f"boxes AS (SELECT * FROM {values(seeds.REGION_BOXES)} "
-        f"b({', '.join(schemas.DIM_REGION_BOX.names)}))"
+        f"boxes AS (SELECT * FROM {values(literals.REGION_BOXES)} "
+        f"b({', '.join(literals.DIM_REGION_BOX)}))"
     )
     + """SELECT event_id, lat, lon, b.region_code AS box_region FROM raw r LEFT JOIN boxes b
       ON r.lat BETWEEN CAST(min_lat AS DOUBLE) AND CAST(max_lat AS DOUBLE)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallystar import schemas
 from tallystar.sources.rows import literal_rows
 
-# Seed rows of the reference dimensions.
+# Seed rows of the dimensions.
 REGIONS = [
     ("NCR", "North Central Region"),
     ("WST", "Western Region"),

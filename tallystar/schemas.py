@@ -21,6 +21,7 @@ def _table(text: str, **typed) -> StructType:
     return StructType([StructField(c, typed.get(c, TEXT)) for c in text.split()])
 
 
+# Names and order of all columns below.
 # -- event shapes -----------------------------------------------------------
 EVENT_FIELDS = (
     "event_id event_ts user_id username session_id device_type app_version watch_time "
