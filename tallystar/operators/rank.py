@@ -58,7 +58,7 @@ def add_slices(
     A slice is named by its first second.  A group above ``max_rows`` is cut into
     slices of equal width, and a slice that is still above (a burst) is cut again,
     down to single seconds.  There are at most total_rows / max_rows such groups,
-    whatever the data; that bound makes the table of them safe to broadcast.
+    whatever the data; the stored table of them is broadcast if its size allows.
     ``key`` holds no NULL.
     """
     second = epoch_seconds(F.col(ts))
@@ -79,15 +79,13 @@ def add_slices(
         if crowded.isEmpty():
             return sliced, hot
         # Written out, so that the next round's plan does not hold this round's twice.
-        hot, path = True, shared_dir(rows.sparkSession, "slices")
-        crowded.write.parquet(path)
-        crowded = rows.sparkSession.read.schema(crowded.schema).parquet(path)
+        hot, crowded = True, _written(crowded, "slices")
         first_second = (
             F.col("_lo") + F.floor((second - F.col("_lo")) / F.col("_width")) * F.col("_width")
         )
         sliced = (
             sliced.join(
-                F.broadcast(crowded),
+                crowded,
                 (F.col(key) == F.col("_hot")) & F.col(SLICE).eqNullSafe(F.col("_from")),
                 "left",
             )
@@ -96,13 +94,21 @@ def add_slices(
         )
 
 
+def _written(rows: DataFrame, name: str) -> DataFrame:
+    """A small table stored and read back: its size is known, and decides whether it is broadcast."""
+    path = shared_dir(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def join_edges(rows: DataFrame, key: str, edges: DataFrame) -> DataFrame:
     """Attach ``_carry`` of (_key, _at) to the rows of that key and slice.
 
     There is one edge per slice, so the table keeps the bound of the hot keys.
     """
+    known = edges.where(F.col("_carry").isNotNull()).select("_key", "_at", "_carry")
     return rows.join(
-        F.broadcast(edges.where(F.col("_carry").isNotNull()).select("_key", "_at", "_carry")),
+        _written(known, "edges"),
         (F.col(key) == F.col("_key")) & (F.col(SLICE) == F.col("_at")),
         "left",
     ).drop("_key", "_at")
