@@ -2,20 +2,25 @@
 
 A vantage-point tree over a bounded sample of the distinct fingerprints deals all of them to shards: each
 node splits by the Hamming distance to its vantage point.  A fingerprint is stored in the one shard its
-path ends in, and is a query in every shard that the triangle inequality does not rule out: on the far
+path ends in, and asks in every shard that the triangle inequality does not rule out: on the far
 side of a boundary no fingerprint is nearer than its distance to the boundary.  A shard splits its own
 points by a tree of the same kind and compares what is left, which gives exactly the pairs within
 the radius.  A shard returns a spanning forest of its links, never all pairs; the groups
 are the connected components of these.
 
-Cases: a null text counts as one without words (fingerprint zero, linked like any other); equal texts share a
-fingerprint and are one point; repeated rows give repeated rows; a row without an id links nothing and has
+``near_duplicates`` links 64-bit fingerprints of four-word shingles at up to four bits.  ``one_of_each`` looks for
+texts of a similarity (Jaccard, of five-word shingles) of 0.8 or more: fingerprints of 256 bits, a radius
+that follows from the similarity, and only between texts whose numbers of shingles allow it.
+
+Cases: a null text counts as one without words (fingerprint zero, linked like any other); equal fingerprints
+are one point; repeated rows give repeated rows; an id with several texts is one document; a row without an id links nothing and has
 no component unless its fingerprint has rows with ids; very long texts are steps of their own; an empty table gives an empty
 result; further columns are not read.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,55 +31,90 @@ from pyspark.sql import functions as F
 
 from tallystar.llm.common import kept, per_text
 
-SHINGLE = 4
-RADIUS = 4
-SEED = 42
+SHINGLE, RADIUS, SEED = 4, 4, 42
+#: For ``one_of_each``: shingle, similarity, and fingerprint size in words of 64 bits.
+NEAR_SHINGLE, NEAR_SIMILARITY, NEAR_WORDS = 5, 0.8, 4
 
-#: Distinct fingerprints a shard stores on average; the sample the shared tree is built from (an upper
+#: Distinct fingerprints a shard stores on average; the sample the shared trees are built from (an upper
 #: bound, on average); the most shards.
-SHARD_POINTS, SAMPLE_POINTS, MOST_SHARDS = 8_192, 262_144, 16_384
-#: Queries of one task; a shard with more is worked on by several tasks, each with all its points.
+SHARD_POINTS, SAMPLE_POINTS, MOST_SHARDS = 32_768, 65_536, 4_096
+#: Askers of one task; a shard with more is worked on by several tasks, each with all its points.
 TASK_QUERIES = 65_536
 #: Points compared without a further split.
 PLAIN_POINTS = 1_024
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+U = np.uint64
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """The 64-bit SimHash of the word shingles of a text."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """The hash of each word shingle, repeats included; of fewer words the whole sequence is one."""
     words = text.encode("utf-8", "surrogatepass").translate(LOWER).split() if text else []
     if not words:
-        return 0
+        return np.empty(0, U)
     line = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.r_[0, ends[:-1] + 1]
     n = max(1, len(words) - shingle + 1)
-    spans = zip(starts[:n].tolist(), ends[-n:].tolist())
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(line[a:b], SEED) for a, b in spans), np.uint64, n)
+    spans = zip(starts[:n].tolist(), ends[-n:].tolist())
+    return np.fromiter((digest(line[a:b], SEED) for a, b in spans), U, n)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """64 bits, each set where it is set in over half the hashes."""
     ones = np.zeros(64, np.int64)
-    for k in range(0, n, 1 << 16):
+    for k in range(0, len(hashes), 1 << 16):
         bits = np.unpackbits(hashes[k : k + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(U)[0])
+
+
+def remixed(hashes: np.ndarray, turn: int) -> np.ndarray:
+    """Other 64 bits of the same hashes; turn 0 is the hashes themselves."""
+    if not turn:
+        return hashes
+    x = hashes + U(turn * 0x9E3779B97F4A7C15 % (1 << 64))
+    x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
+    return x ^ (x >> U(31))
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp): the fingerprint of each text as a signed 64-bit number."""
 
     def run(texts: list[str | None]) -> dict[str, object]:
-        made = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts))
+        made = np.fromiter((majority(shingle_hashes(t, shingle)) for t in texts), U, len(texts))
         return {"fp": made.view(np.int64)}
 
     return per_text(docs, ["doc_id"], run, "fp bigint")
 
 
+def set_fingerprints(docs: DataFrame, shingle: int, words: int) -> DataFrame:
+    """(doc_id, fp, size): fingerprints of ``words`` times 64 bits of the set of shingles, and its size."""
+
+    def run(texts: list[str | None]) -> dict[str, object]:
+        made, sizes = np.zeros((len(texts), words), U), []
+        for k, text in enumerate(texts):
+            hashes = np.unique(shingle_hashes(text, shingle))
+            sizes.append(len(hashes))
+            made[k] = [majority(remixed(hashes, turn)) for turn in range(words)]
+        return {"fp": list(made.view(np.int64)), "size": sizes}
+
+    return per_text(docs, ["doc_id"], run, "fp array<bigint>, size bigint")
+
+
+def distances(points: np.ndarray, point: np.ndarray) -> np.ndarray:
+    """Hamming distances of rows of 64-bit words to one row."""
+    return np.bitwise_count(points ^ point).sum(axis=-1, dtype=np.int16)
+
+
 class VantageTree:
     """Nodes of a vantage-point tree; a child below zero is shard ``-1 - child``."""
 
-    def __init__(self, sample: np.ndarray, leaf: int):
-        self.point: list[np.uint64] = []
+    def __init__(self, sample: np.ndarray, leaf: int, radius: int):
+        self.reach = radius
+        self.point: list[np.ndarray] = []
         self.radius: list[int] = []
         self.child: list[list[int]] = []
         self.leaves = 0
@@ -85,12 +125,12 @@ class VantageTree:
         if len(points) > leaf:
             # Of a few candidates, the vantage point whose boundary has the fewest points beside it.
             for at in np.linspace(0, len(points) - 1, 5).astype(int):
-                distance = np.bitwise_count(points ^ points[at]).astype(np.int16)
+                distance = distances(points, points[at])
                 middle = int(np.median(distance))
                 for cut in (middle - 1, middle):
                     inner = int((distance <= cut).sum())
                     if 0 < inner < len(points):
-                        beside = int((np.abs(distance - cut) <= RADIUS).sum())
+                        beside = int((np.abs(distance - cut) <= self.reach).sum())
                         loss = beside / len(points) + abs(inner / len(points) - 0.5)
                         if best is None or loss < best[0]:
                             best = (loss, points[at], cut, distance <= cut)
@@ -104,35 +144,31 @@ class VantageTree:
         self.child[node] = [self._build(points[best[3]], leaf), self._build(points[~best[3]], leaf)]
         return node
 
-    def deal(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(shard, place in ``points``, stored): one stored row for each point, and its rows as a query
-        in further shards.  Only the outer side asks the inner side, so that each pair meets once."""
-        shard, place, stored = [], [], []
-        todo = [(self.root, np.arange(len(points)), np.ones(len(points), bool))]
+    def deal(self, points: np.ndarray, home: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(shard, place in ``points``, stored): one stored row for each point, and rows that ask in further
+        shards; without ``home`` all rows ask.  Of stored points only the outer side asks the
+        inner side, so that each pair meets once."""
+        none = [np.empty(0, np.int64)]
+        shard, place, stored = [*none], [*none], [*none]
+        todo = [(self.root, np.arange(len(points)), np.full(len(points), home))]
         while todo:
-            node, at, home = todo.pop()
+            node, at, at_home = todo.pop()
             if not len(at):
                 continue
             if node < 0:
-                shard.append(np.full(len(at), -1 - node, np.int32))
+                shard.append(np.full(len(at), -1 - node))
                 place.append(at)
-                stored.append(home)
+                stored.append(at_home)
                 continue
-            distance = np.bitwise_count(points[at] ^ self.point[node]).astype(np.int16)
+            distance = distances(points[at], self.point[node])
             inside = distance <= self.radius[node]
-            near = distance - RADIUS <= self.radius[node]  # can have a partner inside
-            # A stored point goes on to its side; outside it may also ask the inside.  A query asks
-            # wherever partners can be: inside, and outside if its own ball reaches there.
-            into = inside | near
-            todo.append((self.child[node][0], at[into], (home & inside)[into]))
-            out = np.where(home, ~inside, distance + RADIUS > self.radius[node])
-            todo.append((self.child[node][1], at[out], home[out]))
-        none = [np.empty(0, np.int64)]
-        return (
-            np.concatenate(shard or none),
-            np.concatenate(place or none),
-            np.concatenate(stored or none).astype(bool),
-        )
+            # A stored point goes on to its side, and from outside asks the inside where a partner can be.
+            # One that asks goes wherever partners can be.
+            into = distance - self.reach <= self.radius[node]
+            todo.append((self.child[node][0], at[into], (at_home & inside)[into]))
+            out = np.where(at_home, ~inside, distance + self.reach > self.radius[node])
+            todo.append((self.child[node][1], at[out], at_home[out]))
+        return np.concatenate(shard), np.concatenate(place), np.concatenate(stored).astype(bool)
 
 
 def _merge(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -160,74 +196,104 @@ def _merge(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return change[parent]
 
 
-def forest(stored: np.ndarray, asking: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest, as pairs of fingerprints, of the links between stored points, and between them
-    and asking ones."""
-    points = np.unique(np.r_[stored, asking])
-    parent = np.arange(len(points))
-    stored = np.unique(stored)
-    local = VantageTree(stored, PLAIN_POINTS)
-    shard, place, home = local.deal(points)
-    is_stored = np.isin(points, stored, assume_unique=True)
+def forest(
+    ids: np.ndarray, prints: np.ndarray, sizes: np.ndarray, stored: np.ndarray, radius: int, ratio: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest, as pairs of ids, of the links of all points to the stored ones."""
+    nodes, node = np.unique(ids, return_inverse=True)
+    parent = np.arange(len(nodes))
+    kept_, all_ = np.flatnonzero(stored), np.arange(len(ids))
+    if not len(kept_):
+        return nodes[:0], nodes[:0]
+    local = VantageTree(prints[kept_], PLAIN_POINTS, radius)
+    parts = [(*local.deal(prints[kept_]), kept_), (*local.deal(prints[~stored], home=False), all_[~stored])]
+    shard = np.concatenate([p[0] for p in parts])
+    row = np.concatenate([p[3][p[1]] for p in parts])
+    home = np.concatenate([p[2] for p in parts])
     order = np.argsort(shard, kind="stable")
-    shard, place, home = shard[order], place[order], home[order]
-    for rows in np.split(np.arange(len(shard)), np.flatnonzero(np.diff(shard)) + 1):
-        here = place[rows]
-        own = here[home[rows] & is_stored[here]]
+    shard, row, home = shard[order], row[order], home[order]
+    for some in np.split(np.arange(len(shard)), np.flatnonzero(np.diff(shard)) + 1):
+        here, own = row[some], row[some][home[some]]
         if not len(own):
             continue
-        base = points[own]
         # Small blocks first: once a dense group is one set, its further links fold away.
         begin, block = 0, 8
         while begin < len(here):
-            some = here[begin : begin + block]
-            near = np.bitwise_count(points[some][:, None] ^ base[None, :]) <= RADIUS
+            ask = here[begin : begin + block]
+            apart = np.zeros((len(ask), len(own)), np.uint16)
+            for word in range(prints.shape[1]):
+                apart += np.bitwise_count(prints[ask, word][:, None] ^ prints[own, word][None, :])
+            near = apart <= radius
+            if ratio:
+                a, b = sizes[ask][:, None], sizes[own][None, :]
+                near &= (a >= ratio * b) & (b >= ratio * a)
             i, j = np.nonzero(near)
-            parent = _merge(parent, some[i], own[j])
+            parent = _merge(parent, node[ask[i]], node[own[j]])
             begin, block = begin + block, min(512, block * 4)
-    moved = np.flatnonzero(parent != np.arange(len(points)))
-    return points[moved], points[parent[moved]]
-
-
-def links(points: DataFrame) -> DataFrame:
-    """(a, b): links between the fingerprints ``fp`` of distinct points that connect exactly what links
-    within ``RADIUS`` connect."""
-    spark = points.sparkSession
-    n = points.count()
-    shards = min(MOST_SHARDS, max(1, -(-n // SHARD_POINTS)))
-    sample = points.sample(min(1.0, SAMPLE_POINTS / max(1, n)), 7).collect()
-    sample = np.array(sorted(r["fp"] for r in sample), np.int64).view(np.uint64)
-    tree = spark.sparkContext.broadcast(VantageTree(sample, max(2, -(-len(sample) // shards))))
+    moved = np.flatnonzero(parent != np.arange(len(nodes)))
+    return nodes[moved], nodes[parent[moved]]
+
+
+def links(points: DataFrame, radius: int, ratio: float = 0.0) -> DataFrame:
+    """(a, b): links between ids that connect exactly what distances up to ``radius`` connect.
+
+    ``points`` holds (id, fp array<bigint>, size).  With a ``ratio`` only points whose sizes are that near
+    link; sizes fall into bins as wide, and a point asks in its own bin and the next."""
+    context = points.sparkSession.sparkContext
+    bin_ = F.floor(F.log(F.greatest("size", F.lit(1))) / -math.log(ratio)).cast("int") if ratio else F.lit(0)
+    points = points.withColumn("bin", bin_)
+    counts = {r["bin"]: r["n"] for r in points.groupBy("bin").agg(F.count("*").alias("n")).collect()}  # a row per bin
+    total = sum(counts.values())
+    share = min(1.0, SAMPLE_POINTS / max(1, total))
+    sample: dict[int, list] = {}
+    for r in points.select("bin", "fp").sample(share, 7).collect():
+        sample.setdefault(r["bin"], []).append(r["fp"])
+    trees = {}
+    for bin_number, n in counts.items():
+        own = np.array(sorted(sample.get(bin_number, [])), np.int64).view(U).reshape(len(sample.get(bin_number, [])), -1)
+        shards = min(MOST_SHARDS, -(-n // SHARD_POINTS))
+        trees[bin_number] = VantageTree(own, max(2, -(-len(own) // shards)), radius)
+    held = context.broadcast(trees)
+    id_type = points.schema["id"].dataType.simpleString()
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            fp = frame["fp"].to_numpy().view(np.uint64)
-            for some in np.split(fp, range(20_000, len(fp), 20_000)):
-                shard, place, stored = tree.value.deal(some)
-                yield pd.DataFrame({"shard": shard, "fp": some[place].view(np.int64), "stored": stored})
-
-    dealt = kept(points.select("fp").mapInPandas(deal, "shard int, fp bigint, stored boolean"), "simhash-dealt")
-    # Tasks of each shard: a row per shard, at most MOST_SHARDS.
+            for number, rows in frame.groupby("bin"):
+                for k in range(0, len(rows), 10_000):
+                    some = rows.iloc[k : k + 10_000]
+                    prints = np.stack(some["fp"].to_numpy()).view(U)
+                    for tree_of in (number, number + 1) if ratio else (number,):
+                        if tree_of not in held.value:
+                            continue
+                        shard, place, stored = held.value[tree_of].deal(prints, home=tree_of == number)
+                        yield some.iloc[place].assign(shard=tree_of * MOST_SHARDS + shard, stored=stored)[
+                            ["shard", "id", "fp", "size", "stored"]
+                        ]
+
+    schema = f"shard bigint, id {id_type}, fp array<bigint>, size bigint, stored boolean"
+    dealt = kept(points.mapInPandas(deal, schema), "simhash-dealt")
+    # Tasks of each shard: a row per shard, at most MOST_SHARDS a bin.
     tasks = dealt.groupBy("shard").agg(F.ceil(F.count("*") / TASK_QUERIES).cast("int").alias("tasks"))
-    tasks = {r["shard"]: r["tasks"] for r in tasks.collect()}
+    many = {r["shard"]: r["tasks"] for r in tasks.where("tasks > 1").collect()}
     count = F.lit(1)
-    if many := {k: v for k, v in tasks.items() if v > 1}:
+    if many:
         lookup = F.create_map(*(F.lit(x) for kv in many.items() for x in kv))
         count = F.coalesce(lookup[F.col("shard")], F.lit(1))
-    own = F.pmod(F.xxhash64("fp"), count).cast("int")
+    own = F.pmod(F.xxhash64("id"), count).cast("int")
     # In its task a row asks; in all tasks of its shard a stored row is there to be found.
     roles = dealt.select(
-        "shard", "fp", "stored", own.alias("own"),
+        "shard", "id", "fp", "size", "stored",
         F.explode(F.when(F.col("stored"), F.sequence(F.lit(0), count - 1)).otherwise(F.array(own))).alias("task"),
     )
 
     def match(frame: pd.DataFrame) -> pd.DataFrame:
-        fp = frame["fp"].to_numpy().view(np.uint64)
-        stored, asks = frame["stored"].to_numpy(), (frame["own"] == frame["task"]).to_numpy()
-        a, b = forest(fp[stored], fp[asks])
-        return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
+        prints = np.stack(frame["fp"].to_numpy()).view(U)
+        a, b = forest(
+            frame["id"].to_numpy(), prints, frame["size"].to_numpy(), frame["stored"].to_numpy(bool), radius, ratio
+        )
+        return pd.DataFrame({"a": a, "b": b})
 
-    return roles.groupBy("shard", "task").applyInPandas(match, "a bigint, b bigint")
+    return roles.groupBy("shard", "task").applyInPandas(match, f"a {id_type}, b {id_type}")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -262,19 +328,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fingerprint, component_id): the fingerprint in hexadecimal, and the smallest id that links
     reach."""
     prints = kept(fingerprints(docs), "simhash")
-    points = kept(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-points")
-    points = points.where(F.col("first_id").isNotNull())
-    found = links(points)
-    # Fingerprints by their first document: the least of a component is then its id.
-    named = (
-        kept(found, "simhash-links")
-        .join(points.select(F.col("fp").alias("a"), F.col("first_id").alias("one")), "a")
-        .join(points.select(F.col("fp").alias("b"), F.col("first_id").alias("two")), "b")
-        .select(F.col("one").alias("a"), F.col("two").alias("b"))
-    )
-    reached = components(named)
-    groups = points.join(reached, points["first_id"] == reached["node"], "left").select(
-        F.col("fp").alias("key"), F.coalesce("least", "first_id").alias("component_id")
+    # A fingerprint stands for its documents by their smallest id; the least of a component is then its id.
+    points = kept(prints.groupBy("fp").agg(F.min("doc_id").alias("id")), "simhash-points")
+    points = points.where(F.col("id").isNotNull())
+    wide = points.select("id", F.array("fp").alias("fp"), F.lit(1).cast("long").alias("size"))
+    reached = components(links(wide, RADIUS))
+    groups = points.join(reached, points["id"] == reached["node"], "left").select(
+        F.col("fp").alias("key"), F.coalesce("least", "id").alias("component_id")
     )
     return prints.join(groups, prints["fp"] == groups["key"], "left").select(
         "doc_id",
@@ -283,11 +343,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without those that link to one of a smaller id.  Rows equal in id and text count as one and
-    leave one; rows without an id stay, as nothing tells them apart from others."""
-    found = near_duplicates(docs)
-    gone = found.where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("gone_id")).distinct()
+def near_radius(similarity: float, bits: int) -> int:
+    """Bits in which fingerprints of sets of that Jaccard similarity differ, and one standard deviation."""
+    part = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.floor(bits * part + math.sqrt(bits * part * (1 - part)))
+
+
+def one_of_each(
+    docs: DataFrame,
+    shingle: int = NEAR_SHINGLE,
+    similarity: float = NEAR_SIMILARITY,
+    words: int = NEAR_WORDS,
+) -> DataFrame:
+    """``docs`` with one document, that of the smallest id, of each group of near duplicates.
+
+    Rows equal in id and text count as one and leave one; rows without an id stay, as nothing tells
+    them apart from others."""
+    prints = kept(set_fingerprints(docs.where(F.col("doc_id").isNotNull()), shingle, words), "simhash")
+    # Equal fingerprints of equal size are one point.
+    points = kept(prints.groupBy("fp", "size").agg(F.min("doc_id").alias("id")), "simhash-points")
+    reached = components(links(points, near_radius(similarity, 64 * words), similarity))
+    first = points.join(reached, points["id"] == reached["node"], "left").select(
+        F.col("fp").alias("key"), F.col("size").alias("key_size"), F.coalesce("least", "id").alias("least")
+    )
+    gone = (
+        prints.join(first, (prints["fp"] == first["key"]) & (prints["size"] == first["key_size"]))
+        .where(F.col("least") < F.col("doc_id"))
+        .select(F.col("doc_id").alias("gone_id"))
+        .distinct()
+    )
     rest = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
     columns = docs.columns
     turn = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id"))

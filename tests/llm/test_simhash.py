@@ -66,16 +66,20 @@ def test_forest_connects_what_links_connect(monkeypatch):
         points = clustered(rng, 400)
         near = np.bitwise_count(points[:, None] ^ points[None, :]) <= 4
         i, j = np.nonzero(np.triu(near, 1))
-        a, b = S.forest(points, points)
+        ids = np.arange(len(points))
+        stored = ids % 5 > 0
+        a, b = S.forest(ids, points[:, None], np.ones(len(points)), stored, 4, 0)
+        one = stored[i] | stored[j]  # links between two that only ask are another shard's
+        i, j = i[one], j[one]
         assert len(a) < len(points)  # a forest, not all pairs
-        assert sets(0, a, b, points) == sets(0, points[i], points[j], points)
+        assert sets(0, a, b, ids) == sets(0, i, j, ids)
 
 
 def test_tree_brings_every_pair_together():
     rng = np.random.default_rng(2)
     points = clustered(rng, 800)
-    tree = S.VantageTree(points[::3], 20)
-    shard, place, stored = tree.deal(points)
+    tree = S.VantageTree(points[::3, None], 20, 4)
+    shard, place, stored = tree.deal(points[:, None])
     assert np.bincount(place[stored], minlength=len(points)).tolist() == [1] * len(points)
     home = dict(zip(place[stored].tolist(), shard[stored].tolist()))
     seen = {(p, s) for p, s in zip(place.tolist(), shard.tolist())}
@@ -98,10 +102,6 @@ def test_documents(spark, monkeypatch):
     label = brute_components(prints)
     assert {i: int(r.fingerprint, 16) for i, r in found.items()} == prints
     assert {i: r.component_id for i, r in found.items()} == label
-    kept = S.one_of_each(docs)
-    assert kept.columns == docs.columns
-    ids = sorted(r.doc_id for r in kept.collect() if r.doc_id is not None)
-    assert ids == sorted({i for i in prints if label[i] == i})
     assert S.near_duplicates(docs.where(F.lit(False))).count() == 0
 
 
@@ -111,3 +111,37 @@ def test_components_of_a_path_and_a_star(spark):
     edges = spark.createDataFrame(path + star + [(7, 7)], "a bigint, b bigint")
     got = {r.node: r.least for r in S.components(edges).collect()}
     assert got == {k: 1 for k in range(1, 41)} | {k: 100 for k in range(100, 160)}
+
+
+def jaccard(a, b):
+    sets_ = [set(zip(*(w[k:] for k in range(5)))) if len(w) >= 5 else {tuple(w)} for w in (a, b)]
+    return len(sets_[0] & sets_[1]) / len(sets_[0] | sets_[1])
+
+
+def test_one_of_each_takes_similar_texts_and_leaves_others(spark, monkeypatch):
+    """Texts of a similarity well over 0.8 go, those under 0.6 stay."""
+    for name, value in (("SHARD_POINTS", 16), ("TASK_QUERIES", 20), ("PLAIN_POINTS", 8)):
+        monkeypatch.setattr(S, name, value)
+    rows, gone = [], set()
+    for k in range(30):
+        words = sentence(900 + k, 150 + 20 * k).split()
+        rows.append((k, " ".join(words)))
+        rows.append((100 + k, " ".join(words)))
+        close, far = list(words), list(words)
+        close[40] = "changed"
+        for at in range(5, len(far), 9):
+            far[at] = "other" + str(at)
+        assert jaccard(words, close) > 0.9 and jaccard(words, far) < 0.6
+        rows += [(200 + k, " ".join(close)), (300 + k, " ".join(far))]
+        gone |= {100 + k, 200 + k}
+    rows += [(None, rows[0][1]), (None, None), (400, None), (401, ""), (402, "word")]
+    docs = documents(spark, rows)
+    kept = S.one_of_each(docs)
+    assert kept.schema == docs.schema
+    ids = [r.doc_id for r in kept.collect()]
+    assert ids.count(None) == 2 and set(ids) - {None} == {i for i, _ in rows if i is not None} - gone - {401}
+    assert S.one_of_each(docs.where(F.lit(False))).count() == 0
+
+
+def test_radius_follows_the_similarity():
+    assert [S.near_radius(s, 256) for s in (0.8, 0.9, 1.0)] == [44, 31, 0]
