@@ -120,22 +120,43 @@ class Symbols:
         self._join(head, name)
 
 
-def recompress(name: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def recompress(name: np.ndarray, text: np.ndarray, way: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols after all rounds, long enough to be compared, that some window can hold with all they
-    depended on: name, and the first and last word such a window may start from."""
+    depended on: name, and the first and last word such a window may start from.  ``way`` tells
+    the coins of one parse from those of another."""
     if not len(name):
         return name, np.empty(0, np.int32), np.empty(0, np.int32)
     made = Symbols(name, text)
     made.runs()
     for turn in range(ROUNDS):
-        made.pairs(turn)
+        made.pairs(way * ROUNDS + turn)
     use = (made.end - made.start >= SHORTEST) & (made.high - made.low <= WINDOW)
     low, high = made.low[use], made.high[use]
     bounds = np.searchsorted(text, np.arange(text[-1] + 2))
     begin, end = bounds[text[low]], bounds[text[low] + 1]
     first, last = np.maximum(high - WINDOW, begin), np.minimum(low, end - WINDOW)
     good = first <= last
-    return made.name[use][good], first[good], last[good]
+    return mix(made.name[use][good] + U(way)), first[good], last[good]
+
+
+def parses(name: np.ndarray, text: np.ndarray) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
+    """Symbols to compare, in order of texts: name, first and last window, and the parse they are of; and the
+    windows that none can rule out.  A second parse adds symbols for the windows that the first leaves
+    open.  Which these are depends on their words alone, so it is the same wherever they stand;
+    only these may a symbol of the second parse rule out."""
+    symbols = recompress(name, text, 0)
+    symbols = (*symbols, np.zeros(len(symbols[0]), np.int8))
+    free = whole_windows(text) & ~ruled_out(*symbols[1:3], len(name))
+    if free.any():
+        more = recompress(name, text, 1)
+        sums = np.r_[0, np.cumsum(free)]
+        useful = sums[more[2] + 1] > sums[more[1]]
+        more = (*(x[useful] for x in more), np.ones(int(useful.sum()), np.int8))
+        free &= ~ruled_out(*more[1:3], len(name))
+        symbols = tuple(np.r_[a, b] for a, b in zip(symbols, more))
+        order = np.argsort(symbols[1], kind="stable")
+        symbols = tuple(x[order] for x in symbols)
+    return symbols, free
 
 
 def ruled_out(first: np.ndarray, last: np.ndarray, n: int) -> np.ndarray:
@@ -177,8 +198,7 @@ def _survey(texts: list[str | None]) -> dict[str, object]:
     whether it has windows that none can."""
     words = [split(t) for t in texts]
     name, text = word_names(words)
-    symbol, first, last = recompress(name, text)
-    free = whole_windows(text) & ~ruled_out(first, last, len(name))
+    (symbol, first, last, way), free = parses(name, text)
     open_ = np.zeros(len(words), bool)
     open_[text[free]] = True
     offset = np.searchsorted(text, np.arange(len(words)))
@@ -190,6 +210,7 @@ def _survey(texts: list[str | None]) -> dict[str, object]:
         "names": np.split(symbol.view(np.int64), cut),
         "first": np.split((first - offset[of]).astype(np.int32), cut),
         "last": np.split((last - offset[of]).astype(np.int32), cut),
+        "way": np.split(way, cut),
         "open": open_,
     }
 
@@ -202,10 +223,6 @@ def _windows(batches: Iterator[pa.RecordBatch], kinds: pa.Schema) -> Iterator[pa
             words = [split(t) for t in part.column("text").to_pylist()]
             name, text = word_names(words)
             offset = np.searchsorted(text, np.arange(len(words)))
-            bounds = []
-            for side in ("first", "last"):
-                lists = part.column(side)
-                bounds.append(lists.flatten().to_numpy().astype(np.int64))
             size = pc.list_value_length(part.column("first")).to_numpy()
             own = np.repeat(np.arange(len(words)), size)
             alone = np.ones(len(own), bool)
@@ -213,7 +230,13 @@ def _windows(batches: Iterator[pa.RecordBatch], kinds: pa.Schema) -> Iterator[pa
             common = part.column("shared")
             several = pc.fill_null(pc.list_value_length(common), 0).to_numpy(zero_copy_only=False)
             alone[np.repeat(begin, several) + common.flatten().to_numpy()] = False
-            out = ruled_out((bounds[0] + offset[own])[alone], (bounds[1] + offset[own])[alone], len(name))
+            first, last, way = (part.column(c).flatten().to_numpy().astype(np.int64) for c in ("first", "last", "way"))
+            first, last = first + offset[own], last + offset[own]
+
+            def out_by(which: np.ndarray) -> np.ndarray:
+                return ruled_out(first[which], last[which], len(name))  # noqa: B023
+
+            out = out_by(alone & (way == 0)) | ~out_by(way == 0) & out_by(alone & (way == 1))
             start = np.flatnonzero(whole_windows(text) & ~out)
             if not len(start):
                 continue
@@ -274,21 +297,15 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     whole = docs.select("doc_id", "text", F.substring(F.unhex(F.sha2("text", 256)), 1, 16).alias("text_key"))
     id_type = whole.schema["doc_id"].dataType.simpleString()
     fields = (
-        "n_words bigint, kept_sha256 string, names array<bigint>, first array<int>, last array<int>, open boolean"
+        "n_words bigint, kept_sha256 string, names array<bigint>, first array<int>, last array<int>, way array<tinyint>, open boolean"
     )
     survey = kept(per_text(whole, ["doc_id", "text_key"], _survey, fields), "repeats-survey")
 
-    # One row for each different text: that of the smallest id.
-    texts = kept(
-        survey.groupBy("text_key").agg(
-            F.min("doc_id").alias("first_id"),
-            *(F.any_value(c).alias(c) for c in ("names", "first", "last", "open")),
-        ),
-        "repeats-texts",
-    )
     part = lambda: F.hash("text_key").alias("part")  # noqa: E731  tells texts of one id apart
-    with_id = texts.where(F.col("first_id").isNotNull())
-    places = with_id.select("first_id", "text_key", F.posexplode("names").alias("place", "name"))
+    with_id = survey.where(F.col("doc_id").isNotNull())
+    # Of equal texts the one of the smallest id is worked on.
+    firsts = survey.groupBy("text_key").agg(F.min("doc_id").alias("first_id"))
+    places = with_id.select("doc_id", "text_key", F.posexplode("names").alias("place", "name"))
     shared = (
         places.groupBy("name")
         .agg(F.min("text_key").alias("one"), F.max("text_key").alias("other"))
@@ -298,22 +315,26 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     # The symbols that another text has too; texts without any and without open windows drop out.
     common = (
         places.join(shared, "name")
-        .groupBy("first_id", part())
-        .agg(F.collect_list("place").alias("shared"))
-        .withColumnsRenamed({"first_id": "common_id", "part": "common_part"})
+        .groupBy(F.col("doc_id").alias("common_id"), F.hash("text_key").alias("common_part"))
+        .agg(F.collect_set("place").alias("shared"))
     )
+    chosen = firsts.where(F.col("first_id").isNotNull()).select("first_id", F.hash("text_key").alias("first_part"))
     looked = (
-        with_id.select("first_id", part().alias("first_part"), "first", "last", "open")
-        .join(common, (F.col("first_id") == F.col("common_id")) & (F.col("first_part") == F.col("common_part")), "left")
+        with_id.select(
+            F.col("doc_id").alias("look_id"), F.hash("text_key").alias("look_part"), "first", "last", "way", "open"
+        )
+        .join(chosen, (F.col("look_id") == F.col("first_id")) & (F.col("look_part") == F.col("first_part")))
+        .join(common, (F.col("look_id") == F.col("common_id")) & (F.col("look_part") == F.col("common_part")), "left")
         .where(F.col("open") | F.col("shared").isNotNull())
+        .select("look_id", "look_part", "first", "last", "way", "shared")
     )
     text = whole.select("doc_id", part(), "text").where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     schema = T.StructType.fromDDL(
         f"one bigint, two bigint, doc_id {id_type}, part int, start int, n int, found boolean"
     )
     windows = (
-        text.join(looked, (F.col("doc_id") == F.col("first_id")) & (F.col("part") == F.col("first_part")))
-        .select("doc_id", "part", "text", "first", "last", "shared")
+        text.join(looked, (F.col("doc_id") == F.col("look_id")) & (F.col("part") == F.col("look_part")))
+        .select("doc_id", "part", "text", "first", "last", "way", "shared")
         .mapInArrow(lambda rows: _windows(rows, to_arrow_schema(schema)), schema)
     )
     least = F.min("doc_id").over(Window.partitionBy("one", "two"))
@@ -334,7 +355,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     )
     changed = changed.dropDuplicates(["changed_id", "changed_part"])
     rows = survey.select("doc_id", "text_key", "n_words", "kept_sha256").join(
-        texts.select(F.col("text_key").alias("key"), "first_id"), F.col("text_key").eqNullSafe(F.col("key")), "left"
+        firsts.select(F.col("text_key").alias("key"), "first_id"), F.col("text_key").eqNullSafe(F.col("key")), "left"
     )
     rows = rows.join(
         changed,
