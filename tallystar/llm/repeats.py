@@ -305,17 +305,21 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     with_id = survey.where(F.col("doc_id").isNotNull())
     # Of equal texts the one of the smallest id is worked on.
     firsts = survey.groupBy("text_key").agg(F.min("doc_id").alias("first_id"))
-    places = with_id.select("doc_id", "text_key", F.posexplode("names").alias("place", "name"))
+    # Only numbers travel with the names: those rows are the most that is shuffled here.
+    places = with_id.select(
+        "doc_id", part(), F.xxhash64("text_key").alias("of"), F.posexplode("names").alias("place", "name")
+    )
     shared = (
         places.groupBy("name")
-        .agg(F.min("text_key").alias("one"), F.max("text_key").alias("other"))
+        .agg(F.min("of").alias("one"), F.max("of").alias("other"))
         .where(F.col("one") < F.col("other"))
         .select("name")
     )
     # The symbols that another text has too; texts without any and without open windows drop out.
     common = (
-        places.join(shared, "name")
-        .groupBy(F.col("doc_id").alias("common_id"), F.hash("text_key").alias("common_part"))
+        places.drop("of")
+        .join(shared, "name")
+        .groupBy(F.col("doc_id").alias("common_id"), F.col("part").alias("common_part"))
         .agg(F.collect_set("place").alias("shared"))
     )
     chosen = firsts.where(F.col("first_id").isNotNull()).select("first_id", F.hash("text_key").alias("first_part"))
