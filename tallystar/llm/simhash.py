@@ -250,7 +250,9 @@ def links(points: DataFrame, radius: int, ratio: float = 0.0) -> DataFrame:
         sample.setdefault(r["bin"], []).append(r["fp"])
     trees = {}
     for bin_number, n in counts.items():
-        own = np.array(sorted(sample.get(bin_number, [])), np.int64).view(U).reshape(len(sample.get(bin_number, [])), -1)
+        found = sorted(sample.get(bin_number, []))
+        # A bin that the sample missed is one shard.
+        own = np.array(found, np.int64).view(U) if found else np.empty((0, 1), U)
         shards = min(MOST_SHARDS, -(-n // SHARD_POINTS))
         trees[bin_number] = VantageTree(own, max(2, -(-len(own) // shards)), radius)
     held = context.broadcast(trees)
