@@ -9,8 +9,10 @@ the radius.  A shard returns a spanning forest of its links, never all pairs; th
 are the connected components of these.
 
 ``near_duplicates`` links 64-bit fingerprints of four-word shingles at up to four bits.  ``one_of_each`` looks for
-texts of a similarity (Jaccard, of five-word shingles) of 0.8 or more: fingerprints of 256 bits, a radius
-that follows from the similarity, and only between texts whose numbers of shingles allow it.
+texts of a similarity (Jaccard, of five-word shingles) of 0.8 or more.  Fingerprints of 256 bits, within a radius
+that the similarity and ``NEAR_DEVIATIONS`` give, only make candidates, between texts whose numbers of shingles allow it;
+a link takes the exact similarity of the two sets of shingle hashes.  Candidates are verified within the groups their
+links connect, in blocks of bounded size, and a block too returns a spanning forest.
 
 Cases: a null text counts as one without words (fingerprint zero, linked like any other); equal fingerprints
 are one point; repeated rows give repeated rows; an id with several texts is one document; a row without an id links nothing and has
@@ -34,6 +36,10 @@ from tallystar.llm.common import kept, per_text
 SHINGLE, RADIUS, SEED = 4, 4, 42
 #: For ``one_of_each``: shingle, similarity, and fingerprint size in words of 64 bits.
 NEAR_SHINGLE, NEAR_SIMILARITY, NEAR_WORDS = 5, 0.8, 4
+#: Standard deviations beyond the mean distance at that similarity up to which texts are candidates.
+NEAR_DEVIATIONS = 4.0
+#: Shingles of a block of candidates, on average; a task verifies the pairs of one or two blocks.
+BLOCK_SHINGLES = 2_000_000
 
 #: Distinct fingerprints a shard stores on average; the sample the shared trees are built from (an upper
 #: bound, on average); the most shards.
@@ -90,18 +96,34 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return per_text(docs, ["doc_id"], run, "fp bigint")
 
 
+def set_key(hashes: np.ndarray) -> bytes:
+    """128 bits that stand for a sorted set of shingle hashes."""
+    return xxhash.xxh3_128_digest(hashes.tobytes(), SEED)
+
+
 def set_fingerprints(docs: DataFrame, shingle: int, words: int) -> DataFrame:
-    """(doc_id, fp, size): fingerprints of ``words`` times 64 bits of the set of shingles, and its size."""
+    """(doc_id, fp, size, key): fingerprints of ``words`` times 64 bits of the set of shingles, its size and its key."""
 
     def run(texts: list[str | None]) -> dict[str, object]:
-        made, sizes = np.zeros((len(texts), words), U), []
+        made, sizes, keys = np.zeros((len(texts), words), U), [], []
         for k, text in enumerate(texts):
             hashes = np.unique(shingle_hashes(text, shingle))
             sizes.append(len(hashes))
+            keys.append(set_key(hashes))
             made[k] = [majority(remixed(hashes, turn)) for turn in range(words)]
-        return {"fp": list(made.view(np.int64)), "size": sizes}
+        return {"fp": list(made.view(np.int64)), "size": sizes, "key": keys}
+
+    return per_text(docs, ["doc_id"], run, "fp array<bigint>, size bigint, key binary")
+
+
+def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """(set_key, shingles): the distinct sets of shingle hashes."""
+
+    def run(texts: list[str | None]) -> dict[str, object]:
+        sets = [np.unique(shingle_hashes(t, shingle)) for t in texts]
+        return {"set_key": [set_key(s) for s in sets], "shingles": [s.view(np.int64) for s in sets]}
 
-    return per_text(docs, ["doc_id"], run, "fp array<bigint>, size bigint")
+    return per_text(docs, [], run, "set_key binary, shingles array<bigint>").dropDuplicates(["set_key"])
 
 
 def distances(points: np.ndarray, point: np.ndarray) -> np.ndarray:
@@ -345,10 +367,74 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def near_radius(similarity: float, bits: int) -> int:
-    """Bits in which fingerprints of sets of that Jaccard similarity differ, and one standard deviation."""
+def near_radius(similarity: float, bits: int, deviations: float = 1.0) -> int:
+    """Bits in which fingerprints of sets of that Jaccard similarity differ, and so many standard deviations."""
     part = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return math.floor(bits * part + math.sqrt(bits * part * (1 - part)))
+    return math.floor(bits * part + deviations * math.sqrt(bits * part * (1 - part)))
+
+
+def similar(
+    ids: np.ndarray, shingles: list[np.ndarray], side: np.ndarray, similarity: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest, as pairs of ids, of the pairs of sets whose Jaccard similarity is at least ``similarity``;
+    where sets of two sides meet, of the pairs across only."""
+    nodes, node = np.unique(ids, return_inverse=True)
+    parent = np.arange(len(nodes))
+    sizes = np.fromiter(map(len, shingles), np.int64, len(shingles))
+    values, number = np.unique(np.concatenate(shingles), return_inverse=True)
+    ends = np.cumsum(sizes)
+    across = len(np.unique(side)) > 1
+    own = np.zeros(len(values), bool)
+    for k in range(len(ids) - 1):
+        rest = np.arange(k + 1, len(ids))
+        near = np.minimum(sizes[rest], sizes[k]) / np.maximum(sizes[rest], sizes[k]) >= similarity
+        # What is one set already needs no further link.
+        near &= parent[node[rest]] != parent[node[k]]
+        if across:
+            near &= side[rest] != side[k]
+        rest = rest[near]
+        if not len(rest):
+            continue
+        mine = number[ends[k] - sizes[k] : ends[k]]
+        own[mine] = True
+        upto = np.cumsum(sizes[rest])
+        begin = upto - sizes[rest]
+        at = np.arange(int(upto[-1])) + np.repeat(ends[rest] - sizes[rest] - begin, sizes[rest])
+        both = np.add.reduceat(own[number[at]], begin, dtype=np.int64)
+        own[mine] = False
+        found = rest[both / (sizes[rest] + sizes[k] - both) >= similarity]
+        parent = _merge(parent, np.full(len(found), node[k]), node[found])
+    moved = np.flatnonzero(parent != np.arange(len(nodes)))
+    return nodes[moved], nodes[parent[moved]]
+
+
+def verified(docs: DataFrame, points: DataFrame, candidates: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(a, b): links between ids of ``points`` (id, size, key) that connect exactly what pairs of at least
+    ``similarity`` connect, of points that ``candidates`` connects."""
+    reached = components(candidates)
+    found = points.join(reached, points["id"] == reached["node"]).select("id", "size", "key", F.col("least").alias("group"))
+    found = kept(found, "simhash-candidates")
+    count = F.greatest(F.lit(1), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int")
+    blocks = found.groupBy("group").agg(count.alias("blocks")).withColumnRenamed("group", "group_")
+    wanted = found.select(F.col("id").alias("wanted")).distinct()
+    sets = shingle_sets(docs.join(wanted, docs["doc_id"] == wanted["wanted"], "left_semi"), shingle)
+    side = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    rows = (
+        found.join(blocks, found["group"] == blocks["group_"])
+        .withColumn("side", side)
+        .join(sets, F.col("key") == F.col("set_key"))
+        .select("group", "id", "side", "shingles", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        .select(
+            "group", "id", "side", "shingles", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j")
+        )
+    )
+    id_type = points.schema["id"].dataType.simpleString()
+
+    def match(frame: pd.DataFrame) -> pd.DataFrame:
+        a, b = similar(frame["id"].to_numpy(), frame["shingles"].to_list(), frame["side"].to_numpy(), similarity)
+        return pd.DataFrame({"a": a, "b": b})
+
+    return rows.groupBy("group", "i", "j").applyInPandas(match, f"a {id_type}, b {id_type}")
 
 
 def one_of_each(
@@ -362,14 +448,15 @@ def one_of_each(
     Rows equal in id and text count as one and leave one; rows without an id stay, as nothing tells
     them apart from others."""
     prints = kept(set_fingerprints(docs.where(F.col("doc_id").isNotNull()), shingle, words), "simhash")
-    # Equal fingerprints of equal size are one point.
-    points = kept(prints.groupBy("fp", "size").agg(F.min("doc_id").alias("id")), "simhash-points")
-    reached = components(links(points, near_radius(similarity, 64 * words), similarity))
+    # Equal sets of shingles are one point.
+    points = kept(prints.groupBy("key", "fp", "size").agg(F.min("doc_id").alias("id")), "simhash-points")
+    candidates = links(points, near_radius(similarity, 64 * words, NEAR_DEVIATIONS), similarity)
+    reached = components(verified(docs, points, candidates, shingle, similarity))
     first = points.join(reached, points["id"] == reached["node"], "left").select(
-        F.col("fp").alias("key"), F.col("size").alias("key_size"), F.coalesce("least", "id").alias("least")
+        F.col("key").alias("point"), F.coalesce("least", "id").alias("least")
     )
     gone = (
-        prints.join(first, (prints["fp"] == first["key"]) & (prints["size"] == first["key_size"]))
+        prints.join(first, prints["key"] == first["point"])
         .where(F.col("least") < F.col("doc_id"))
         .select(F.col("doc_id").alias("gone_id"))
         .distinct()

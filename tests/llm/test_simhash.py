@@ -146,3 +146,44 @@ def test_one_of_each_takes_similar_texts_and_leaves_others(spark, monkeypatch):
 
 def test_radius_follows_the_similarity():
     assert [S.near_radius(s, 256) for s in (0.8, 0.9, 1.0)] == [44, 31, 0]
+
+
+def test_one_of_each_decides_by_the_exact_similarity(spark, monkeypatch):
+    """Copies just above 0.8 go, whatever their fingerprints; those just below stay, in one block or in many."""
+    rows, gone = [], set()
+    for k in range(60):
+        words = sentence(3000 + k, 600).split()
+        rows.append((k, " ".join(words)))
+        for first, changes in ((100, 13), (200, 15)):
+            other = list(words)
+            for c in range(changes):
+                other[20 + 40 * c % 560] = f"other{first}x{c}"
+            assert (jaccard(words, other) >= 0.8) == (first == 100) and jaccard(words, other) > 0.75
+            rows.append((first + k, " ".join(other)))
+        gone.add(100 + k)
+    docs = documents(spark, rows)
+    prints = {r.doc_id: np.array(r.fp).view(np.uint64) for r in S.set_fingerprints(docs, 5, 4).collect()}
+    apart = {i: int(np.bitwise_count(prints[i] ^ prints[i % 100]).sum()) for i in prints}
+    assert any(apart[100 + k] > 44 for k in range(60)) and any(apart[200 + k] <= 44 for k in range(60))
+    for size in (2_000_000, 500):
+        monkeypatch.setattr(S, "BLOCK_SHINGLES", size)
+        assert {r.doc_id for r in S.one_of_each(docs).collect()} == {i for i, _ in rows} - gone
+
+
+def test_similar_connects_what_similar_pairs_connect():
+    rng = np.random.default_rng(5)
+    for _ in range(20):
+        sets_ = [np.unique(rng.integers(0, 40, rng.integers(20, 60))) for _ in range(30)]
+        sets_ += [np.delete(s, rng.integers(len(s), size=3)) for s in sets_]
+        ids, side = np.arange(len(sets_)), rng.integers(0, 2, len(sets_))
+        pairs = [
+            (i, j)
+            for i in ids
+            for j in ids[i + 1 :]
+            if 5 * len(np.intersect1d(sets_[i], sets_[j])) >= 4 * len(np.union1d(sets_[i], sets_[j]))
+        ]
+        for sides in (side * 0, side):
+            want = [(i, j) for i, j in pairs if not sides.any() or sides[i] != sides[j]]
+            a, b = S.similar(ids, sets_, sides, 0.8)
+            i, j = np.array(want).T
+            assert sets(0, a, b, ids) == sets(0, i, j, ids)
