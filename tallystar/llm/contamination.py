@@ -8,7 +8,7 @@ word a step.  Occurrences are located from sampled suffix positions by walking t
 their words merge into removal spans.
 
 The benchmark is collected in blocks of bounded size, each of which meets all documents; with
-more than one block the hits of a document are brought together by document and text.
+more than one block the hits of a document are brought together by document and text, and so are the spans to cut.
 
 Cases: a null text or item has no words; an item of fewer than ``WINDOW`` words is one phrase, one
 without words none; an item id may repeat and counts once; repeated documents give repeated rows; empty
@@ -21,10 +21,11 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallystar.llm.common import per_text, rewrite
+from tallystar.llm.common import kept, per_text, rewrite
 
 WINDOW = 10
 #: Bytes of benchmark text in a block on average: what the driver collects and sends at once.
@@ -283,23 +284,75 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join([*out, text[done:]])
 
 
+def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans joined where they meet or touch, as ``find`` joins those of one block."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
+
+
 def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with every benchmark window cut out of ``text`` and ``n_chars`` counted anew where
-    something was cut.  A cut may bring words together, so a changed text is searched until
-    it holds no window.  Other rows and columns stay as they are."""
-    out = docs
-    for items in blocks(benchmark):
-        held = docs.sparkSession.sparkContext.broadcast(Phrases(items))
-
-        def change(texts: list[str | None], held=held) -> list[str | None]:
-            texts, open_ = list(texts), list(range(len(texts)))
-            while open_:
-                spans, _ = find(held.value, [split_words(texts[k]) for k in open_])
-                hit = [(k, s) for k, s in zip(open_, spans) if s]
-                for k, s in hit:
-                    texts[k] = cut(texts[k], s)
-                open_ = [k for k, _ in hit]
-            return texts
-
-        out = rewrite(out, change)
-    return out
+    something was cut.  The spans of all blocks are cut at once.  A cut may bring words together, so a changed
+    text is searched again, for the windows of all blocks, until it holds none.  Other rows and columns stay as
+    they are."""
+    context = docs.sparkSession.sparkContext
+    held = [context.broadcast(Phrases(items)) for items in blocks(benchmark)]
+    if len(held) > 1:
+        return _remove_in_rounds(docs, held)
+
+    def change(texts: list[str | None]) -> list[str | None]:
+        texts, open_ = list(texts), list(range(len(texts)))
+        while open_:
+            spans, _ = find(held[0].value, [split_words(texts[k]) for k in open_])
+            hit = [(k, s) for k, s in zip(open_, spans) if s]
+            for k, s in hit:
+                texts[k] = cut(texts[k], s)
+            open_ = [k for k, _ in hit]
+        return texts
+
+    return rewrite(docs, change)
+
+
+def _remove_in_rounds(docs: DataFrame, held: list) -> DataFrame:
+    """What one block does in a task, by rounds: each finds the spans of all blocks in the texts that the round
+    before changed, and cuts them.  A text is named by the hash of what it was at first."""
+    todo, rounds = docs.select(F.sha2("text", 256).alias("named"), "text"), []
+
+    def search(block) -> DataFrame:
+        def run(texts: list[str | None]) -> dict[str, object]:
+            spans, _ = find(block.value, [split_words(t) for t in texts])
+            return {"spans": [[{"start": a, "end": b} for a, b in s] for s in spans]}
+
+        return per_text(todo, ["named"], run, "spans array<struct<start:int,end:int>>").where(F.size("spans") > 0)
+
+    def change(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            spans = [merged_spans([(s["start"], s["end"]) for s in row]) for row in frame["spans"]]
+            yield frame[["named"]].assign(text=[cut(t, s) for t, s in zip(frame["text"], spans)])
+
+    while True:
+        found = search(held[0])
+        for block in held[1:]:
+            found = found.unionByName(search(block))
+        found = found.groupBy("named").agg(F.flatten(F.collect_set("spans")).alias("spans"))
+        hit = todo.dropDuplicates(["named"]).join(kept(found, "decontamination-spans"), "named")
+        todo = kept(hit.select("named", "text", "spans").mapInPandas(change, "named string, text string"), "decontamination")
+        if todo.isEmpty():
+            break
+        rounds.append(todo.withColumn("round", F.lit(len(rounds))))
+    if not rounds:
+        return docs
+    every = rounds[0]
+    for one in rounds[1:]:
+        every = every.unionByName(one)
+    last = every.groupBy("named").agg(F.max_by("text", "round").alias("text_now"))
+    changed = F.col("named").isNotNull()
+    new = {"text": F.col("text_now"), "n_chars": F.char_length("text_now").cast(docs.schema["n_chars"].dataType)}
+    return docs.join(last, F.sha2(docs["text"], 256) == last["named"], "left").select(
+        *(F.when(changed, new[c]).otherwise(docs[c]).alias(c) if c in new else docs[c] for c in docs.columns)
+    )

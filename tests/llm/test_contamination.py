@@ -84,3 +84,28 @@ def test_empty_tables(spark):
 def test_cut_keeps_what_surrounds():
     text = "Intro, one two! three. Rest"
     assert C.cut(text, [(1, 4)]) == "Intro, . Rest"
+
+
+def test_blocks_do_not_change_what_is_cut(spark, monkeypatch):
+    """Windows of two blocks that overlap, and a window that the cut of a later block brings together."""
+    w, a, b = (sentence(k, n).split() for k, n in ((70, 14), (71, 10), (72, 10)))
+    items = [(1, " ".join(w[:10])), (2, " ".join(w[4:])), (3, " ".join(a)), (4, " ".join(b)), (5, " ".join(w[:10]))]
+    rows = [
+        (1, "Before it, " + " ".join(w) + " and after."),
+        (2, "start " + " ".join(a[:5] + b + a[5:]) + " end"),
+        (3, "x " + " ".join(b[:6] + a[:3] + w + a[3:] + b[6:]) + " y"),
+        (4, " ".join(a + b)),
+        (5, "nothing here"),
+        (5, None),
+        (None, " ".join(a)),
+    ]
+    docs = documents(spark, rows)
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    want = {(1, "Before it,  and after."), (2, "start  end"), (3, "x  y"), (4, ""), (5, "nothing here"), (5, None), (None, "")}
+    for parts in ([items], [items[:1], items[1:3], items[3:]], [items[k : k + 1] for k in (3, 2, 1, 0)]):
+        monkeypatch.setattr(C, "blocks", lambda _, parts=parts: iter(parts))
+        clean = C.remove(docs, bench)
+        assert clean.schema == docs.schema
+        out = clean.collect()
+        assert len(out) == len(rows) and {(r.doc_id, r.text) for r in out} == want
+        assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in out)
