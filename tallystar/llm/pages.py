@@ -3,10 +3,12 @@ marks list items and aligns table cells.
 
 Markup is read as browsers roughly do: tags that HTML implies are opened and closed, unknown end tags are
 passed over, unclosed elements end with their parent, and the content of raw elements is no markup.
-Hidden are scripts, styles, head matter, templates, and elements with ``hidden``, ``aria-hidden="true"`` or a style of
+Hidden are scripts, styles, head matter, templates, what SVG and MathML do not draw (SVG text outside ``text``, definitions,
+annotations), and elements with ``hidden``, ``aria-hidden="true"`` or a style of
 ``display:none`` or ``visibility:hidden``.  All other text is emitted in order: white space collapses outside
 ``pre``, block elements stand on lines of their own, paragraphs and headings with an empty line around them,
-list items with a dash or their number, and the cells of a table in columns as wide as their widest cell.
+list items with a dash or their number, and the cells of a table in columns as wide as their widest cell.  What stands
+in a table but in no cell or caption comes before the table, as in browsers; cells are found through it.
 
 Cases: null or empty markup gives the empty text; markup without any tag is its own text; nested or broken tables and lists
 render as far as they are there; elements nest to any depth; very long pages are steps of their own; repeated rows give repeated rows;
@@ -32,7 +34,16 @@ SPACES = re.compile(r"[ \t\n\r\f]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 UNSEEN = frozenset(
-    "head script style title template noscript meta link base iframe object svg math audio video canvas datalist".split()
+    "head script style title template noscript meta link base iframe object audio video canvas datalist".split()
+)
+#: Within SVG and MathML: what is not drawn, whose content is HTML again, and the HTML tags that end both.
+UNDRAWN = frozenset(
+    "defs symbol desc metadata clippath mask marker pattern lineargradient radialgradient filter annotation annotation-xml".split()
+)
+POINTS = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p "
+    "pre ruby s small span strong strike sub sup table tt u ul var".split()
 )
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure hr".split())
 BLOCKS = PARAGRAPHS | frozenset(
@@ -53,17 +64,26 @@ CLOSES = {
     "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
     "body": ({"head"}, set()),
 }
+#: Parts of a table, which its cells lie in.
+PARTS = frozenset("tr thead tbody tfoot colgroup col".split())
 #: What an end tag does not reach across; those of table parts reach across cells.
 TABLE = frozenset("table caption thead tbody tfoot tr td th".split())
 SCOPE = frozenset("table td th html body".split())
+#: An unquoted value that ends in a slash, which closes nothing.
+SLASH_VALUE = re.compile(r"""=\s*[^\s"'>=]*/\Z""")
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "children")
+    """An element; ``space`` is "svg", "text" (an SVG text and what is in it) or "math", and empty for HTML."""
+
+    __slots__ = ("tag", "attributes", "children", "space")
 
-    def __init__(self, tag: str, attributes: dict[str, str]):
-        self.tag, self.attributes, self.children = tag, attributes, []
+    def __init__(self, tag: str, attributes: dict[str, str], space: str = ""):
+        self.tag, self.attributes, self.children, self.space = tag, attributes, [], space
+
+    def inner_space(self) -> str:
+        return "" if self.tag in POINTS else self.space
 
 
 def attributes(source: str) -> dict[str, str]:
@@ -89,7 +109,9 @@ def parse(source: str) -> Node:
                 return
 
     def text(data: str) -> None:
-        if data:
+        if open_[-1].tag == "head" and data.strip(" \t\n\r\f"):
+            open_.pop()  # the body begins
+        if data and open_[-1].inner_space() != "svg":
             open_[-1].children.append(html.unescape(data) if "&" in data else data)
 
     at = 0
@@ -110,6 +132,9 @@ def parse(source: str) -> Node:
         if tag == "html":
             root.attributes = attributes(m[3]) | root.attributes
             continue
+        if tag in BREAKOUT:
+            while open_[-1].inner_space():
+                open_.pop()
         if tag in BLOCKS and tag not in ("li", "tr", "td", "th"):
             if any(n.tag == "p" for n in open_):
                 close({"p"}, SCOPE | {"button"})
@@ -129,8 +154,12 @@ def parse(source: str) -> Node:
             open_.pop()
         if open_[-1].tag == "head" and tag not in UNSEEN:
             open_.pop()  # the body begins
-        node = Node(tag, attributes(m[3]) if m[3].strip(" /") else {})
+        space = tag if tag in ("svg", "math") else open_[-1].inner_space()
+        space = "text" if space == "svg" and tag == "text" else space
+        node = Node(tag, attributes(m[3]) if m[3].strip(" /") else {}, space)
         open_[-1].children.append(node)
+        if space and m[3].endswith("/") and not SLASH_VALUE.search(m[3]):
+            continue  # closed by itself
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(source, at)
             inner = source[at : end.start() if end else len(source)]
@@ -150,6 +179,7 @@ def visible(node: Node) -> bool:
         or a.get("aria-hidden", "").lower() == "true"
         or (node.tag == "input" and a.get("type", "").lower() == "hidden")
         or ("style" in a and HIDDEN_STYLE.search(a["style"]))
+        or (node.space and (node.tag in UNDRAWN or a.get("display") == "none" or a.get("visibility") == "hidden"))
     )
 
 
@@ -200,15 +230,40 @@ class Page:
         return "\n".join(self.lines)
 
 
-def rows_of(table: Node) -> list[list[Node]]:
-    rows = []
-    for part in table.children:
-        if isinstance(part, Node) and visible(part):
-            if part.tag == "tr":
-                rows.append([c for c in part.children if isinstance(c, Node) and c.tag in ("td", "th") and visible(c)])
-            elif part.tag in ("thead", "tbody", "tfoot"):
-                rows += rows_of(part)
-    return rows
+def table_parts(table: Node) -> tuple[list[Node], list[list[Node]], list[object]]:
+    """Captions, rows of cells, and all else that lies between these.  An element that does not belong there keeps
+    what is no cell; its cells are the row's it stands in."""
+    captions: list[Node] = []
+    rows: list[list[Node]] = []
+    strays: list[object] = []
+    todo: list[tuple[object, list[Node] | None, list[object]]] = [(c, None, strays) for c in reversed(table.children)]
+    while todo:
+        node, row, loose = todo.pop()
+        if isinstance(node, str) or node.tag == "table" or node.space:
+            loose.append(node)
+        elif node.tag in PARTS or node.tag in ("caption", "td", "th"):
+            if not visible(node):
+                continue
+            if node.tag == "caption":
+                captions.append(node)
+            elif node.tag in PARTS:
+                if node.tag == "tr":
+                    row = []
+                    rows.append(row)
+                todo += [(c, row, loose) for c in reversed(node.children)]
+            else:
+                if row is None:
+                    row = []
+                    rows.append(row)
+                row.append(node)
+        elif node.tag not in UNSEEN:
+            if row is None:
+                row = []
+                rows.append(row)
+            rest = Node(node.tag, node.attributes)
+            loose.append(rest)  # where it is hidden, its cells are not
+            todo += [(c, row, rest.children) for c in reversed(node.children)]
+    return captions, rows, strays
 
 
 def render(root: Node) -> str:
@@ -233,6 +288,24 @@ def render(root: Node) -> str:
             else:
                 page.flow(node)
             continue
+        if doing == "grid":
+            captions, rows = node
+            grid = [[render_cell(c) for c in row] for row in rows]
+            width: list[int] = []
+            for row in grid:
+                for k, cell in enumerate(row):
+                    if k == len(width):
+                        width.append(0)
+                    width[k] = max(width[k], len(cell))
+            page.end_line(1)
+            for caption in captions:
+                page.flow(render_cell(caption))
+                page.end_line(1)
+            for row in grid:
+                if any(row):
+                    page.write("  ".join(c.ljust(w) for c, w in zip(row, width)).rstrip())
+                    page.end_line(1)
+            continue
         tag = node.tag
         if doing == "leave":
             page.prefix = "" if tag == "li" else page.prefix
@@ -251,25 +324,11 @@ def render(root: Node) -> str:
         if block:
             page.end_line(2 if tag in PARAGRAPHS and not (counters and tag in ("ul", "ol")) else 1)
         if tag == "table":
-            captions = [c for c in node.children if isinstance(c, Node) and c.tag == "caption" and visible(c)]
-            grid = [[render_cell(c) for c in row] for row in rows_of(node)]
-            width: list[int] = []
-            for row in grid:
-                for k, cell in enumerate(row):
-                    if k == len(width):
-                        width.append(0)
-                    width[k] = max(width[k], len(cell))
-            for caption in captions:
-                page.flow(render_cell(caption))
-                page.end_line(1)
-            for row in grid:
-                if any(row):
-                    page.write("  ".join(c.ljust(w) for c, w in zip(row, width)).rstrip())
-                    page.end_line(1)
-            # Text misplaced between the cells is still visible.
-            stray = [c for c in node.children if isinstance(c, str) or c.tag not in ("tr", "thead", "tbody", "tfoot", "caption", "colgroup", "col")]
+            captions, rows, strays = table_parts(node)
             todo.append((node, "leave", pre, counters))
-            todo += [(c, "enter", pre, counters) for c in reversed(stray)]
+            todo.append(((captions, rows), "grid", pre, counters))
+            # Text misplaced between the cells is still visible.
+            todo += [(c, "enter", pre, counters) for c in reversed(strays)]
             continue
         inner = counters
         if tag == "ol":
@@ -290,6 +349,10 @@ def render(root: Node) -> str:
         todo += [(c, "enter", deeper, inner) for c in reversed(node.children)]
         if tag in ("td", "th"):
             page.space = True
+        if tag == "text" and node.space:
+            # Each stands at a place of its own.
+            page.space = bool(page.parts)
+            todo.insert(len(todo) - len(node.children), (" ", "enter", 0, inner))
     return page.text()
 
 

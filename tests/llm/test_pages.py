@@ -59,3 +59,35 @@ def test_odd_table(spark):
     out = sorted(((r.page_id or 0, r.text) for r in extract(pages).collect()))
     assert out == [(0, "x"), (1, ""), (2, ""), (3, "\n\n".join("a" * 50_000)), (4, "x"), (4, "x")]
     assert extract(pages.where(F.lit(False))).count() == 0
+
+
+STRAYS = {
+    "<table><tr><form><td>Name<td>N</form></tr><tr><td>a<td>b</table>": "Name  N\na     b",
+    "<table><tr>loose<td>cell</table>": "loose\ncell",
+    "<table><tr><td>one</td><div>two <b>three</b></div><a href=x>four</a></tr></table>five": "two three\nfour\none\n\nfive",
+    "<table><tbody>text<tr><td>cell</tbody></table>": "text\ncell",
+    "<table><tr><td>a</td><table><tr><td>inner</table></tr></table>": "inner\n\na",
+    "<table><form><tr><td>a<td>b<tr><td>c<td>d</form></table>": "a  b\nc  d",
+    "<table><form><td>a<td>b</form></table>": "a  b",
+    "<table><colgroup><col>x<td>a</table>": "x\na",
+    "<table><tr><div hidden>no<td>cell</table>": "cell",
+    "<table><tr hidden>no<td>no</tr><script>no</script><template><td>no</template></table>": "",
+    "a<svg width='1'/>b<p>c": "ab\n\nc",
+    "a <svg><title/><style/><path d='x'/><text>label</text><text>two</text></svg> b": "a label two b",
+    "<svg>no<defs><text>no</text></defs><title>no</title><g><text>a<tspan>b</tspan></text></g></svg>c": "ab c",
+    "<svg><foreignObject><p>in html</p></foreignObject></svg>": "in html",
+    "<svg><path d=a/><p>out": "out",
+    "<svg><a href=x/><text>in</text></svg>": "in",
+    "x <math><mi>a</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math> y": "x a=2 y",
+    "<head><title>t</title>\nfirst words <b>more</b>": "first words more",
+    "<head><title>t</title> \n </head><body>b": "b",
+}
+
+
+@pytest.mark.parametrize("source", STRAYS)
+def test_text_in_odd_places_is_shown(source):
+    assert extract_text(source) == STRAYS[source]
+
+
+def test_depth_within_a_row():
+    assert extract_text("<table><tr>" + "<div>" * 20000 + "x<td>cell").split() == ["x", "cell"]
