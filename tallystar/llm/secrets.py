@@ -5,7 +5,8 @@ their patterns that are long enough.  The kind ``entropy`` comes from candidate
 of token characters): a window slides over each, its counts change by one character in and one
 out, and so does its Shannon entropy; a window is taken by the threshold of the narrowest
 character class that holds all its characters (digits alone, hexadecimal, base 64).  Windows that
-touch are one span.  Spans that meet a base span, and candidates on the allow list, are suppressed.
+touch are one span, without what base spans cover.  Candidates on the allow list are suppressed; a sample, a
+placeholder or a run of one character suppresses its piece between separators only, and the stretches beside it are scanned.
 
 Cases: a null text has no spans; empty texts neither; texts are scanned whole whatever their length; repeated
 rows give repeated rows; an empty table gives an empty result; further columns are not read.
@@ -36,14 +37,16 @@ MIN_ASSIGN, MIN_ACCESS = 6, 20
 WINDOW = 20
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW, re.ASCII)
 THRESHOLDS = {"digits": math.inf, "hex": 3.0, "base64": 3.8}
-#: Candidates that are no secrets: words and identifiers without digits, paths of words, UUIDs,
-#: samples and placeholders, long runs of one character.
+#: Stretches of candidates that are no secrets: words and identifiers without digits, paths of words, UUIDs.
 ALLOWED = re.compile(
     r"[A-Za-z+/_=-]*|[0-9+/_=-]*"
     r"|[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
     r"|[A-Za-z]+[0-9]{0,4}(?:[/_-][A-Za-z]*[0-9]{0,4})*"
-    r"|.*(?:(?i:example|sample|placeholder|changeme)|(.)\1{7}).*"
 )
+#: Samples and placeholders, and long runs of one character; the pieces of a candidate, and rules of separators.
+HARMLESS = re.compile(r"(?i:example|sample|placeholder|changeme)|(.)\1{7}")
+PIECE = re.compile(r"[A-Za-z0-9+]+|([/_=-])\1{7,}")
+SIGN = re.compile(r"[A-Za-z0-9]")
 
 _PART = [0.0] + [n / WINDOW * math.log2(n / WINDOW) for n in range(1, WINDOW + 1)]
 _DIGITS, _HEX = frozenset("0123456789"), frozenset("0123456789abcdefABCDEF")
@@ -92,16 +95,40 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def stretches(candidate: str) -> list[tuple[int, int]]:
+    """What is left of a candidate between its harmless pieces."""
+    if not HARMLESS.search(candidate):
+        return [(0, len(candidate))]
+    out, at = [], 0
+    for m in PIECE.finditer(candidate):
+        if HARMLESS.search(m[0]):
+            out.append((at, m.start()))
+            at = m.end()
+    return [*out, (at, len(candidate))]
+
+
+def outside(start: int, end: int, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The parts of a span that no base span (in order of starts) covers."""
+    out = []
+    for s, _, e in base:
+        if s < end and start < e:
+            if start < s:
+                out.append((start, s))
+            start = max(start, e)
+    return [*out, (start, end)] if start < end else out
+
+
 def all_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """The base spans and the entropy spans that meet none of them."""
+    """The base spans, and what entropy spans have outside them."""
     more = []
     for m in CANDIDATE.finditer(text):
-        if ALLOWED.fullmatch(m[0]):
-            continue
-        for a, b in entropy_spans(m[0]):
-            a, b = a + m.start(), b + m.start()
-            if not any(s < b and a < e for s, _, e in base):
-                more.append((a, 3, b))
+        for begin, end in stretches(m[0]):
+            stretch = m[0][begin:end]
+            if len(stretch) < WINDOW or ALLOWED.fullmatch(stretch):
+                continue
+            for a, b in entropy_spans(stretch):
+                parts = outside(a + begin + m.start(), b + begin + m.start(), base)
+                more += [(s, 3, e) for s, e in parts if SIGN.search(text, s, e)]
     return sorted(base + more)
 
 
