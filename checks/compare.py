@@ -26,7 +26,7 @@ def canonical(frame: pd.DataFrame) -> list[tuple]:
     """Rows as text tuples, columns by name, in a fixed order."""
 
     def show(value):
-        if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
+        if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and value != value):
             return "NULL"
         return repr(float(value)) if isinstance(value, float) else str(value)
 
@@ -36,7 +36,11 @@ def canonical(frame: pd.DataFrame) -> list[tuple]:
 
 def difference(spark, con, name: str, sf_dir: str, queries=QUERIES, oracle=ORACLE) -> str | None:
     """What differs between the query and its SQL, or None."""
-    mine = queries[name](spark, sf_dir).toPandas()
+    rows = queries[name](spark, sf_dir)
+    mine = rows.toPandas()
+    for column, kind in rows.dtypes:
+        if kind in ("int", "bigint") and mine[column].dtype.kind == "f":  # pandas turns integers with a NULL to floats
+            mine[column] = mine[column].astype("Int64")
     theirs = con.execute(oracle[name]).df()
     if sorted(mine.columns) != sorted(theirs.columns):
         return f"columns {sorted(mine.columns)} != {sorted(theirs.columns)}"
