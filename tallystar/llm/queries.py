@@ -5,8 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tallystar.llm import contamination, counts, pages, pieces, quality, repeats, rules, secrets, sharding, simhash
+from pyspark.sql import functions as F
+
+from tallystar.llm import (
+    contamination,
+    counts,
+    jaccard,
+    negatives,
+    pages,
+    pieces,
+    quality,
+    repeats,
+    rules,
+    secrets,
+    sharding,
+    simhash,
+    spelling,
+)
 from tallystar.llm.common import read
 from tallystar.llm.sql import ORACLE
 
@@ -61,6 +76,19 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked(read(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = negatives.quantised(read(spark, sf_dir, "embeddings"))
+    return negatives.hard_negatives(rows, F.col("id") % negatives.EVERY == 0)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(read(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -74,6 +102,9 @@ QUERIES: dict[str, Query] = {
         op8_html_extraction,
         op9_decontamination,
         op10_quality_classifier,
+        op11_ngram_jaccard_join,
+        op12_hard_negatives,
+        op13_spelling_variants,
     )
 }
 __all__ = ["ORACLE", "QUERIES", "piece_model"]

@@ -126,8 +126,102 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN hits USING (rid) LEFT JOIN items USING (rid)
 """
 
+OP11 = rf"""
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce({LOWER}, ''), '{WORD}') AS w FROM documents
+),
+grams AS (
+    SELECT rid, doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 2), lambda k: array_to_string(w[k:k + 3], ' ')) END)) AS s
+    FROM d
+),
+sets AS (SELECT min(doc_id) AS id, s FROM grams WHERE len(s) > 0 GROUP BY s),
+t AS (SELECT id, len(s) AS n, unnest(s) AS x FROM sets),
+pairs AS (
+    SELECT a.id AS a, b.id AS b, a.n AS n, b.n AS m, count(*) AS c FROM t AS a JOIN t AS b ON a.x = b.x AND a.id <> b.id GROUP BY ALL
+),
+links AS (SELECT a, b FROM pairs WHERE 100 * c >= 85 * (n + m - c)),
+reach(id, least) AS (
+    SELECT id, id FROM sets UNION SELECT b, least FROM reach JOIN links ON id = a
+),
+named AS (SELECT id, min(least) AS component FROM reach GROUP BY id)
+SELECT g.doc_id, len(g.s) AS n_shingles, coalesce(named.component, g.doc_id) AS component_id
+FROM grams AS g LEFT JOIN sets ON g.s = sets.s LEFT JOIN named ON named.id = sets.id
+"""
+
+OP12 = """
+WITH v AS (
+    SELECT row_number() OVER () AS rid, vec_id AS id,
+        CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)
+),
+s AS (
+    SELECT a.rid, a.id AS anchor_id, a.label = b.label AS same, b.id, list_inner_product(a.q, b.q)::BIGINT AS score
+    FROM v AS a JOIN v AS b ON a.rid <> b.rid WHERE a.id % 100 = 0
+),
+p AS (
+    SELECT rid, anchor_id, id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY rid ORDER BY score DESC, id) AS turn
+    FROM s WHERE same QUALIFY turn <= 5
+)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.rid, turn ORDER BY s.score DESC, s.id)::INTEGER AS rank,
+    s.id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s ON p.rid = s.rid AND NOT same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+OP13 = """
+WITH RECURSIVE runs AS (
+    SELECT doc_id, run, count(*) AS n FROM (
+        SELECT doc_id, unnest(regexp_extract_all(coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''),
+            '[A-Za-zÀ-ÿ]+')) AS run FROM documents
+    ) WHERE length(run) >= 7 GROUP BY ALL
+),
+crc AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t
+),
+hashed AS (
+    SELECT run, n, xor(4294967295, list_reduce(
+        flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''), lambda x:
+            CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [192 + (unicode(x)::BIGINT >> 6), 128 + (unicode(x)::BIGINT & 63)] END)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT)) AS h
+    FROM runs, crc
+),
+words AS (
+    SELECT word, sum(n)::BIGINT AS n FROM (
+        SELECT n, CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed
+    ) WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+),
+cut AS (
+    SELECT word, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT word, unnest(range(length(word))) AS i FROM words)
+),
+near AS (
+    SELECT DISTINCT cut.word AS a, words.word AS b FROM cut JOIN words ON cut.rest = words.word
+    UNION SELECT words.word, cut.word FROM cut JOIN words ON cut.rest = words.word
+    UNION SELECT x.word, y.word FROM cut AS x JOIN cut AS y ON x.i = y.i AND x.rest = y.rest AND x.word <> y.word
+),
+best AS (
+    SELECT a, count(*) AS n_near, arg_min(b, {'n': -n, 'b': b}) AS b, max(n) AS form_n FROM near JOIN words ON words.word = b GROUP BY a
+),
+formed AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * n THEN b END AS form, CASE WHEN form_n >= 10 * n THEN form_n END AS form_n
+    FROM words LEFT JOIN best ON a = word
+),
+follow(word, root, i) AS (
+    SELECT word, word, 0 FROM formed UNION ALL
+    SELECT follow.word, formed.form, i + 1 FROM follow JOIN formed ON formed.word = follow.root WHERE formed.form IS NOT NULL
+),
+roots AS (SELECT word, arg_max(root, i) AS root FROM follow GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": OP1,
     "op5_repeat_removal": OP5,
     "op9_decontamination": OP9,
+    "op11_ngram_jaccard_join": OP11,
+    "op12_hard_negatives": OP12,
+    "op13_spelling_variants": OP13,
 }
