@@ -4,12 +4,12 @@ Under any order of all tokens that is the same for every document, two sets of t
 tokens: of a set of s tokens at least a = ceil(similarity s) are common, so the first s - a + m hold at least m common
 ones, m being ``MARGIN`` hundredths of the smaller set (see ``shares``).  A pair has to pass under every order:
 
-1. *By hash*, over all sets.  A set stays if enough of its first tokens are among the first of another set.  Only tokens, no
+1. *By a hash*, over all sets.  A set stays if enough of its first tokens are among the first of another set.  Only tokens, no
    texts, are shuffled, and only a fifth of them.
-2. *By frequency and another hash*, over the sets that stayed: rare tokens first, so that text that many documents share comes last.
-   Frequencies are counts of tokens by ``BUCKETS`` hash buckets, a table of fixed size; a coarse one gives more candidates, never fewer links.
-   Sets that share a token here are candidates, and their connected components are groups.
-3. *By frequency and a third hash*, and under the orders 1 and 2 again, pair by pair inside the groups; then the exact similarity.
+2. *By frequency* among the sets that stayed, rare tokens first, so that text that many documents share comes last.  A set that has too many
+   tokens of its own has no common token among the first.  Sets that share one of them are candidates; their connected components are groups.
+3. *By frequency in the group and another hash*, and under the orders 1 and 2 again, pair by pair inside the groups; then the exact
+   similarity.
 
 Groups are worked on in blocks of bounded size.  Sets that are in one component already are not compared.  The blocks of a group are
 worked on alone and with the next one; after that only sets outside the group's largest component still meet the other blocks.
@@ -24,6 +24,7 @@ empty table gives an empty result; further columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -32,37 +33,74 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallystar.llm.common import kept, per_text, steps
+from tallystar.llm.common import kept, per_text
 from tallystar.llm.simhash import components, remixed
 
 SHINGLE, SIMILARITY = 4, 85
 #: First tokens beyond those that one common token takes, in hundredths of the set.
 MARGIN = 5
-#: Counters of token frequencies, and how many times wider a class of them is than the one before; the classes are sent to every worker.
-BUCKETS, CLASS = 1 << 17, 1.2
 #: Up to so many ids are sent to every worker to pick their texts; more of them are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Tokens of a block of a group, on average.
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 500_000
+
+#: Bytes of words that are hashed at once.
+PIECE_BYTES = 4_000_000
 
 U = np.uint64
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SEED = 42
+_WHITE = np.isin(np.arange(256), [32, *range(9, 14)])
+_BYTES = remixed(np.arange(256, dtype=U), 3)
+_POWERS = np.cumprod(np.r_[U(1), np.full(4095, 0x9E3779B97F4A7C17, U)])
+
+
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, one after the other, and how many words each text has."""
+    raw = [t.encode("utf-8", "surrogatepass").translate(_LOWER) if t else b"" for t in texts]
+    data = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)
+    white = _WHITE[data]
+    starts = np.flatnonzero(~white & np.r_[True, white[:-1]])
+    size = np.flatnonzero(white & np.r_[False, ~white[:-1]]) - starts
+    bounds = np.r_[0, np.cumsum([len(r) + 1 for r in raw], dtype=np.int64)]
+    out = np.zeros(len(starts), U)
+    for k in np.flatnonzero(size > len(_POWERS)).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(data[starts[k] : starts[k] + size[k]].tobytes(), _SEED)
+    short = np.flatnonzero(size <= len(_POWERS))
+    # Sums over the bytes of a word, of a random number for the byte times a power for its place.
+    piece = np.flatnonzero(np.diff(np.cumsum(size[short]) // PIECE_BYTES)) + 1
+    for some in np.split(short, piece):
+        if len(some):
+            first_ = np.cumsum(size[some]) - size[some]
+            place = np.arange(int(size[some].sum())) - np.repeat(first_, size[some])
+            values = _BYTES[data[np.repeat(starts[some], size[some]) + place]] * _POWERS[place]
+            out[some] = np.add.reduceat(values, first_)
+    return remixed(out + size.astype(U), 7), np.diff(np.searchsorted(starts, bounds))
+
+
+def token_sets(texts: list[str | None], shingle: int = SHINGLE) -> list[np.ndarray]:
+    """For each text the sorted 64-bit hashes of its distinct shingles; of fewer words the whole sequence is one."""
+    each, size = word_hashes(texts)
+    # The hash of all windows at once, those across texts included; these are not read.
+    long = np.full(max(0, len(each) - shingle + 1), shingle, U)
+    for k in range(shingle if len(long) else 0):
+        long = remixed(long * U(0x9E3779B97F4A7C15) + each[k : k + len(long)], 1)
+    out, at = [], 0
+    for n in size.tolist():
+        if n >= shingle:
+            made = np.sort(long[at : at + n - shingle + 1])
+            out.append(made[np.r_[True, made[1:] != made[:-1]]])
+        else:
+            made = np.full(min(n, 1), n, U)
+            for word in each[at : at + n]:
+                made = remixed(made * U(0x9E3779B97F4A7C15) + word, 1)
+            out.append(made)
+        at += n
+    return out
 
 
 def tokens(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct shingles of a text; of fewer words the whole sequence is one."""
-    words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split() if text else []
-    if not words:
-        return np.empty(0, U)
-    number = {w: xxhash.xxh3_64_intdigest(w, _SEED) for w in set(words)}
-    each = np.fromiter(map(number.__getitem__, words), U, len(words))
-    n = max(1, len(words) - shingle + 1)
-    width = len(words) - n + 1
-    made = np.full(n, width, U)
-    for k in range(width):
-        made = remixed(made * U(0x9E3779B97F4A7C15) + each[k : k + n], 1)
-    return np.unique(made)
+    return token_sets([text], shingle)[0]
 
 
 def share(part: int, n):
@@ -88,13 +126,9 @@ def by_hash(sets: np.ndarray, turn: int) -> np.ndarray:
     return remixed(sets, turn)
 
 
-def by_frequency(sets: np.ndarray, classes: np.ndarray, turn: int) -> np.ndarray:
-    """Keys by which the classes of frequency ascend; a hash orders the tokens of a class."""
-    return (classes[buckets(sets, len(classes))].astype(U) << U(56)) | (remixed(sets, turn) >> U(8))
-
-
-def buckets(sets: np.ndarray, count: int = BUCKETS) -> np.ndarray:
-    return (remixed(sets, 9) % U(count)).astype(np.int64)
+def by_frequency(sets: np.ndarray, counts: np.ndarray, turn: int) -> np.ndarray:
+    """Keys that ascend with the counts of the tokens; a hash orders tokens of one count."""
+    return (np.minimum(counts, (1 << 32) - 1).astype(U) << U(32)) | (remixed(sets, turn) >> U(32))
 
 
 def set_key(found: np.ndarray) -> bytes:
@@ -102,59 +136,58 @@ def set_key(found: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(found.tobytes(), _SEED)
 
 
-def described(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, n, key): size and key of each document's set."""
-
+def described(docs: DataFrame, shingle: int, similarity: int) -> DataFrame:
+    """(doc_id, n, key, firsts): size and key of each document's set, and its first tokens by hash."""
     def run(texts: list[str | None]) -> dict[str, object]:
-        sets = [tokens(t, shingle) for t in texts]
-        return {"n": [len(s) for s in sets], "key": [set_key(s) for s in sets]}
+        sets = token_sets(texts, shingle)
+        firsts = [np.partition(k, p - 1)[:p] if p else k for k, p in ((by_hash(s, 1), int(first(len(s), similarity)) if len(s) else 0) for s in sets)]
+        return {"n": [len(s) for s in sets], "key": [set_key(s) for s in sets], "firsts": [f.view(np.int64) for f in firsts]}
 
-    return per_text(docs, ["doc_id"], run, "n bigint, key binary")
+    return per_text(docs, ["doc_id"], run, "n bigint, key binary, firsts array<bigint>")
 
 
-def first_tokens(docs: DataFrame, shingle: int, similarity: int) -> DataFrame:
-    """(token, number, here): the first tokens by hash of all sets, with the number of the set.
+def first_tokens(rows: DataFrame) -> DataFrame:
+    """(token, number, here): the first tokens of all sets (key, firsts), with the number of the set.
 
-    What a step of a task knows is not sent: a token that several of its sets have is one row without a number, and a set's tokens
+    What a batch knows is not sent: a token that several of its sets have is one row without a number, and a set's tokens
     of this kind are one row with their count as ``here``."""
     schema = pa.schema([("token", pa.int64()), ("number", pa.int64()), ("here", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in steps(batch, "text"):
-                sets = {}
-                for text in part.column("text").to_pylist():
-                    found = tokens(text, shingle)
-                    if len(found):
-                        keys = np.sort(by_hash(found, 1))[: int(first(len(found), similarity))]
-                        sets[int.from_bytes(set_key(found)[:8], "big", signed=True)] = keys
-                if not sets:
-                    continue
-                size = np.fromiter(map(len, sets.values()), np.int64, len(sets))
-                number = np.repeat(np.fromiter(sets, np.int64, len(sets)), size)
-                token = np.concatenate(list(sets.values())).view(np.int64)
-                values, place, times = np.unique(token, return_inverse=True, return_counts=True)
-                alone = times[place] == 1
-                several = values[times > 1]
-                known, here = np.unique(number[~alone], return_counts=True)
-                lone = int(alone.sum())
-                columns = [
-                    np.concatenate([token[alone], several, known]),
-                    pa.array(
-                        np.concatenate([number[alone], several, known]),
-                        mask=np.repeat([False, True, False], [lone, len(several), len(known)]),
-                    ),
-                    np.concatenate([np.zeros(lone + len(several), np.int64), here]),
-                ]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
-
-    return docs.select("text").mapInArrow(run, "token bigint, number bigint, here bigint")
+            keys, firsts = batch.column("key").to_pylist(), batch.column("firsts")
+            ends = firsts.offsets.to_numpy()
+            flat = firsts.values.to_numpy()
+            # Equal sets are one.
+            of = {int.from_bytes(k[:8], "big", signed=True): row for row, k in enumerate(keys)}
+            rows_ = np.fromiter(of.values(), np.int64, len(of))
+            size = ends[rows_ + 1] - ends[rows_]
+            if not int(size.sum()):
+                continue
+            number = np.repeat(np.fromiter(of, np.int64, len(of)), size)
+            token = np.concatenate([flat[ends[r] : ends[r + 1]] for r in rows_])
+            _, place, times = np.unique(token, return_inverse=True, return_counts=True)
+            alone = times[place] == 1
+            several = np.unique(token[~alone])
+            known, here = np.unique(number[~alone], return_counts=True)
+            lone = int(alone.sum())
+            columns = [
+                np.concatenate([token[alone], several, known]),
+                pa.array(
+                    np.concatenate([number[alone], several, known]),
+                    mask=np.repeat([False, True, False], [lone, len(several), len(known)]),
+                ),
+                np.concatenate([np.zeros(lone + len(several), np.int64), here]),
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
+
+    return rows.select("key", "firsts").mapInArrow(run, "token bigint, number bigint, here bigint")
 
 
 def common_tokens(firsts: DataFrame) -> DataFrame:
     """(number, common): how many of its first tokens a set has in common with others.
 
-    The rows of one token are one per step of the tasks before, however many sets have it."""
+    The rows of one token are one per batch of the tasks before, however many sets have it."""
     token = Window.partitionBy("token")
     sent = F.col("here") == 0
     number = F.when(sent, F.col("number"))
@@ -164,12 +197,6 @@ def common_tokens(firsts: DataFrame) -> DataFrame:
     return rows.groupBy("number").agg(F.sum("weight").alias("common"))
 
 
-def seen_twice(postings: DataFrame) -> DataFrame:
-    """Of postings (token, id) those whose token has several."""
-    often = postings.groupBy("token").agg(F.count("*").alias("n__")).where("n__ > 1").select(F.col("token").alias("token__"))
-    return postings.join(often, F.col("token") == F.col("token__")).select("token", "id")
-
-
 def enough(n: Column, common: Column, similarity: int) -> Column:
     """``shares`` as a condition on columns."""
     least = F.floor((F.floor((n * similarity + 99) / 100) * MARGIN + 99) / 100)
@@ -229,19 +256,19 @@ class Union:
 
 
 def similar(
-    sets: list[np.ndarray], known: np.ndarray, side: np.ndarray, ask: np.ndarray, classes: np.ndarray, similarity: int, within: bool
+    sets: list[np.ndarray], known: np.ndarray, side: np.ndarray, ask: np.ndarray, similarity: int, within: bool
 ) -> list[tuple[int, int]]:
     """A forest of links between sets of the similarity, beyond the components ``known``.
 
     Sets with ``ask`` look for partners among all others; where not ``within``, on the other ``side`` only."""
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
     whole = np.concatenate(sets)
-    values, number = np.unique(whole, return_inverse=True)
+    values, number, counts = np.unique(whole, return_inverse=True, return_counts=True)
     owner = np.repeat(np.arange(len(sets)), sizes)
     begin = np.cumsum(sizes) - sizes
     orders = [
         Lists(keys[number], owner, number, sizes, similarity, len(values))
-        for keys in (by_frequency(values, classes, 2), by_frequency(values, classes, 3), by_hash(values, 1))
+        for keys in (by_frequency(values, counts, 2), by_frequency(values, counts, 3), by_hash(values, 1))
     ]
     lists, further = orders[0], orders[1:]
     own, union = np.zeros(len(values), bool), Union(known)
@@ -271,12 +298,28 @@ def similar(
     return union.links
 
 
-def links(docs: DataFrame, sets: DataFrame, shingle: int, similarity: int, block_tokens: int) -> DataFrame:
+def rarest(shared: DataFrame, similarity: int) -> DataFrame:
+    """(token, id): of sets (id, n, tokens, counts), given by those of their tokens that other sets have and how many do, the first
+    ones by frequency.  Before these come the tokens of a set's own; where they leave too little room, the set is out."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            token, owner = [np.empty(0, np.int64)], []
+            for name, n, found, counts in frame[["id", "n", "tokens", "counts"]].itertuples(index=False):
+                room = int(first(n, similarity)) - (n - len(found))
+                if room >= shares(n, similarity):
+                    keys = by_frequency(np.asarray(found).view(U), np.asarray(counts), 2)
+                    token.append(np.asarray(found)[np.argpartition(keys, room - 1)[:room]])
+                    owner += [name] * room
+            yield pd.DataFrame({"token": np.concatenate(token), "id": owner})
+
+    return shared.mapInPandas(run, f"token bigint, id {shared.schema['id'].dataType.simpleString()}")
+
+
+def links(docs: DataFrame, rows: DataFrame, sets: DataFrame, shingle: int, similarity: int, block_tokens: int) -> DataFrame:
     """(a, b): links between ids of the distinct ``sets`` (key, number, id, n) that connect exactly what the similarity connects."""
-    context = docs.sparkSession.sparkContext
     id_type = sets.schema["id"].dataType.simpleString()
-    common = common_tokens(first_tokens(docs.where(F.col("doc_id").isNotNull()), shingle, similarity))
-    common = common.withColumnRenamed("number", "number__")
+    common = common_tokens(first_tokens(rows)).withColumnRenamed("number", "number__")
     passed = sets.join(common, F.col("number") == F.col("number__")).where(enough(F.col("n"), F.col("common"), similarity))
     stay = kept(passed.select("key", "id", "n"), "jaccard-stay")
 
@@ -284,49 +327,30 @@ def links(docs: DataFrame, sets: DataFrame, shingle: int, similarity: int, block
     wanted = stay.select(F.col("id").alias("wanted")).distinct()
     wanted = F.broadcast(wanted) if stay.count() <= BROADCAST_IDS else wanted
     again = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("wanted"), "left_semi")
-
     def shingled(texts: list[str | None]) -> dict[str, object]:
-        found = [tokens(t, shingle) for t in texts]
+        found = token_sets(texts, shingle)
         return {"key__": [set_key(s) for s in found], "tokens": [s.view(np.int64) for s in found]}
 
     whole = per_text(again, [], shingled, "key__ binary, tokens array<bigint>").dropDuplicates(["key__"])
     whole = whole.join(stay, F.col("key") == F.col("key__")).select("id", "n", "tokens")
     whole = kept(whole, "jaccard-sets")
 
-    def tally(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = np.zeros(BUCKETS, np.int64)
-        for frame in frames:
-            for found in frame["tokens"]:
-                np.add.at(sums, buckets(np.asarray(found).view(U)), 1)
-        at = np.flatnonzero(sums)
-        yield pd.DataFrame({"bucket": at, "n": sums[at]})
-
-    tallied = whole.select("tokens").mapInPandas(tally, "bucket bigint, n bigint")
-    tallied = tallied.groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # BUCKETS rows at most
-    classes = np.zeros(BUCKETS, np.uint8)
-    classes[tallied["bucket"].to_numpy(np.int64)] = np.minimum(255, np.log(tallied["n"].to_numpy(float)) / np.log(CLASS))
-    held = context.broadcast(classes)
-
-    def rare_first(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            token, owner = [np.empty(0, np.int64)], []
-            for name, found in zip(frame["id"], frame["tokens"]):
-                found = np.asarray(found).view(U)
-                n = int(first(len(found), similarity))
-                least = np.argpartition(by_frequency(found, held.value, 2), n - 1)[:n]
-                token.append(found[least].view(np.int64))
-                owner += [name] * n
-            yield pd.DataFrame({"token": np.concatenate(token), "id": owner})
-
-    rare = whole.select("id", "tokens").mapInPandas(rare_first, f"token bigint, id {id_type}")
-    rare = kept(seen_twice(kept(rare, "jaccard-rare")), "jaccard-rare-common")
-    number = rare.groupBy("id").agg(F.count("*").alias("common")).withColumnRenamed("id", "id__")
+    # Tokens with their frequency, for those that several sets have.
+    postings = whole.select("id", "n", F.explode("tokens").alias("token"))
+    often = postings.groupBy(F.col("token").alias("token__")).agg(F.count("*").alias("sets")).where("sets > 1")
+    shared = postings.join(often, F.col("token") == F.col("token__")).groupBy("id", "n").agg(
+        F.collect_list("token").alias("tokens"), F.collect_list("sets").alias("counts")
+    )  # at most the tokens of one document
+    rare = kept(rarest(shared, similarity), "jaccard-rare")
+    several = rare.groupBy("token").agg(F.count("*").alias("n__"), F.min("id").alias("a")).where("n__ > 1")
+    several = kept(several.select(F.col("token").alias("token__"), "a"), "jaccard-rare-common")
+    number = rare.join(several, F.col("token") == F.col("token__"), "left_semi")
+    number = number.groupBy("id").agg(F.count("*").alias("common")).withColumnRenamed("id", "id__")
     narrow = whole.select("id", "n")
     alive = narrow.join(number, F.col("id") == F.col("id__")).where(enough(F.col("n"), F.col("common"), similarity))
     alive = kept(alive.select("id", "n"), "jaccard-stay-rare")
     rare = rare.join(alive.select(F.col("id").alias("id__")), F.col("id") == F.col("id__"), "left_semi")
-    least = rare.groupBy("token").agg(F.min("id").alias("a")).withColumnRenamed("token", "token__")
-    edges = rare.join(least, F.col("token") == F.col("token__")).select("a", F.col("id").alias("b"))
+    edges = rare.join(several, F.col("token") == F.col("token__")).select("a", F.col("id").alias("b"))
     grouped = components(edges.where("a <> b").distinct())
     # What a group is cut into, from the narrow rows.
     sized = alive.join(grouped, F.col("id") == F.col("node")).select("id", "n", F.col("least").alias("group"))
@@ -347,7 +371,6 @@ def links(docs: DataFrame, sets: DataFrame, shingle: int, similarity: int, block
                 frame["known"].to_numpy(),
                 frame["block"].to_numpy(),
                 frame["ask"].to_numpy(bool),
-                held.value,
                 similarity,
                 within,
             )
@@ -395,7 +418,7 @@ def linked(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id): the size of each document's set, and the least document that links of at least
     ``similarity`` hundredths reach."""
-    rows = kept(described(docs, shingle), "jaccard-described")
+    rows = kept(described(docs, shingle, similarity), "jaccard-described")
     # Equal sets are one, named by its least document.
     points = rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     number = F.conv(F.hex(F.substring("key", 1, 8)), 16, -10).cast("bigint")
@@ -406,7 +429,7 @@ def linked(
     spread = of_id.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("most")).where("a < most")
     spread = spread.withColumnRenamed("doc_id", "doc__").select("doc__", "a")
     twins = of_id.join(spread, F.col("doc_id") == F.col("doc__")).where("a <> id").select("a", F.col("id").alias("b")).distinct()
-    reached = components(links(docs, sets, shingle, similarity, block_tokens).unionByName(twins))
+    reached = components(links(docs, points, sets, shingle, similarity, block_tokens).unionByName(twins))
     named = sets.join(reached, F.col("id") == F.col("node"), "left").select(
         F.col("key").alias("key__"), F.coalesce("least", "id").alias("component")
     )
