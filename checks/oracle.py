@@ -481,3 +481,13 @@ ORACLE: dict[str, str] = {
     + f"""SELECT {BUCKET} AS time_bucket_start, count(*) AS events, {WATCH} AS watch_time
       FROM raw GROUP BY 1""",
 }
+
+# Runs have the results of one pass over all events, however these are cut into batches.
+ORACLE |= {
+    "raw_compact": ctes() + f"SELECT {RAW_COLUMNS}, strftime(event_ts, '%Y-%m-%d') AS event_date FROM raw",
+    "user_history_run": ORACLE["scd2_history"],
+    "dim_employee_wide_run": ORACLE["dim_employee_wide"],
+    "fact_org_watch_run": ORACLE["fact_org_watch"],
+    "project_first_seen_run": ORACLE["project_first_seen"],
+    "metric_definitions": ORACLE["metric_eval"],
+}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -127,6 +128,23 @@ def raw_append_idempotent(spark, sf):
     return warehouse.raw.read(prunable=True).select(*schemas.RAW.names, text("event_date"))
 
 
+@query
+def raw_compact(spark, sf):
+    """Runs over all days, a replay, compaction of the closed days, a replay of a merged run, compaction of the rest."""
+    table = AppendTable(
+        spark, files.shared_dir(spark, "warehouse"), "raw", schemas.RAW, ("source", "batch_id"), date_from="event_ts"
+    )
+    raw = fixtures.raw(spark, sf)
+    part = F.pmod(F.xxhash64("event_id"), F.lit(4))
+    for n in (0, 1, 2, 0):
+        table.write_run(raw.where(part == n), "test", n)
+    table.compact(date(2024, 1, 16))
+    for n in (1, 3):
+        table.write_run(raw.where(part == n), "test", n)
+    table.compact()
+    return table.read(prunable=True).select(*schemas.RAW.names, text("event_date"))
+
+
 @query
 def ingest_stamp(spark, sf):
     rows = fixtures.raw(spark, sf).select("event_id", "event_ts")
@@ -694,6 +712,52 @@ def user_star_run(spark, sf):
     )
 
 
+@query
+def user_history_run(spark, sf):
+    """Three batches, the last one with late events all over the time before: versions as if there had been one batch."""
+    warehouse = Warehouse(spark, files.shared_dir(spark, "warehouse"), user_buckets=32)
+    raw = fixtures.raw(spark, sf)
+    first, second = fixtures.two_batches(raw)
+    late = F.pmod(F.xxhash64("event_id"), F.lit(5)) == 0
+    for rows in (first.where(~late), first.where(~late).unionByName(second.where(~late)), raw):
+        silver.user_history_run(warehouse, rows, RUN_TS, lateness="400 days")
+    return _versions(warehouse.user_versions.read())
+
+
+def _declared(spark, sf) -> Warehouse:
+    warehouse = Warehouse(spark, files.shared_dir(spark, "warehouse"))
+    for n, batch in enumerate(fixtures.two_batches(fixtures.raw(spark, sf))):
+        warehouse.raw.write_run(batch, "test", n)
+        silver_run(warehouse, RUN_TS, declared=True)
+    return warehouse
+
+
+@query
+def dim_employee_wide_run(spark, sf):
+    return _declared(spark, sf).employee_wide.read()
+
+
+@query
+def fact_org_watch_run(spark, sf):
+    return _declared(spark, sf).org_fact.read()
+
+
+@query
+def project_first_seen_run(spark, sf):
+    return _declared(spark, sf).project_seen.read()
+
+
+@query
+def metric_definitions(spark, sf):
+    """The metrics of the definitions table over the fact of two runs."""
+    warehouse = Warehouse(spark, files.shared_dir(spark, "warehouse"))
+    bootstrap(warehouse, RUN_TS)
+    for n, batch in enumerate(fixtures.two_batches(fixtures.raw(spark, sf))):
+        warehouse.raw.write_run(batch, "test", n)
+        silver_run(warehouse, RUN_TS)
+    return warehouse.metrics()
+
+
 @query
 def empty_batch_guard(spark, sf):
     warehouse = Warehouse(spark, files.shared_dir(spark, "warehouse"))

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import argparse
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from tallystar import schemas
-from tallystar.operators.watermark import EPOCH
-from tallystar.plans.silver import silver_run, user_star_run
+from tallystar.operators.watermark import EPOCH, RAW_TO_SILVER, USER_HISTORY
+from tallystar.plans.silver import due_from, silver_run, user_history_run, user_star_run
 from tallystar.plans.warehouse import Warehouse, bootstrap
 from tallystar.session import build
 from tallystar.sources.streams import stream_source
@@ -60,6 +60,7 @@ def arguments(argv=None) -> argparse.Namespace:
     ingest.add_argument("--interval", help="trigger interval; default back to back")
     ingest.add_argument("--starting", default="latest", help="first offset of a new topic query")
     ingest.add_argument("--shape", choices=["org", *SHAPES], default="org", help="shape of the events")
+    ingest.add_argument("--register-size", action="store_true", help="keep the last batch's size in the catalog")
     ingest.add_argument("--available-now", action="store_true", help="stop when caught up")
 
     silver = job("silver", "load new RAW rows into the star schema")
@@ -67,7 +68,14 @@ def arguments(argv=None) -> argparse.Namespace:
     silver.add_argument("--lateness", help="interval behind the mark to read again")
     silver.add_argument("--register-counts", action="store_true", help="count the tables afterwards")
 
-    job("users", "load new RAW rows into the type-2 user star")
+    silver.add_argument("--declared", action="store_true", help="fill the employee and project tables too")
+
+    users = job("users", "load new RAW rows into the type-2 user star")
+    users.add_argument("--mode", choices=["batch", "history"], default="batch", help="grain of the versions")
+    users.add_argument("--lateness", help="interval behind the mark to read again (history only)")
+
+    compact = job("compact", "merge the runs of closed days")
+    compact.add_argument("--before", type=date.fromisoformat, help="first day that is still open; default none")
     return parser.parse_args(argv)
 
 
@@ -81,10 +89,16 @@ def run(args: argparse.Namespace) -> object:
         return bootstrap(warehouse, run_ts, args.overwrite, args.first_day, args.days, mark)
     if args.job == "silver":
         return silver_run(
-            warehouse, run_ts, args.export, args.lateness, register=args.register_counts
+            warehouse, run_ts, args.export, args.lateness, args.register_counts, args.declared
         )
+    if args.job == "compact":
+        return warehouse.compact(args.before)
+    if args.job == "users" and args.mode == "history":
+        since = due_from(warehouse, USER_HISTORY, args.lateness)
+        return user_history_run(warehouse, warehouse.raw.read(prunable=True, since=since), run_ts, args.lateness)
     if args.job == "users":
-        return user_star_run(warehouse, warehouse.raw.read(prunable=True), run_ts)
+        since = due_from(warehouse, RAW_TO_SILVER)
+        return user_star_run(warehouse, warehouse.raw.read(prunable=True, since=since), run_ts)
     place = (
         {"topic": args.topic, "servers": args.servers, "starting": args.starting}
         if args.format == "kafka"
@@ -92,7 +106,7 @@ def run(args: argparse.Namespace) -> object:
     )
     query = start_ingest(
         stream_source(spark, args.format, **place),
-        RawIngest(warehouse) if args.shape == "org" else shape_writer(spark, args.root, args.shape),
+        RawIngest(warehouse, register_size=args.register_size) if args.shape == "org" else shape_writer(spark, args.root, args.shape),
         args.checkpoint,
         args.interval,
         args.available_now,

@@ -12,7 +12,7 @@ more than one block the hits of a document are brought together by document and
 
 Cases: a null text or item has no words; an item of fewer than ``WINDOW`` words is one phrase, one
 without words none; an item id may repeat and counts once; repeated documents give repeated rows; empty
-tables give an empty result or no hits; further columns are not read.
+tables give an empty result or no hits; further columns are not read, or passed on whatever their names; an item without id is named "None".
 """
 
 from __future__ import annotations
@@ -351,8 +351,9 @@ def _remove_in_rounds(docs: DataFrame, held: list) -> DataFrame:
     for one in rounds[1:]:
         every = every.unionByName(one)
     last = every.groupBy("named").agg(F.max_by("text", "round").alias("text_now"))
-    changed = F.col("named").isNotNull()
-    new = {"text": F.col("text_now"), "n_chars": F.char_length("text_now").cast(docs.schema["n_chars"].dataType)}
+    # Columns are named by their side: documents may have any of these names.
+    changed, now = last["named"].isNotNull(), last["text_now"]
+    new = {"text": now, "n_chars": F.char_length(now).cast(docs.schema["n_chars"].dataType)}
     return docs.join(last, F.sha2(docs["text"], 256) == last["named"], "left").select(
         *(F.when(changed, new[c]).otherwise(docs[c]).alias(c) if c in new else docs[c] for c in docs.columns)
     )

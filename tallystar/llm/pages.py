@@ -7,8 +7,12 @@ Hidden are scripts, styles, head matter, templates, what SVG and MathML do not d
 annotations), and elements with ``hidden``, ``aria-hidden="true"`` or a style of
 ``display:none`` or ``visibility:hidden``.  All other text is emitted in order: white space collapses outside
 ``pre``, block elements stand on lines of their own, paragraphs and headings with an empty line around them,
-list items with a dash or their number, and the cells of a table in columns as wide as their widest cell.  What stands
-in a table but in no cell or caption comes before the table, as in browsers; cells are found through it.
+list items with a dash or their number, and the cells of a table in columns as wide as their widest cell, those that span columns or
+rows included.  What stands in a table but in no cell or caption comes before the table, as in browsers; cells are found through it.
+A table within a cell is part of the cell's one line.
+
+Time and memory are in proportion to the page, whatever its markup: open elements are found by their tag, ends
+of tags in one pass, and lists deeper than ``INDENTS`` are indented no further.
 
 Cases: null or empty markup gives the empty text; markup without any tag is its own text; nested or broken tables and lists
 render as far as they are there; elements nest to any depth; very long pages are steps of their own; repeated rows give repeated rows;
@@ -19,17 +23,20 @@ from __future__ import annotations
 
 import html
 import re
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from tallystar.llm.common import per_text
 
-TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>""", re.DOTALL
-)
+NAME_END = re.compile(r"[\s/>]")
+TAG_STOP = re.compile("[\"'>]")
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 SPACES = re.compile(r"[ \t\n\r\f]+")
 
+#: Levels by which lists are indented at most.
+INDENTS = 50
+
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
@@ -94,81 +101,161 @@ def attributes(source: str) -> dict[str, str]:
     return out
 
 
+class Scanner:
+    """Tags of a page, in one pass: whatever the markup, no stretch is searched again and again for the same end."""
+
+    def __init__(self, source: str):
+        self.source = source
+        self.last = source.rfind(">")
+        self.found: dict[re.Pattern, tuple[int, int]] = {}
+        self.broken: set[int] = set()
+
+    def next(self, what: re.Pattern, at: int) -> int:
+        """The first place of ``what`` from ``at`` on, or -1."""
+        begin, place = self.found.get(what, (0, -2))
+        if not (begin <= at and (at <= place or place == -1)):
+            m = what.search(self.source, at)
+            place = m.start() if m else -1
+            self.found[what] = (at, place)
+        return place
+
+    def tag_end(self, at: int) -> int:
+        """The ``>`` that ends a tag whose attributes begin at ``at``, quoted ones passed over; -1 where there is none."""
+        passed = []
+        while True:
+            place = self.next(TAG_STOP, at)
+            if place >= 0 and self.source[place] == ">":
+                return place
+            close = -1
+            if place >= 0 and place not in self.broken:
+                passed.append(place)
+                close = self.source.find(self.source[place], place + 1)
+            if close < 0:
+                # From any of these quotes on there is no end.
+                self.broken.update(passed)
+                return -1
+            at = close + 1
+
+    def token(self, at: int, foreign: bool) -> tuple[int, int, str, str, str]:
+        """(start, end, slash, name, attributes) of the next tag from ``at`` on; of a comment or declaration
+        without name, of character data in SVG or MathML the data in place of the attributes.  No start: (-1, ...)."""
+        source = self.source
+        while (start := source.find("<", at)) >= 0:
+            at = start + 1
+            if source.startswith("<!--", start):
+                end = source.find("-->", start + 4)
+                return start, end + 3 if end >= 0 else len(source), "", "", ""
+            if foreign and source.startswith("<![CDATA[", start):
+                end = source.find("]]>", start + 9)
+                return start, end + 3 if end >= 0 else len(source), "", "", source[start + 9 : end if end >= 0 else len(source)]
+            if start > self.last:
+                break
+            if source.startswith(("<!", "<?"), start):
+                return start, source.find(">", start) + 1, "", "", ""
+            slash = "/" if source.startswith("/", at) else ""
+            head = at + len(slash)
+            if not ("a" <= source[head : head + 1].lower() <= "z" and source[head : head + 1].isascii()):
+                continue
+            name_end = self.next(NAME_END, head)
+            end = self.tag_end(name_end)
+            if end >= 0:
+                return start, end + 1, slash, source[head:name_end].lower(), source[name_end:end]
+        return -1, len(source), "", "", ""
+
+
+class Open(list):
+    """The open elements, outermost first, and where those of each tag stand."""
+
+    def __init__(self, root: Node):
+        super().__init__([root])
+        self.at: dict[str, list[int]] = {}
+
+    def push(self, node: Node) -> None:
+        self.at.setdefault(node.tag, []).append(len(self))
+        self.append(node)
+
+    def cut(self, depth: int) -> None:
+        """End the element at ``depth`` with all inside it."""
+        while len(self) > depth:
+            self.at[self.pop().tag].pop()
+
+    def inner(self, tags: set[str] | frozenset) -> int:
+        """Depth of the innermost open element of ``tags``, or 0."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+
 def parse(source: str) -> Node:
     """The element tree of a page."""
     root = Node("html", {})
-    open_ = [root]
+    open_ = Open(root)
+    scan = Scanner(source)
 
-    def close(tags: set[str], stop: frozenset | set) -> None:
-        """End the innermost open element of ``tags`` with all inside it."""
-        for depth in range(len(open_) - 1, 0, -1):
-            if open_[depth].tag in tags:
-                del open_[depth:]
-                return
-            if open_[depth].tag in stop:
-                return
+    def close(tags: set[str] | frozenset, stop: frozenset | set) -> bool:
+        """End the innermost open element of ``tags``, unless one of ``stop`` lies inside it."""
+        depth = open_.inner(tags)
+        if not depth or depth < open_.inner(stop):
+            return False
+        open_.cut(depth)
+        return True
 
     def text(data: str) -> None:
         if open_[-1].tag == "head" and data.strip(" \t\n\r\f"):
-            open_.pop()  # the body begins
+            open_.cut(len(open_) - 1)  # the body begins
         if data and open_[-1].inner_space() != "svg":
             open_[-1].children.append(html.unescape(data) if "&" in data else data)
 
     at = 0
-    while m := TOKEN.search(source, at):
-        text(source[at : m.start()])
-        at = m.end()
-        if not m[2]:
-            continue  # a comment or declaration
-        tag = m[2].lower()
-        if m[1]:
+    while True:
+        start, end, slash, tag, inside = scan.token(at, bool(open_[-1].inner_space()))
+        text(source[at : start if start >= 0 else len(source)])
+        at = end
+        if start < 0:
+            return root
+        if not tag:
+            if inside and open_[-1].inner_space() != "svg":
+                open_[-1].children.append(inside)  # character data, where text is drawn
+            continue
+        if slash:
             if tag == "br":
                 open_[-1].children.append(Node("br", {}))
-            elif tag == "p" and not any(n.tag == "p" for n in open_):
+            elif tag == "p" and not open_.inner({"p"}):
                 open_[-1].children.append(Node("p", {}))
             elif tag not in ("html", "body"):
                 close({tag}, {"table"} - {tag} if tag in TABLE else SCOPE - {tag})
             continue
         if tag == "html":
-            root.attributes = attributes(m[3]) | root.attributes
+            root.attributes = attributes(inside) | root.attributes
             continue
         if tag in BREAKOUT:
             while open_[-1].inner_space():
-                open_.pop()
+                open_.cut(len(open_) - 1)
         if tag in BLOCKS and tag not in ("li", "tr", "td", "th"):
-            if any(n.tag == "p" for n in open_):
-                close({"p"}, SCOPE | {"button"})
+            close({"p"}, SCOPE | {"button"})
         if tag in CLOSES:
-            tags, stop = CLOSES[tag]
             # A row ends a cell and its row, a section ends all three.
-            for _ in range(len(open_)):
-                before = len(open_)
-                close(tags, stop)
-                if len(open_) == before:
-                    break
+            while close(*CLOSES[tag]):
+                pass
         if tag in ("td", "th") and open_[-1].tag in ("table", "tbody", "thead", "tfoot"):
             row = Node("tr", {})
             open_[-1].children.append(row)
-            open_.append(row)
+            open_.push(row)
         elif len(tag) == 2 and tag[0] == "h" and tag[1] in "123456" and re.fullmatch("h[1-6]", open_[-1].tag):
-            open_.pop()
+            open_.cut(len(open_) - 1)
         if open_[-1].tag == "head" and tag not in UNSEEN:
-            open_.pop()  # the body begins
+            open_.cut(len(open_) - 1)  # the body begins
         space = tag if tag in ("svg", "math") else open_[-1].inner_space()
         space = "text" if space == "svg" and tag == "text" else space
-        node = Node(tag, attributes(m[3]) if m[3].strip(" /") else {}, space)
+        node = Node(tag, attributes(inside) if inside.strip(" /") else {}, space)
         open_[-1].children.append(node)
-        if space and m[3].endswith("/") and not SLASH_VALUE.search(m[3]):
+        if space and inside.endswith("/") and not SLASH_VALUE.search(inside):
             continue  # closed by itself
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(source, at)
-            inner = source[at : end.start() if end else len(source)]
-            node.children.append(html.unescape(inner) if tag in ("textarea", "title") else inner)
-            at = end.end() if end else len(source)
+            found = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(source, at)
+            raw = source[at : found.start() if found else len(source)]
+            node.children.append(html.unescape(raw) if tag in ("textarea", "title") else raw)
+            at = found.end() if found else len(source)
         elif tag not in VOID:
-            open_.append(node)
-    text(source[at:])
-    return root
+            open_.push(node)
 
 
 def visible(node: Node) -> bool:
@@ -266,13 +353,77 @@ def table_parts(table: Node) -> tuple[list[Node], list[list[Node]], list[object]
     return captions, rows, strays
 
 
-def render(root: Node) -> str:
-    """All visible text of a tree.  A stack instead of recursion: elements nest to any depth, but for
-    tables within tables, which are rendered cell by cell."""
+@dataclass
+class Item:
+    """The list that items stand in: its depth, and the next number of an ordered one."""
+
+    depth: int
+    number: int | None
+
+
+def span(cell: Node, name: str, most: int) -> int:
+    value = cell.attributes.get(name, "1")
+    return min(most, int(value)) if re.fullmatch(r"[1-9]\d{0,5}", value) else 1
+
+
+def placed(rows: list[list[Node]]) -> list[list[tuple[int, Node]]]:
+    """The cells of each row with the columns they begin in, where cells span columns and rows.  Columns that no
+    cell begins in are none."""
+    taken: dict[int, int] = {}  # column -> rows it is still taken for
+    out, starts = [], set()
+    for row in rows:
+        line, column, below = [], 0, {}
+        for cell in row:
+            while taken.get(column):
+                column += 1
+            line.append((column, cell))
+            starts.add(column)
+            wide, high = span(cell, "colspan", 1000), span(cell, "rowspan", 65534)
+            for k in range(wide if high > 1 else 0):
+                below[column + k] = high
+            column += wide
+        taken = {c: n - 1 for c, n in (taken | below).items() if n > 1}
+        out.append(line)
+    order = {c: k for k, c in enumerate(sorted(starts))}
+    return [[(order[c], cell) for c, cell in line] for line in out]
+
+
+def aligned(lines: list[list[tuple[int, str]]]) -> list[str]:
+    """Lines of cells, each beginning where its column does.  A column is as wide as the widest of the cells that have another one
+    behind them in the next column."""
+    width: list[int] = []
+    for line in lines:
+        for (column, text), after in zip(line, [*(c for c, _ in line[1:]), None]):
+            width += [0] * (column + 1 - len(width))
+            if after is None or after == column + 1:
+                width[column] = max(width[column], len(text))
+    for line in lines:  # a cell over several columns widens the last of them
+        for (column, text), (after, _) in zip(line, line[1:]):
+            short = len(text) - sum(width[column:after]) - 2 * (after - column - 1)
+            if after > column + 1 and short > 0:
+                width[after - 1] += short
+    begin = [0]
+    for w in width:
+        begin.append(begin[-1] + w + 2)
+    out = []
+    for line in lines:
+        parts, at = [], 0
+        for column, text in line:
+            if text:
+                parts.append(" " * (begin[column] - at) + text)
+                at = begin[column] + len(text)
+        if parts:
+            out.append("".join(parts))
+    return out
+
+
+def render(root: Node, in_cell: bool = False) -> str:
+    """All visible text of a tree.  A stack instead of recursion: elements nest to any depth.  In a cell, which
+    is one line in the end, the cells of a table follow each other."""
     page = Page()
-    todo: list[tuple[object, str, int, list[int]]] = [(root, "enter", 0, [])]
+    todo: list[tuple[object, str, int, Item | None]] = [(root, "enter", 0, None)]
     while todo:
-        node, doing, pre, counters = todo.pop()
+        node, doing, pre, item = todo.pop()
         if isinstance(node, str):
             if pre:
                 head, *rest = node.split("\n")
@@ -290,26 +441,18 @@ def render(root: Node) -> str:
             continue
         if doing == "grid":
             captions, rows = node
-            grid = [[render_cell(c) for c in row] for row in rows]
-            width: list[int] = []
-            for row in grid:
-                for k, cell in enumerate(row):
-                    if k == len(width):
-                        width.append(0)
-                    width[k] = max(width[k], len(cell))
             page.end_line(1)
             for caption in captions:
                 page.flow(render_cell(caption))
                 page.end_line(1)
-            for row in grid:
-                if any(row):
-                    page.write("  ".join(c.ljust(w) for c, w in zip(row, width)).rstrip())
-                    page.end_line(1)
+            for line in aligned([[(k, render_cell(c)) for k, c in row] for row in placed(rows)]):
+                page.write(line)
+                page.end_line(1)
             continue
         tag = node.tag
         if doing == "leave":
             page.prefix = "" if tag == "li" else page.prefix
-            page.end_line(2 if tag in PARAGRAPHS and not (counters and tag in ("ul", "ol")) else 1)
+            page.end_line(2 if tag in PARAGRAPHS and not (item and tag in ("ul", "ol")) else 1)
             continue
         if not visible(node):
             continue
@@ -322,29 +465,33 @@ def render(root: Node) -> str:
             continue
         block = tag in BLOCKS
         if block:
-            page.end_line(2 if tag in PARAGRAPHS and not (counters and tag in ("ul", "ol")) else 1)
+            page.end_line(2 if tag in PARAGRAPHS and not (item and tag in ("ul", "ol")) else 1)
         if tag == "table":
             captions, rows, strays = table_parts(node)
-            todo.append((node, "leave", pre, counters))
-            todo.append(((captions, rows), "grid", pre, counters))
+            todo.append((node, "leave", pre, item))
+            if in_cell:
+                for cell in reversed([*captions, *(c for row in rows for c in row)]):
+                    inner = Node("div", {})
+                    inner.children = cell.children
+                    todo.append((inner, "enter", 0, None))
+            else:
+                todo.append(((captions, rows), "grid", pre, item))
             # Text misplaced between the cells is still visible.
-            todo += [(c, "enter", pre, counters) for c in reversed(strays)]
+            todo += [(c, "enter", pre, item) for c in reversed(strays)]
             continue
-        inner = counters
-        if tag == "ol":
-            start = node.attributes.get("start", "1")
-            inner = [*counters, int(start) if re.fullmatch(r"-?\d{1,9}", start) else 1]
-        elif tag in ("ul", "menu"):
-            inner = [*counters, None]
+        inner = item
+        if tag in ("ol", "ul", "menu"):
+            inner = Item(item.depth + 1 if item else 0, _whole(node.attributes.get("start"), 1) if tag == "ol" else None)
         elif tag == "li":
-            indent = "  " * max(0, len(counters) - 1)
-            if counters and counters[-1] is not None:
-                page.prefix = f"{indent}{counters[-1]}. "
-                counters[-1] += 1
+            indent = "  " * min(INDENTS, item.depth if item else 0)
+            if item and item.number is not None:
+                number = _whole(node.attributes.get("value"), item.number)
+                page.prefix = f"{indent}{number}. "
+                item.number = number + 1
             else:
                 page.prefix = indent + "- "
         if block:
-            todo.append((node, "leave", pre, counters))
+            todo.append((node, "leave", pre, item))
         deeper = pre + (tag == "pre")
         todo += [(c, "enter", deeper, inner) for c in reversed(node.children)]
         if tag in ("td", "th"):
@@ -356,11 +503,15 @@ def render(root: Node) -> str:
     return page.text()
 
 
+def _whole(text: str | None, otherwise: int) -> int:
+    return int(text) if text and re.fullmatch(r"-?\d{1,9}", text) else otherwise
+
+
 def render_cell(cell: Node) -> str:
     """A cell on one line."""
     inner = Node("div", {})
     inner.children = cell.children
-    return SPACES.sub(" ", render(inner)).strip()
+    return SPACES.sub(" ", render(inner, in_cell=True)).strip()
 
 
 def extract_text(source: str | None) -> str:

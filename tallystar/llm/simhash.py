@@ -46,6 +46,9 @@ BLOCK_SHINGLES = 2_000_000
 SHARD_POINTS, SAMPLE_POINTS, MOST_SHARDS = 32_768, 65_536, 4_096
 #: Askers of one task; a shard with more is worked on by several tasks, each with all its points.
 TASK_QUERIES = 65_536
+#: Up to so many ids are sent to every worker to mark their documents; more of them are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+TURN = "turn of a repeated row"
 #: Points compared without a further split.
 PLAIN_POINTS = 1_024
 
@@ -102,7 +105,8 @@ def set_key(hashes: np.ndarray) -> bytes:
 
 
 def set_fingerprints(docs: DataFrame, shingle: int, words: int) -> DataFrame:
-    """(doc_id, fp, size, key): fingerprints of ``words`` times 64 bits of the set of shingles, its size and its key."""
+    """(doc_id, fp, size, key, text_key): fingerprints of ``words`` times 64 bits of the set of shingles, its size and its key,
+    and 128 bits that stand for the text."""
 
     def run(texts: list[str | None]) -> dict[str, object]:
         made, sizes, keys = np.zeros((len(texts), words), U), [], []
@@ -111,9 +115,14 @@ def set_fingerprints(docs: DataFrame, shingle: int, words: int) -> DataFrame:
             sizes.append(len(hashes))
             keys.append(set_key(hashes))
             made[k] = [majority(remixed(hashes, turn)) for turn in range(words)]
-        return {"fp": list(made.view(np.int64)), "size": sizes, "key": keys}
+        return {"fp": list(made.view(np.int64)), "size": sizes, "key": keys, "text_key": [text_key(t) for t in texts]}
 
-    return per_text(docs, ["doc_id"], run, "fp array<bigint>, size bigint, key binary")
+    return per_text(docs, ["doc_id"], run, "fp array<bigint>, size bigint, key binary, text_key binary")
+
+
+def text_key(text: str | None) -> bytes | None:
+    """128 bits that stand for a text."""
+    return None if text is None else xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"), SEED)
 
 
 def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
@@ -445,8 +454,8 @@ def one_of_each(
 ) -> DataFrame:
     """``docs`` with one document, that of the smallest id, of each group of near duplicates.
 
-    Rows equal in id and text count as one and leave one; rows without an id stay, as nothing tells
-    them apart from others."""
+    Rows equal in id and text count as one and leave one, the first by all their columns; rows without an id stay, as
+    nothing tells them apart from others."""
     prints = kept(set_fingerprints(docs.where(F.col("doc_id").isNotNull()), shingle, words), "simhash")
     # Equal sets of shingles are one point.
     points = kept(prints.groupBy("key", "fp", "size").agg(F.min("doc_id").alias("id")), "simhash-points")
@@ -455,13 +464,17 @@ def one_of_each(
     first = points.join(reached, points["id"] == reached["node"], "left").select(
         F.col("key").alias("point"), F.coalesce("least", "id").alias("least")
     )
-    gone = (
-        prints.join(first, prints["key"] == first["point"])
-        .where(F.col("least") < F.col("doc_id"))
-        .select(F.col("doc_id").alias("gone_id"))
-        .distinct()
-    )
-    rest = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
-    columns = docs.columns
-    turn = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id"))
-    return rest.withColumn("turn__", turn).where("turn__ = 1").select(*columns)
+    gone = prints.join(first, prints["key"] == first["point"]).where(F.col("least") < F.col("doc_id"))
+    # Repeated rows are found among the narrow ones; the texts of all other documents are not shuffled for them.
+    again = prints.groupBy("doc_id", "text_key").agg(F.count("*").alias("times")).where("times > 1")
+    marks = gone.select("doc_id", F.lit(True).alias("drop")).unionByName(again.select("doc_id", F.lit(False).alias("drop")))
+    marks = kept(marks.groupBy("doc_id").agg(F.max("drop").alias("drop")), "simhash-marks")
+    few = marks.count() <= BROADCAST_IDS
+    marks = marks.select(F.col("doc_id").alias("id"), "drop")
+    marks = F.broadcast(marks) if few else marks
+    rest = docs.join(marks, docs["doc_id"] == marks["id"], "left")
+    left = rest.where(~F.coalesce(marks["drop"], F.lit(False)))
+    own = [docs[c] for c in docs.columns]
+    turn = F.row_number().over(Window.partitionBy(docs["doc_id"], docs["text"]).orderBy(*own))
+    repeated = left.where(marks["id"].isNotNull()).select(*own, turn.alias(TURN))
+    return left.where(marks["id"].isNull()).select(*own).unionByName(repeated.where(F.col(TURN) == 1).drop(TURN))

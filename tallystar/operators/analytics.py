@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from tallystar.functions.timestamps import floor_to_quarter
 
 GRID = 0.05
+# Cells a side of a box.
+CELLS = 8
 
 
 def _total(column: str = "watch_time") -> Column:
@@ -121,37 +123,38 @@ def session_summary(fact: DataFrame) -> DataFrame:
     )
 
 
-def _cell(column: Column) -> Column:
-    return F.floor(column / GRID)
+def _cell(column: Column, size: Column | float) -> Column:
+    return F.floor(column / size)
 
 
 def region_by_box(events: DataFrame, boxes: DataFrame) -> DataFrame:
     """Events with the region whose closed box holds the point, NULL when none does.
 
     Boxes are spread over grid cells so that the match is an equi join on the
-    cell; the bounds are the residual.  Boxes must not overlap.
+    cell; the bounds are the residual.  A box takes a grid of its own size, a power of two times
+    ``GRID``, on which it has ``CELLS`` + 1 cells a side at most; there is one join for each size.  Boxes must not overlap.
     """
-    cells = (
-        boxes.withColumn(
-            "_lat", F.explode(F.sequence(_cell(F.col("min_lat")), _cell(F.col("max_lat"))))
-        )
-        .withColumn("_lon", F.explode(F.sequence(_cell(F.col("min_lon")), _cell(F.col("max_lon")))))
-        .select(
-            "_lat",
-            "_lon",
-            F.col("region_code").alias("box_region"),
-            "min_lat",
-            "max_lat",
-            "min_lon",
-            "max_lon",
-        )
-    )
+    extent = F.greatest(F.col("max_lat") - F.col("min_lat"), F.col("max_lon") - F.col("min_lon"))
+    size = F.lit(GRID) * F.pow(F.lit(2.0), F.greatest(F.lit(0), F.ceil(F.log2(extent / (GRID * CELLS)))))
+    sized = boxes.withColumn("_size", F.when(extent > GRID * CELLS, size).otherwise(F.lit(GRID)))
     lat, lon = F.col("lat"), F.col("lon")
-    return events.join(
-        cells,
-        (_cell(lat) == F.col("_lat"))
-        & (_cell(lon) == F.col("_lon"))
-        & lat.between(F.col("min_lat"), F.col("max_lat"))
-        & lon.between(F.col("min_lon"), F.col("max_lon")),
-        "left",
-    ).select(*events.columns, "box_region")
+    found = events.withColumn("box_region", F.lit(None).cast("string"))
+    # From one degree's twentieth to the whole earth there are some fifteen sizes.
+    for r in sized.where("max_lat >= min_lat AND max_lon >= min_lon").select("_size").distinct().orderBy("_size").collect():
+        grid = F.lit(r["_size"])
+        side = lambda low, high: F.explode(F.sequence(_cell(F.col(low), grid), _cell(F.col(high), grid)))  # noqa: B023, E731
+        cells = (
+            sized.where((F.col("_size") == grid) & (F.col("max_lat") >= F.col("min_lat")) & (F.col("max_lon") >= F.col("min_lon")))
+            .withColumn("_lat", side("min_lat", "max_lat"))
+            .withColumn("_lon", side("min_lon", "max_lon"))
+            .select("_lat", "_lon", F.col("region_code").alias("_region"), "min_lat", "max_lat", "min_lon", "max_lon")
+        )
+        found = found.join(
+            cells,
+            (_cell(lat, grid) == F.col("_lat"))
+            & (_cell(lon, grid) == F.col("_lon"))
+            & lat.between(F.col("min_lat"), F.col("max_lat"))
+            & lon.between(F.col("min_lon"), F.col("max_lon")),
+            "left",
+        ).select(*events.columns, F.coalesce("box_region", "_region").alias("box_region"))
+    return found

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallystar import schemas
-from tallystar.operators.rank import first_by_key, latest_by_key
-from tallystar.sources.tables import not_before
+from tallystar.operators.rank import EVENT_ORDER, first_by_key, latest_by_key, order_number, written
 
 
 @dataclass(frozen=True)
@@ -71,52 +70,25 @@ def dim_upsert(existing: DataFrame, new: DataFrame, key: str | Sequence[str]) ->
     return kept.select(*existing.columns).unionByName(new.select(*existing.columns))
 
 
-@contextmanager
-def last_seconds_only(
-    events: DataFrame,
-    dimensions: Sequence[Dimension] = ORGANISATION,
-    max_broadcast_keys: int = 500_000,
-) -> Iterator[DataFrame]:
-    """Drop events that cannot be the last one of any key; exact, for large loads.
+def last_rows(
+    events: DataFrame, dimensions: Sequence[Dimension] = ORGANISATION
+) -> tuple[DataFrame, int, datetime | None]:
+    """The events among which the last one of every key of every dimension is: ``Dimension.latest`` over them
+    equals ``latest`` over all events.  And how many events there are, up to when.
 
-    One narrow hash aggregation over (key, event_ts) finds the last second of
-    every key.  The wide columns are then read only for rows of such a second,
-    and ``Dimension.latest`` over the result equals ``latest`` over all events.
-    When there are more keys than may be broadcast the events come back whole.
+    One narrow hash aggregation finds the number of each key's last event in the order, for all dimensions at once, and one join by that
+    number alone reads the wide rows.
     """
-    candidates = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(d.table).alias("dim"), F.col(d.key).alias("key"))
-                for d in dimensions
-            ]
-        )
-    )
+    number, _ = order_number(events, EVENT_ORDER)
+    keys = [F.struct(F.lit(d.table).alias("dim"), F.col(d.key).alias("key")) for d in dimensions]
+    every = F.struct(F.lit(None).cast("string").alias("dim"), F.lit(None).cast("string").alias("key"))
     heads = (
-        events.select("event_ts", candidates.alias("c"))
-        .where(F.col("c.key").isNotNull())
+        events.select("event_ts", number.alias("_number"), F.explode(F.array(*keys, every)).alias("c"))
         .groupBy("c.dim", "c.key")
-        .agg(F.max("event_ts").alias("head_ts"))
-        .persist()
+        .agg(F.max("_number").alias("_head"), F.count("*").alias("_n"), F.max("event_ts").alias("_upto"))
     )
-    try:
-        bounds = heads.agg(F.count("*").alias("keys"), F.min("head_ts").alias("oldest")).first()
-        if bounds["keys"] == 0 or bounds["keys"] > max_broadcast_keys:
-            yield events
-            return
-        oldest = F.lit(bounds["oldest"]).cast("timestamp_ntz")
-        narrowed = not_before(events, oldest).where(F.col("event_ts") >= oldest)
-        hit = F.lit(False)
-        for i, d in enumerate(dimensions):
-            mine = heads.where(F.col("dim") == d.table).select(
-                F.col("key").alias(f"_key{i}"), F.col("head_ts").alias(f"_head{i}")
-            )
-            narrowed = narrowed.join(
-                F.broadcast(mine),
-                (F.col(d.key) == F.col(f"_key{i}")) & (F.col("event_ts") == F.col(f"_head{i}")),
-                "left",
-            )
-            hit = hit | F.col(f"_key{i}").isNotNull()
-        yield narrowed.where(hit).select(*events.columns)
-    finally:
-        heads.unpersist()
+    heads = written(heads, "heads")
+    total = heads.where(F.col("dim").isNull()).select("_n", "_upto").first()
+    heads = heads.where(F.col("key").isNotNull()).select("_head").distinct()
+    rows = events.join(heads, number == F.col("_head"), "left_semi")
+    return rows, total["_n"] if total else 0, total["_upto"] if total else None

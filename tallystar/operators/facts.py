@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystar import schemas
 from tallystar.functions.keys import surrogate_key, time_bucket_key
 from tallystar.functions.numbers import null_to_zero
 from tallystar.functions.timestamps import normalize_ts
+from tallystar.operators.rank import first_by_key
 
 # The metric row written for a rejected fact.
 FACT_ERROR_METRIC = "fact_insert_error"
@@ -60,13 +61,16 @@ def fact_errors(events: DataFrame) -> DataFrame:
 
 def project_first_seen(events: DataFrame) -> DataFrame:
     """Projects with the time of their first event."""
-    first = F.min_by(F.struct("project_name", "company_name"), F.struct("event_ts", "event_id"))
-    return (
-        events.where(F.col("project_code").isNotNull())
-        .groupBy("project_code")
-        .agg(first.alias("_first"), F.min("event_ts").alias("created_at"))
-        .select("project_code", "_first.project_name", "_first.company_name", "created_at")
-    )
+    first = first_by_key(events, "project_code", ["project_name", "company_name"], skip_empty=False)
+    created = first_seen(events, "project_code", "created_at")
+    return first.join(created, "project_code").select("project_code", "project_name", "company_name", "created_at")
+
+
+def earliest(held: DataFrame, new: DataFrame, key: str, time: str) -> DataFrame:
+    """Rows (key, ..., time) of both, the earlier one of each key; what is held stays on equal times."""
+    rows = held.withColumn("_held", F.lit(0)).unionByName(new.select(*held.columns).withColumn("_held", F.lit(1)))
+    turn = F.row_number().over(Window.partitionBy(key).orderBy(F.asc_nulls_last(time), "_held"))
+    return rows.withColumn("_turn", turn).where("_turn = 1").select(*held.columns)
 
 
 def dim_employee_wide(

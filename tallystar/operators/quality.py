@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallystar.operators.rank import first_by_key
+from tallystar.operators.rank import order_number, settle, written
 
 
 def dedupe_by_key(
@@ -24,10 +24,20 @@ def dedupe_by_key(
     ``existing`` may be narrowed by the caller to the partitions that can hold
     the batch's keys.
     """
-    others = [c for c in rows.columns if c != key]
     # Remaining columns end the order, so that equal times give one fixed answer.
-    full_order = [*order, *[c for c in others if c not in order]]
-    unique = first_by_key(rows, key, others, full_order, skip_empty=False).select(*rows.columns)
+    full_order = [*order, *[c for c in rows.columns if c != key and c not in order]]
+    keyed = rows.where(F.col(key).isNotNull())
+    number, _ = order_number(rows, full_order)
+    # Keys that repeat, from narrow rows; the wide ones of all other keys pass as they are.
+    repeated = (
+        keyed.groupBy(F.col(key).alias("_of"))
+        .agg(F.count("*").alias("_n"), F.min(number).alias("_head"))
+        .where("_n > 1")
+    )
+    known = keyed.withColumn("_number", number).join(written(repeated, "repeated"), F.col(key) == F.col("_of"), "left")
+    single = known.where(F.col("_of").isNull()).select(*rows.columns)
+    near = known.where(F.col("_number") == F.col("_head")).select(*rows.columns)
+    unique = single.unionByName(settle(near, key, full_order, last=False))
     if existing is None:
         return unique
     return unique.join(existing.select(key), key, "left_anti").select(*rows.columns)

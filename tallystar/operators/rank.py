@@ -1,7 +1,9 @@
 """First/last row per key, and neighbours in a per-key order.
 
-``latest_by_key``/``first_by_key`` are aggregations: a hot key is combined on the
-map side, so no key's rows ever meet in one task.
+``latest_by_key``/``first_by_key`` pack the first two columns of the order into one number of
+fixed width, whose extreme per key is a hash aggregation over narrow rows: a hot key is combined on the
+map side.  The table of extremes is stored, so that its size is known when it is joined back; the few rows
+that have one settle what ties are left.  No wide row is sorted or shuffled but those.
 
 A per-key *order* (previous row, next row, last known value) does need a key's
 rows together.  ``add_slices`` cuts the time line of a hot key into slices of
@@ -17,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallystar.functions.timestamps import epoch_seconds
+from tallystar.functions.timestamps import FIRST_SECOND, epoch_seconds
 from tallystar.sources.files import shared_dir
 
 EVENT_ORDER = ("event_ts", "event_id")
@@ -26,6 +28,52 @@ SLICE = "_slice"
 MAX_ROWS_PER_GROUP = 1_000_000
 
 
+def _number(rows: DataFrame, name: str) -> Column | None:
+    """An order column as a whole number from 0 to 10^18 that never orders wrongly: microseconds, or the first seven bytes of a
+    text; NULL is 0.  None where the type has no such number."""
+    kind = rows.schema[name].dataType.simpleString()
+    if kind == "timestamp_ntz":
+        ts = F.col(name)
+        fraction = (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("long") % 1_000_000
+        number = (epoch_seconds(ts) - FIRST_SECOND) * 1_000_000 + fraction + 1
+    elif kind == "string":
+        head = F.rpad(F.substring(F.hex(name), 1, 14), 14, "0")
+        number = F.conv(head, 16, 10).cast("long") + 1
+    else:
+        return None
+    return F.coalesce(number, F.lit(0)).cast("decimal(18,0)")
+
+
+def order_number(rows: DataFrame, order: Sequence[str]) -> tuple[Column, list[str]]:
+    """One number for the first columns of the order, two at most, and the names of these."""
+    packed, named = F.lit(0).cast("decimal(18,0)"), []
+    for name in order[:2]:
+        number = _number(rows, name)
+        if number is None:
+            break
+        packed = (packed * F.lit(10**18).cast("decimal(19,0)")).cast("decimal(38,0)") + number
+        named.append(name)
+    return packed.cast("decimal(38,0)"), named
+
+
+def settle(near: DataFrame, key: str, order: Sequence[str], last: bool) -> DataFrame:
+    """One row of each key of ``near``; equal rows are as good as each other."""
+    rest = [c for c in near.columns if c != key and c not in order]
+    by = [F.desc(c) if last else F.asc(c) for c in (*order, *rest)]
+    turn = F.row_number().over(Window.partitionBy(key).orderBy(*by))
+    return near.withColumn("_turn", turn).where("_turn = 1").drop("_turn")
+
+
+def _extreme(rows: DataFrame, key: str, columns: Sequence[str], order: Sequence[str], last: bool) -> DataFrame:
+    number, _ = order_number(rows, order)
+    needed = list(dict.fromkeys([key, *columns, *order]))
+    numbered = rows.select(*needed, number.alias("_number"))
+    extreme = (F.max if last else F.min)("_number").alias("_head")
+    heads = written(numbered.groupBy(F.col(key).alias("_of")).agg(extreme), "heads")
+    near = numbered.join(heads, (F.col(key) == F.col("_of")) & (F.col("_number") == F.col("_head")))
+    return settle(near.select(*needed), key, order, last).select(key, *columns)
+
+
 def latest_by_key(
     rows: DataFrame,
     key: str,
@@ -33,8 +81,7 @@ def latest_by_key(
     order: Sequence[str] = EVENT_ORDER,
 ) -> DataFrame:
     """The last row of each non-NULL key, as (key, columns...)."""
-    pick = F.max_by(F.struct(*columns), F.struct(*order)).alias("_row")
-    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(pick).select(key, "_row.*")
+    return _extreme(rows.where(F.col(key).isNotNull()), key, columns, order, last=True)
 
 
 def first_by_key(
@@ -45,9 +92,8 @@ def first_by_key(
     skip_empty: bool = True,
 ) -> DataFrame:
     """The first row of each non-NULL key; an empty key counts as NULL by default."""
-    pick = F.min_by(F.struct(*columns), F.struct(*order)).alias("_row")
     keyed = rows.where(F.col(key) != "") if skip_empty else rows.where(F.col(key).isNotNull())
-    return keyed.groupBy(key).agg(pick).select(key, "_row.*")
+    return _extreme(keyed, key, columns, order, last=False)
 
 
 def add_slices(
@@ -79,7 +125,7 @@ def add_slices(
         if crowded.isEmpty():
             return sliced, hot
         # Written out, so that the next round's plan does not hold this round's twice.
-        hot, crowded = True, _written(crowded, "slices")
+        hot, crowded = True, written(crowded, "slices")
         first_second = (
             F.col("_lo") + F.floor((second - F.col("_lo")) / F.col("_width")) * F.col("_width")
         )
@@ -94,7 +140,7 @@ def add_slices(
         )
 
 
-def _written(rows: DataFrame, name: str) -> DataFrame:
+def written(rows: DataFrame, name: str) -> DataFrame:
     """A small table stored and read back: its size is known, and decides whether it is broadcast."""
     path = shared_dir(rows.sparkSession, name)
     rows.write.parquet(path)
@@ -108,7 +154,7 @@ def join_edges(rows: DataFrame, key: str, edges: DataFrame) -> DataFrame:
     """
     known = edges.where(F.col("_carry").isNotNull()).select("_key", "_at", "_carry")
     return rows.join(
-        _written(known, "edges"),
+        written(known, "edges"),
         (F.col(key) == F.col("_key")) & (F.col(SLICE) == F.col("_at")),
         "left",
     ).drop("_key", "_at")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tallystar import schemas
 from tallystar.functions.keys import surrogate_key, time_bucket_key
 from tallystar.functions.numbers import parse_float
-from tallystar.functions.timestamps import as_wall_clock, epoch_seconds, truncate_to_second
+from tallystar.functions.timestamps import FIRST_SECOND, as_wall_clock, epoch_seconds, truncate_to_second
 from tallystar.operators.rank import (
     MAX_ROWS_PER_GROUP,
     SLICE,
@@ -24,6 +24,7 @@ from tallystar.operators.rank import (
     latest_by_key,
     with_next,
     with_previous,
+    written,
 )
 
 # Tracked attributes, and the open end of a version.
@@ -139,18 +140,101 @@ def scd2_history(events: DataFrame, max_rows: int = MAX_ROWS_PER_GROUP) -> DataF
     )
 
 
+def scd2_splice(versions: DataFrame, held: DataFrame, batch: DataFrame, **history) -> DataFrame:
+    """``scd2_history`` of all events, from that of the events ``held`` and the events of a ``batch``, late ones included.
+
+    ``versions`` holds those of the batch's users at least; users without a batch event keep theirs.  Of the
+    others, versions that end before the user's first batch second stay as they are.  The one
+    that holds just before it is an event again, at its start, and what follows is made anew from it, the held events from that second on,
+    and the batch.  ``held`` may be narrowed to the days from the batch's first second on.
+    """
+    known = F.col("user_id").isNotNull() & F.col("event_ts").isNotNull()
+    columns = ["event_id", "event_ts", "user_id", *TRACKED]
+    batch = batch.where(known).select(*columns)
+    begins = batch.groupBy(F.col("user_id").alias("_user")).agg(
+        truncate_to_second(F.min("event_ts")).alias("_from")
+    )
+    sided = versions.join(begins, F.col("user_id") == F.col("_user"), "left")
+    kept = sided.where(F.col("_from").isNull() | (F.col("effective_to") < F.col("_from")))
+    open_ = sided.where((F.col("effective_from") < F.col("_from")) & (F.col("effective_to") >= F.col("_from")))
+    again = open_.select(F.lit("").alias("event_id"), F.col("effective_from").alias("event_ts"), "user_id", *TRACKED)
+    later = held.where(known).join(
+        begins, (F.col("user_id") == F.col("_user")) & (F.col("event_ts") >= F.col("_from"))
+    )
+    events = again.unionByName(later.select(*columns)).unionByName(batch)
+    return kept.select(*versions.columns).unionByName(scd2_history(events, **history))
+
+
 # -- point-in-time lookup ----------------------------------------------------
-def _within(events: DataFrame, versions: DataFrame) -> DataFrame:
-    """Equi join on the user with the validity range as residual."""
-    v = versions.select(
-        F.col("user_id").alias("_user"), "user_sk", "effective_from", "effective_to"
+# Powers of two seconds that a time from the year 1 on has, at most.
+LEVELS = 39
+
+
+def _second(ts: str) -> Column:
+    return epoch_seconds(F.col(ts)) - FIRST_SECOND
+
+
+def _blocks(low: Column, high: Column) -> Column:
+    """The time from ``low`` to ``high`` (exclusive) as (level, block): blocks of 2^level seconds that start at a multiple of
+    their length, two of a level at most."""
+    edges = []
+    for level in range(LEVELS):
+        first, end = F.ceil(low / F.lit(1 << level)), F.floor(high / F.lit(1 << level))
+        edges += [
+            F.when((first < end) & (first % 2 == 1), F.struct(F.lit(level).alias("level"), first.alias("block"))),
+            F.when((first < end) & (end % 2 == 1), F.struct(F.lit(level).alias("level"), (end - 1).alias("block"))),
+        ]
+    return F.array_compact(F.array(*edges))
+
+
+def _open_at(events: DataFrame, versions: DataFrame) -> DataFrame:
+    """Of versions that may overlap, the last started one that holds at an event; no pair of an event and a version is made.
+
+    Every version is cut into blocks of time, and of the versions of a block the last started one is kept, by an aggregation.  An
+    event's second lies in one block of each level, and the best of these is its version.  Parts of a second at the ends of a
+    version, where times have fractions, are matched within that second.
+    """
+    version = F.struct("user_sk", "effective_from", "effective_to")
+    order = F.struct("_version.effective_from", "_version.user_sk")
+    known = versions.where(F.col("user_id").isNotNull() & (F.col("effective_from") < F.col("effective_to"))).select(
+        "user_id",
+        version.alias("_version"),
+        _second("effective_from").alias("_low"),
+        _second("effective_to").alias("_high"),
+        (truncate_to_second(F.col("effective_from")) < F.col("effective_from")).alias("_late"),
+        (truncate_to_second(F.col("effective_to")) < F.col("effective_to")).alias("_over"),
+    )
+    whole = known.select(
+        "user_id", "_version", F.explode(_blocks(F.col("_low") + F.col("_late").cast("int"), F.col("_high"))).alias("b")
+    )
+    best = (
+        whole.groupBy(F.col("user_id").alias("_user"), "b.level", "b.block")
+        .agg(F.max_by("_version", order).alias("_version"))
     )
-    return events.join(
-        v,
+    best = written(best, "blocks")
+    levels = [r[0] for r in best.select("level").distinct().collect()]  # LEVELS at most
+    seconds = events.where(F.col("user_id").isNotNull()).select("user_id", _second("event_ts").alias("_at")).distinct()
+    places = F.array(
+        *[F.struct(F.lit(n).alias("_level"), F.floor(F.col("_at") / F.lit(1 << n)).alias("_block")) for n in levels]
+    ) if levels else F.array().cast("array<struct<_level:int,_block:bigint>>")
+    asked = seconds.select("user_id", "_at", F.explode(places).alias("p")).select("user_id", "_at", "p.*")
+    found = asked.join(
+        best, (F.col("user_id") == F.col("_user")) & (F.col("_level") == F.col("level")) & (F.col("_block") == F.col("block"))
+    )
+    found = found.groupBy("_user", "_at").agg(F.max_by("_version", order).alias("_version"))
+    timed = events.withColumn("_second", _second("event_ts"))
+    hit = timed.join(found, (F.col("user_id") == F.col("_user")) & (F.col("_second") == F.col("_at")))
+    parts = F.array_distinct(F.array_compact(F.array(F.when(F.col("_late"), F.col("_low")), F.when(F.col("_over"), F.col("_high")))))
+    edges = known.select(F.col("user_id").alias("_user"), "_version", F.explode(parts).alias("_at"))
+    edges = timed.join(
+        edges,
         (F.col("user_id") == F.col("_user"))
-        & (F.col("event_ts") >= F.col("effective_from"))
-        & (F.col("event_ts") < F.col("effective_to")),
-    ).drop("_user")
+        & (F.col("_second") == F.col("_at"))
+        & (F.col("event_ts") >= F.col("_version.effective_from"))
+        & (F.col("event_ts") < F.col("_version.effective_to")),
+    )
+    columns = [*events.columns, "_version.*"]
+    return hit.select(*columns).unionByName(edges.select(*columns))
 
 
 def _last_started(events: DataFrame, versions: DataFrame, max_rows: int) -> DataFrame:
@@ -207,13 +291,14 @@ def asof_lookup(
     Adds user_sk, effective_from and effective_to.  One ordered pass over events and
     version starts, linear in both.  ``disjoint=False`` allows
     overlapping versions of a user: the latest start wins, and the result holds
-    one row per event_id, its first, as the fact's primary key demands.
+    one row per event_id, its first, as the fact's primary key demands.  It costs a
+    factor of the logarithm of time, whatever overlaps.
     """
     if not disjoint:
         version = ("user_sk", "effective_from", "effective_to")
         order = F.struct(-epoch_seconds(F.col("event_ts")), "effective_from", "user_sk")
         best = F.max_by(F.struct(*events.columns, *version), order).alias("_best")
-        return _within(events, versions).groupBy("event_id").agg(best).select("_best.*")
+        return _open_at(events, versions).groupBy("event_id").agg(best).select("_best.*")
     return _last_started(events, versions, max_rows)
 
 

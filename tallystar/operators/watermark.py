@@ -16,6 +16,7 @@ from tallystar.sources.tables import EVENT_DATE, EVENT_SECOND, not_before
 # Pipeline names and the mark of a pipeline that never ran.
 LIVE_STREAM = "live_stream"
 RAW_TO_SILVER = "raw_to_silver"
+USER_HISTORY = "raw_to_user_history"  # not among the fixed ones
 EPOCH = "1970-01-01 00:00:00"
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import nullcontext
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation
@@ -12,11 +11,12 @@ from pyspark.sql import functions as F
 from tallystar import schemas
 from tallystar.functions.timestamps import as_wall_clock
 from tallystar.operators import facts, scd2
-from tallystar.operators.dims import ORGANISATION, Dimension, dim_upsert, last_seconds_only
+from tallystar.operators.dims import ORGANISATION, Dimension, dim_upsert, last_rows
 from tallystar.operators.quality import dedupe_by_key
 from tallystar.operators.watermark import (
     LIVE_STREAM,
     RAW_TO_SILVER,
+    USER_HISTORY,
     incremental_load,
     incremental_load_14col,
     watermark_read,
@@ -26,8 +26,6 @@ from tallystar.sources.csv_snapshots import csv_export
 from tallystar.sources.rows import literal_rows, one_row
 from tallystar.sources.tables import not_before
 
-# Batches above this many rows look for the last second of each key first.
-NARROW_ABOVE = 20_000_000
 EXPORTED = tuple(d.table for d in ORGANISATION)
 
 
@@ -49,6 +47,18 @@ def _bounds(batch: DataFrame):
     return batch.agg(F.count("*").alias("row_count"), F.max("event_ts").alias("upto")).first()
 
 
+def _begin_of(warehouse: Warehouse, mark: datetime, lateness: str | None) -> datetime:
+    """The time from which events may be news."""
+    if lateness is None:
+        return mark
+    return one_row(warehouse.spark).select(as_wall_clock(mark) - F.expr(f"INTERVAL {lateness}")).first()[0]
+
+
+def due_from(warehouse: Warehouse, pipeline: str, lateness: str | None = None) -> datetime:
+    """From when on a pipeline's next run reads its input."""
+    return _begin_of(warehouse, _begin(warehouse, pipeline)[0], lateness)
+
+
 def _save_mark(warehouse: Warehouse, pipeline: str, upto: datetime, number: int) -> None:
     """The mark keeps its fraction of a second: an event is after it, or was loaded."""
     mark = one_row(warehouse.spark).select(
@@ -71,68 +81,85 @@ def _late(batch: DataFrame, mark: datetime, held: DataFrame) -> DataFrame:
     return dedupe_by_key(batch.where(has_id), "event_id", held).unionByName(plain)
 
 
+def _declared(warehouse: Warehouse, batch: DataFrame, run_id: str) -> None:
+    """Employees with the names above them, keyed by their first event; projects by theirs; and facts with the employee's
+    key.  First events are minima of what is held and the batch, so a retry changes nothing."""
+    held = warehouse.employee_seen
+    held.replace(facts.earliest(held.read(), facts.first_seen(batch, "employee_id"), "employee_id", "effective_from"))
+    projects = warehouse.project_seen
+    projects.replace(facts.earliest(projects.read(), facts.project_first_seen(batch), "project_code", "created_at"))
+    names = ("dim_employee", "dim_manager", "dim_branch", "dim_company")
+    wide = facts.dim_employee_wide(*[warehouse.dims[n].read() for n in names], held.read())
+    # Seeded employees have no event yet, and so no key.
+    warehouse.employee_wide.replace(wide.where(F.col("effective_from").isNotNull()))
+    warehouse.org_fact.write_run(facts.fact_org_watch(batch, warehouse.employee_wide.read()), run_id)
+
+
 def silver_run(
     warehouse: Warehouse,
     run_ts: datetime | str,
     export_dir: str | None = None,
     lateness: str | None = None,
-    narrow_above: int = NARROW_ABOVE,
     register: bool = False,
+    declared: bool = False,
 ) -> dict[str, int]:
     """One incremental run: dimensions, then the fact, then the watermark, then CSV.
 
-    The batch is not cached: RAW is columnar and listed once, so each output
-    re-reads only its own columns of the same files, pruned by date.  Without
-    new rows nothing at all is written.  ``lateness`` re-reads that interval
+    The batch is read three times, each time its own columns of the files of the days after the mark: narrowly
+    for the number of each key's last event, once more for those events, whole, and for the fact.
+    Without new rows no table is written.  ``lateness`` re-reads that interval
     behind the mark and keeps only events the fact does not hold yet; copies of
-    an event carry the same event_ts.  ``register`` counts the star's tables
+    an event carry the same event_ts.  ``declared`` fills the employee and project tables
+    with first events, and the fact with employee keys.  ``register`` counts the star's tables
     into the catalog afterwards.
     """
     spark = warehouse.spark
     mark, number, run_id = _begin(warehouse, LIVE_STREAM)
-    batch = incremental_load(warehouse.raw.read(prunable=True), mark, lateness)
+    oldest = _begin_of(warehouse, mark, lateness)
+    batch = incremental_load(warehouse.raw.read(prunable=True, since=oldest), mark, lateness)
     if lateness is not None:
-        oldest = as_wall_clock(mark) - F.expr(f"INTERVAL {lateness}")
-        held = not_before(warehouse.fact.read(prunable=True, without_run=run_id), oldest)
-        batch = _late(batch, mark, held).persist()
-    bounds = _bounds(batch)
-    if not bounds["row_count"]:
-        if lateness is not None:
-            batch.unpersist()
-        return {}
-    upto = bounds["upto"]
-
-    def save(dimension: Dimension, events: DataFrame) -> int:
-        """Upsert one dimension; its few new rows are kept, as the upsert reads them twice."""
-        table, new = warehouse.dims[dimension.table], dimension.latest(events).persist()
-        try:
-            table.replace(dim_upsert(table.read(), new, dimension.key))
-            return new.count()
-        finally:
-            new.unpersist()
-
-    large = bounds["row_count"] > narrow_above
-    with last_seconds_only(batch) if large else nullcontext(batch) as heads:
+        held = warehouse.fact.read(prunable=True, without_run=run_id, since=oldest)
+        batch = _late(batch, mark, not_before(held, as_wall_clock(oldest))).persist()
+    heads, row_count, upto = last_rows(batch, ORGANISATION)
+    heads = heads.persist()
+    try:
+        if not row_count:
+            return {}
+
+        def save(dimension: Dimension) -> int:
+            """Upsert one dimension; its few new rows are kept, as the upsert reads them twice."""
+            table, new = warehouse.dims[dimension.table], dimension.latest(heads).persist()
+            try:
+                table.replace(dim_upsert(table.read(), new, dimension.key))
+                return new.count()
+            finally:
+                new.unpersist()
+
+        heads.count()
         # The five writes are independent; side by side they fill the cluster.
         with ThreadPoolExecutor(len(ORGANISATION)) as pool:
-            upserted = list(pool.map(lambda d: save(d, heads), ORGANISATION))
-
-    written = Observation()
-    fact = facts.fact_project(batch, run_ts).observe(written, F.count(F.lit(1)).alias("rows"))
-    warehouse.fact.write_run(fact, run_id)
+            upserted = list(pool.map(save, ORGANISATION))
+
+        written = Observation()
+        fact = facts.fact_project(batch, run_ts).observe(written, F.count(F.lit(1)).alias("rows"))
+        warehouse.fact.write_run(fact, run_id)
+        if declared:
+            _declared(warehouse, batch, run_id)
+    finally:
+        heads.unpersist()
+        if lateness is not None:
+            batch.unpersist()
     # RAW holds doubles, so no row can be refused by the fact's cast here; text
     # sources go through facts.fact_errors.
     _save_mark(warehouse, LIVE_STREAM, max(upto, mark), number)
     counts = {
-        "raw_loaded": bounds["row_count"],
+        "raw_loaded": row_count,
         **{d.table: n for d, n in zip(ORGANISATION, upserted)},
         "fact_user_activity": written.get["rows"],
     }
     warehouse.run_counts.write_run(
         literal_rows(spark, list(counts.items()), schemas.RUN_COUNTS), run_id
     )
-    if lateness is not None:
-        batch.unpersist()
     if register:
         warehouse.register_counts(run_ts)
     if export_dir:
@@ -153,14 +180,16 @@ def user_star_run(warehouse: Warehouse, raw: DataFrame, run_ts: datetime | str)
     upto = _bounds(batch)["upto"]
     if upto is None:
         return {}
-    # A retry must compare with the versions from before its first try.
-    current = warehouse.user_current.read(before_run=run_id)
+    # Only the buckets of the batch's users are read and rewritten.  A retry must compare with the versions from
+    # before its first try.
+    touched = warehouse.user_current.touched(batch.select("user_id"))
+    current = warehouse.user_current.read(touched, before_run=run_id)
     delta = scd2.scd2_delta(current, batch).persist()
     # Versions opened by this batch start after the mark, older ones do not.
     opened = F.col("is_current") & (F.col("effective_from") > as_wall_clock(mark))
     inserts, updates = delta.agg(F.count_if(opened), F.count_if(~F.col("is_current"))).first()
     warehouse.user_closed.write_run(delta.where(~F.col("is_current")), run_id)
-    warehouse.user_current.replace(delta.where("is_current"), run_id)
+    warehouse.user_current.replace(delta.where("is_current"), touched, run_id)
     # Versions closed by earlier batches end before this one begins: the delta holds
     # every version that can match, two per user at most.
     versions = delta.select("user_sk", "user_id", "effective_from", "effective_to")
@@ -168,3 +197,37 @@ def user_star_run(warehouse: Warehouse, raw: DataFrame, run_ts: datetime | str)
     delta.unpersist()
     _save_mark(warehouse, RAW_TO_SILVER, upto, number)
     return {"inserts": inserts, "updates": updates}
+
+
+def user_history_run(
+    warehouse: Warehouse, raw: DataFrame, run_ts: datetime | str, lateness: str | None = None
+) -> dict[str, int]:
+    """One incremental run of the user star with event-grain versions, which do not depend on how events are cut into
+    batches.
+
+    ``lateness`` reads that interval behind the mark again, and keeps the events that no run has loaded; events without an id count
+    from the mark on.  Only the buckets of the batch's users are read and rewritten.
+    """
+    mark, number, run_id = _begin(warehouse, USER_HISTORY)
+    oldest = _begin_of(warehouse, mark, lateness)
+    batch = incremental_load_14col(raw, as_wall_clock(oldest))
+    if lateness is not None:
+        held = warehouse.user_events.read(prunable=True, without_run=run_id, since=oldest)
+        batch = _late(batch, mark, not_before(held, as_wall_clock(oldest)))
+    batch = batch.persist()
+    try:
+        bounds = batch.agg(
+            F.count("*").alias("events"), F.max("event_ts").alias("upto"), F.min("event_ts").alias("begin")
+        ).first()
+        if not bounds["events"]:
+            return {}
+        # Events that other runs have loaded, from the batch's first one on.
+        held = warehouse.user_events.read(without_run=run_id, since=bounds["begin"])
+        touched = warehouse.user_versions.touched(batch.select("user_id"))
+        versions = warehouse.user_versions.read(touched, before_run=run_id)
+        warehouse.user_versions.replace(scd2.scd2_splice(versions, held, batch), touched, run_id)
+        warehouse.user_events.write_run(batch, run_id)
+    finally:
+        batch.unpersist()
+    _save_mark(warehouse, USER_HISTORY, max(bounds["upto"], mark), number)
+    return {"events": bounds["events"], "buckets": len(touched)}

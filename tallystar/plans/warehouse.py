@@ -3,22 +3,23 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime
+from datetime import date, datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tallystar import schemas
 from tallystar.functions.timestamps import as_wall_clock
 from tallystar.operators import calendar, catalog, seeds
 from tallystar.operators.dims import ORGANISATION, dim_upsert
+from tallystar.operators.scd2 import fact_user_watch
 from tallystar.operators.watermark import EPOCH, LIVE_STREAM, watermark_init
 from tallystar.sources.rows import empty, one_row
-from tallystar.sources.tables import AppendTable, SnapshotTable
+from tallystar.sources.tables import AppendTable, BucketTable, SnapshotTable
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, user_buckets: int = 1_000):
         self.spark, self.root = spark, root
 
         def snapshot(name, schema):
@@ -46,15 +47,25 @@ class Warehouse:
         # Stored next to each mark: the number of the last run that moved it.
         marks = StructType(schemas.ETL_WATERMARKS.fields + [StructField("run_number", LongType())])
         self.watermarks = snapshot("etl_watermarks", marks)
+        # Declared beside the star: employees with names and surrogate keys, the fact that carries these, first events of
+        # projects, and the metrics' definitions.
+        self.employee_seen = snapshot("employee_first_seen", schemas.EMPLOYEE_FIRST_SEEN)
+        self.employee_wide = snapshot("dim_employee_wide", schemas.DIM_EMPLOYEE_WIDE)
+        self.project_seen = snapshot("dim_project_first_seen", schemas.DIM_PROJECT_FIRST_SEEN)
+        self.org_fact = append("fact_org_watch", schemas.FACT_ORG_WATCH, "run_id", date_from="event_ts")
+        self.metric_definitions = snapshot("metric_definitions", schemas.METRIC_DEFINITIONS)
         # Older dimensions of the user star: region boxes and the 15-minute calendar.
         self.region_boxes = snapshot("dim_region_box", schemas.DIM_REGION_BOX)
         self.calendar = snapshot("dim_time_15min", schemas.DIM_TIME_15MIN)
-        # User star: closed versions only grow, current ones are replaced.
-        self.user_current = snapshot("dim_user_current", schemas.DIM_USER_SCD2)
+        # User star: closed versions only grow, current ones are replaced, by the buckets of a batch's users.
+        self.user_current = BucketTable(spark, root, "dim_user_current", schemas.DIM_USER_SCD2, "user_id", user_buckets)
         self.user_closed = append("dim_user_closed", schemas.DIM_USER_SCD2, "run_id")
         self.user_fact = append(
             "fact_user_watch_activity", schemas.FACT_USER_WATCH, "run_id", date_from="event_ts"
         )
+        # User star with event-grain versions: the events loaded so far, and all versions.
+        self.user_events = append("user_events", schemas.RAW_USER, "run_id", date_from="event_ts")
+        self.user_versions = BucketTable(spark, root, "dim_user_versions", schemas.DIM_USER_SCD2, "user_id", user_buckets)
 
     @property
     def tables(self) -> list[SnapshotTable | AppendTable]:
@@ -70,7 +81,7 @@ class Warehouse:
         ]
 
     @property
-    def others(self) -> list[SnapshotTable | AppendTable]:
+    def others(self) -> list[SnapshotTable | AppendTable | BucketTable]:
         """The tables around them: counts, rejects, older dimensions, the user star."""
         return [
             self.quarantine,
@@ -82,12 +93,34 @@ class Warehouse:
             self.user_current,
             self.user_closed,
             self.user_fact,
+            self.user_events,
+            self.user_versions,
+            self.employee_seen,
+            self.employee_wide,
+            self.project_seen,
+            self.org_fact,
+            self.metric_definitions,
         ]
 
     def users(self):
         """The whole type-2 user dimension."""
         return self.user_closed.read().unionByName(self.user_current.read())
 
+    def user_facts(self) -> DataFrame:
+        """Point-in-time facts of the star with event-grain versions.  A late event may give earlier ones another version,
+        so they are looked up when read."""
+        return fact_user_watch(self.user_events.read(), self.user_versions.read())
+
+    def metrics(self) -> DataFrame:
+        """Every metric of the definitions table, over the fact: (metric_name, metric_value)."""
+        defined = self.metric_definitions.read().select("metric_name", "sql_definition").collect()  # a few rows
+        return catalog.metric_eval(self.fact.read(), {r[0]: r[1] for r in defined})
+
+    def compact(self, before: date | None = None) -> dict[str, int]:
+        """Merge the runs of closed days; days written by table."""
+        tables = [t for t in (*self.tables, *self.others) if isinstance(t, AppendTable)]
+        return {t.name: t.compact(before) for t in tables}
+
     def register_counts(self, run_ts: datetime | str) -> None:
         """Count the star's tables and replace their catalog rows."""
         tables = {t.name: t.read() for t in (self.raw, *self.dims.values(), self.fact)}
@@ -144,6 +177,11 @@ def bootstrap(
             )
         )
     warehouse.meta_table.replace(catalog.meta_table(spark, run_ts))
+    warehouse.metric_definitions.replace(
+        dim_upsert(
+            warehouse.metric_definitions.read(), catalog.metric_definitions(spark, "activity"), "metric_name"
+        )
+    )
     warehouse.meta_column.replace(
         catalog.meta_column(
             {

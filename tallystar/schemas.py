@@ -122,6 +122,7 @@ DIM_EMPLOYEE_WIDE = _table(
 DIM_PROJECT_FIRST_SEEN = _table(
     "project_code project_name company_name created_at", created_at=CLOCK
 )
+EMPLOYEE_FIRST_SEEN = _table("employee_id effective_from", effective_from=CLOCK)
 FACT_ORG_WATCH = _table(
     "event_id event_ts time_15min_sk employee_sk project_code region_code lat lon watch_time "
     "device_type app_version ingestion_ts manager_id branch_id department company_name",
@@ -142,6 +143,7 @@ META_TABLE_COUNTS = _table(
 META_COLUMN = _table("table_name column_name data_type is_nullable description")
 METRIC_DEFINITION = _table("metric_name sql_definition business_definition category")
 META_METRIC = _table("metric_name metric_formula description")
+METRIC_DEFINITIONS = _table("metric_name sql_definition business_definition category")
 ETL_WATERMARKS = _table("pipeline_name last_run_ts", last_run_ts=CLOCK)
 QUARANTINE = _table("value reason")
 BATCH_COUNTS = StructType(

@@ -25,13 +25,39 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def children(spark: SparkSession, path: str) -> list[str]:
     fs, where = _open(spark, path)
-    return [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
+    names = [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
+    return [n for n in names if not n.startswith(".")]
 
 
-def matching(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths that match a glob pattern, in order."""
-    fs, where = _open(spark, pattern)
-    return sorted(s.getPath().toString() for s in fs.globStatus(where) or [])
+def create(spark: SparkSession, path: str, text: str = "") -> None:
+    """A new small file, with the directories above it; it is there as a whole or not at all."""
+    fs, where = _open(spark, path)
+    beside = where.getParent().suffix(f"/.{uuid.uuid4().hex}")
+    out = fs.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(beside, where):
+        raise FileExistsError(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, where = _open(spark, path)
+    stream = fs.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def make_dir(spark: SparkSession, path: str) -> None:
+    fs, where = _open(spark, path)
+    fs.mkdirs(where)
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files below a directory."""
+    fs, where = _open(spark, path)
+    return fs.getContentSummary(where).getLength()
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -1,18 +1,34 @@
-"""Parquet tables of two kinds.
+"""Parquet tables of three kinds.
 
 ``SnapshotTable`` is replaced as a whole.  Each replacement is a new ``v=<n>``
 directory and readers take the newest one that carries ``_SUCCESS``, so a run
 may read the table it is about to replace and a broken write is never seen.
 
-``AppendTable`` grows by named runs.  A run owns its directory, and writing the
-same run again replaces it, which makes a retried run exactly-once.  A table with
-an event time is partitioned by its day and also stores its epoch second: Parquet
-row groups are skipped by the statistics of a bigint, not of a TIMESTAMP_NTZ.
+``BucketTable`` holds rows by key in a fixed number of buckets.  A run replaces the buckets it touches; a
+version is one small file that names each bucket's directory.
+
+``AppendTable`` grows by named runs.  A table with an event time has a directory for each of its
+days first, in which every run has one of its own; a reader that asks for the time since a
+mark lists the days after it only.  A run is committed by one small file, which also says what earlier tries
+of the same run it replaces: a replay is written beside them and switched in at once.
+``compact`` merges the runs of closed days.  The epoch second of the event is stored too, as
+Parquet row groups are skipped by the statistics of a bigint, not of a TIMESTAMP_NTZ.
+
+    <table>/_runs/<number>-<token>~<name>~<replaced numbers>     a committed run
+    <table>/event_date=<day>/rows=<number>-<token>/              its rows of a day
+    <table>/event_date=<day>/rows=<number>-<token>-base/         rows of all runs up to that number
+    <table>/event_date=<day>/_base~<number>-<token>              commits the one above
+    <table>/_folded/<name>/<number>                              a run that lies in bases only
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from datetime import date
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +41,11 @@ from tallystar.sources.rows import empty
 KEPT_VERSIONS = 3
 # Stored next to the rows of a table with an event time, to prune by.
 EVENT_DATE, EVENT_SECOND = "event_date", "event_second"
+# The number of the run that wrote a row, and the directory level of runs.
+RUN_NUMBER, ROWS = "run_number", "rows"
+# Bytes of a file that ``compact`` writes.
+FILE_BYTES = 128 << 20
+NO_DAY = f"{EVENT_DATE}=__HIVE_DEFAULT_PARTITION__"
 
 
 class SnapshotTable:
@@ -76,7 +97,108 @@ class SnapshotTable:
         self.replace(empty(self.spark, self.schema))
 
 
+class BucketTable:
+    """``<table>/_versions/<number>~<run>`` lists ``<bucket> <token>``; the rows lie in ``<table>/<token>/bucket=<bucket>``."""
+
+    BUCKET = "bucket"
+
+    def __init__(self, spark: SparkSession, root: str, name: str, schema: StructType, key: str, buckets: int = 1_000):
+        self.spark, self.name, self.schema = spark, name, schema
+        self.path, self.key, self.buckets = f"{root.rstrip('/')}/{name}", key, buckets
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int").alias(self.BUCKET)
+
+    def touched(self, keys: DataFrame) -> list[int]:
+        """Buckets of the keys, as many as there are buckets at most."""
+        found = keys.where(F.col(self.key).isNotNull()).select(self._bucket()).distinct().collect()
+        return sorted(r[0] for r in found)
+
+    def _versions(self, before_run: str | None = None) -> list[str]:
+        versions = sorted(files.children(self.spark, f"{self.path}/_versions"))
+        return [v for v in versions if not (before_run and v.endswith(f"~{before_run}"))]
+
+    def _places(self, version: str | None) -> dict[int, str]:
+        if version is None:
+            return {}
+        lines = files.read_text(self.spark, f"{self.path}/_versions/{version}").split("\n")
+        return {int(b): token for b, _, token in (line.partition(" ") for line in lines if line)}
+
+    def _last(self, before_run: str | None) -> dict[int, str]:
+        return self._places(next(iter(self._versions(before_run)[::-1]), None))
+
+    def read(self, buckets: Sequence[int] | None = None, before_run: str | None = None) -> DataFrame:
+        """The newest version, or some of its buckets; ``before_run`` skips what an earlier try of that run wrote."""
+        places = self._last(before_run)
+        wanted = places if buckets is None else [b for b in buckets if b in places]
+        if not wanted:
+            return empty(self.spark, self.schema)
+        paths = [f"{self.path}/{places[b]}/{self.BUCKET}={b}" for b in wanted]
+        return self.spark.read.schema(self.schema).parquet(*paths)
+
+    def replace(self, rows: DataFrame, buckets: Sequence[int], run: str) -> None:
+        """A version in which ``buckets`` hold ``rows``, and the others what they held before the run."""
+        places, token = self._last(run), uuid.uuid4().hex[:12]
+        # As many files as the rows need: a large bucket is split, small ones share a task.
+        rows = rows.select(*self.schema.names, self._bucket()).hint("rebalance", self.BUCKET)
+        rows.write.partitionBy(self.BUCKET).parquet(f"{self.path}/{token}")
+        filled = {int(n.partition("=")[2]) for n in files.children(self.spark, f"{self.path}/{token}") if "=" in n}
+        now = {b: t for b, t in places.items() if b not in set(buckets)} | dict.fromkeys(filled, token)
+        versions = self._versions()
+        number = int(versions[-1].partition("~")[0]) + 1 if versions else 1
+        text = "\n".join(f"{b} {t}" for b, t in sorted(now.items()))
+        files.create(self.spark, f"{self.path}/_versions/{number:012d}~{run}", text)
+        # Readers may still hold the versions before this one, and a retry needs the last of another run.
+        older = [v for v in versions if not v.endswith(f"~{run}")][: 1 - KEPT_VERSIONS]
+        if older:
+            kept = {x for v in self._versions() if v not in older for x in self._places(v).items()}
+            for version in older:
+                for b, t in self._places(version).items():
+                    if (b, t) not in kept:
+                        files.remove(self.spark, f"{self.path}/{t}/{self.BUCKET}={b}")
+                files.remove(self.spark, f"{self.path}/_versions/{version}")
+
+    def ensure(self) -> None:
+        if not files.exists(self.spark, self.path):
+            self.recreate()
+
+    def recreate(self) -> None:
+        files.remove(self.spark, self.path)
+        files.make_dir(self.spark, f"{self.path}/_versions")
+
+
+@dataclass(frozen=True, order=True)
+class Run:
+    """A committed run as its file's name tells: number, token of the try, name, numbers of the tries it replaces."""
+
+    number: int
+    token: str
+    name: str
+    replaces: tuple[int, ...] = ()
+
+    @property
+    def place(self) -> str:
+        return f"{ROWS}={self.number:012d}-{self.token}"
+
+    @property
+    def file(self) -> str:
+        return f"{self.number:012d}-{self.token}~{self.name}~{'.'.join(map(str, self.replaces))}"
+
+    @classmethod
+    def read(cls, file: str) -> Run:
+        place, name, replaces = file.split("~")
+        number, token = place.split("-")
+        return cls(int(number), token, name, tuple(int(n) for n in replaces.split(".") if n))
+
+
+def _number(place: str) -> int:
+    """The run number in the name of a ``rows`` directory or of a base's mark."""
+    return int(place.partition("=")[2].partition("-")[0] or place.partition("~")[2].partition("-")[0])
+
+
 class AppendTable:
+    """One writer at a time; ``compact`` may run beside it."""
+
     def __init__(
         self,
         spark: SparkSession,
@@ -93,47 +215,149 @@ class AppendTable:
     @property
     def _stored(self) -> StructType:
         fields = [StructField(EVENT_SECOND, LongType())] if self.date_from else []
-        fields += [StructField(c, StringType()) for c in self.run_columns]
+        fields.append(StructField(RUN_NUMBER, LongType()))
         if self.date_from:
             fields.append(StructField(EVENT_DATE, DateType()))
-        return StructType(self.schema.fields + fields)
+        return StructType([*self.schema.fields, *fields, StructField(ROWS, StringType())])
+
+    def _children(self, *below: str) -> list[str]:
+        return files.children(self.spark, "/".join([self.path, *[b for b in below if b]]))
 
-    def read(self, prunable: bool = False, without_run: str | None = None) -> DataFrame:
-        """All rows.
+    def _runs(self) -> list[Run]:
+        """Committed runs that are not in bases only, in order; the last one of a name is valid."""
+        return sorted(Run.read(f) for f in self._children("_runs"))
+
+    def _days(self, since: date | None = None) -> list[str]:
+        """Directories of days from ``since`` on; a table without event time has one for all rows."""
+        if not self.date_from:
+            return [""]
+        days = sorted(d for d in self._children() if d.startswith(f"{EVENT_DATE}="))
+        if since is None:
+            return days
+        return [d for d in days if d != NO_DAY and d >= f"{EVENT_DATE}={since.isoformat()[:10]}"]
+
+    def _parts(self, inside: list[str], valid: dict[str, Run]) -> tuple[list[str], int]:
+        """What a day consists of, whose directory lists ``inside``: its base and the later runs; and the number the
+        base reaches to."""
+        base = max((n for n in inside if n.startswith("_base~")), default=None)
+        upto = _number(base) if base else 0
+        parts = [f"{ROWS}={base.partition('~')[2]}-base"] if base else []
+        return parts + [n for n in inside if n in valid and valid[n].number > upto], upto
+
+    def _scan(self, paths: list[str], hidden: set[int]) -> DataFrame:
+        # The declared schema spares the inference job.
+        rows = self.spark.read.schema(self._stored).option("basePath", self.path).parquet(*paths)
+        return rows.where(~F.col(RUN_NUMBER).isin(*sorted(hidden))) if hidden else rows
+
+    def _named(self, runs: list[Run], first: str) -> set[int]:
+        """Numbers of all tries of the runs whose first column is ``first``, those in bases too."""
+        mine = {_quoted(first)} if len(self.run_columns) == 1 else {
+            n for n in [*self._children("_folded"), *[r.name for r in runs]] if n.split(",")[0] == _quoted(first)
+        }
+        found = {x for r in runs if r.name in mine for x in (r.number, *r.replaces)}
+        return found | {int(n) for name in mine for n in self._children("_folded", name)}
+
+    def read(self, prunable: bool = False, without_run: str | None = None, since: date | None = None) -> DataFrame:
+        """All rows, or those of the days from ``since`` on, of which alone files are listed.
 
         ``prunable`` adds event_date and event_second of a table with an event
         time.  ``without_run`` leaves out one run, for a retry that replaces it.
         """
         pruning = [EVENT_DATE, EVENT_SECOND] if prunable and self.date_from else []
         columns = [*self.schema.names, *pruning]
-        if not files.exists(self.spark, self.path):
-            return empty(self.spark, self._stored).select(*columns)
-        # Whole runs only: one that is being written, or broke, has no mark of success.
-        runs = files.matching(self.spark, "/".join([self.path, *["*"] * len(self.run_columns), "_SUCCESS"]))
-        if not runs:
-            return empty(self.spark, self._stored).select(*columns)
-        # The declared schema spares the inference job and keeps run ids text.
-        rows = self.spark.read.schema(self._stored).option("basePath", self.path)
-        rows = rows.parquet(*[r.rpartition("/")[0] for r in runs])
+        runs = self._runs()
+        hidden = {n for r in runs for n in r.replaces}
         if without_run is not None:
-            rows = rows.where(F.col(self.run_columns[0]) != without_run)
-        return rows.select(*columns)
+            hidden |= self._named(runs, without_run)
+        valid = {r.place: r for r in runs if r.number not in hidden}
+        paths = [
+            "/".join([p for p in (self.path, day, part) if p])
+            for day in self._days(since)
+            for part in self._parts(self._children(day), valid)[0]
+        ]
+        if not paths:
+            return empty(self.spark, self._stored).select(*columns)
+        # Directories of replaced runs are not read; only bases may hold rows of such.
+        merged = any(p.endswith("-base") for p in paths)
+        return self._scan(paths, hidden if merged else set()).select(*columns)
 
     def write_run(self, rows: DataFrame, *run: object) -> None:
-        """Write the rows of one run, replacing what that run wrote before."""
+        """Write the rows of one run, replacing what that run wrote before.  Readers see
+        the earlier rows until the new ones are whole."""
         if len(run) != len(self.run_columns):
             raise ValueError(f"{self.name} needs {self.run_columns}")
-        where = "/".join([self.path, *[f"{c}={v}" for c, v in zip(self.run_columns, run)]])
-        rows = rows.select(*self.schema.names)
+        name = ",".join(map(_quoted, run))
+        runs = self._runs()
+        earlier = {x for r in runs if r.name == name for x in (r.number, *r.replaces)}
+        earlier |= {int(n) for n in self._children("_folded", name)}
+        # A token keeps apart what a broken try of the same number has left.
+        last = runs[-1].number if runs else 0
+        new = Run(last + 1, uuid.uuid4().hex[:12], name, tuple(sorted(earlier)))
+        stored = {RUN_NUMBER: F.lit(new.number).cast("long"), ROWS: F.lit(new.place.partition("=")[2])}
         if self.date_from:
             event_ts = F.col(self.date_from)
-            rows = rows.withColumns(
-                {EVENT_SECOND: epoch_seconds(event_ts), EVENT_DATE: event_ts.cast("date")}
-            )
-        writer = rows.write.mode("overwrite")
-        if self.date_from:
-            writer = writer.partitionBy(EVENT_DATE)
-        writer.parquet(where)
+            stored |= {EVENT_SECOND: epoch_seconds(event_ts), EVENT_DATE: event_ts.cast("date")}
+        levels = [EVENT_DATE, ROWS] if self.date_from else [ROWS]
+        rows = rows.select(*self.schema.names).withColumns(stored)
+        rows.write.mode("append").partitionBy(*levels).parquet(self.path)
+        files.create(self.spark, f"{self.path}/_runs/{new.file}")
+
+    def compact(self, before: date | None = None) -> int:
+        """Merge the runs of each day before ``before`` (of all days without it) to one base; returns how many
+        days were written.
+
+        Readers see a day's runs or its base.  What a base replaces stays until the next call, for those
+        who still read it.  A run whose rows lie in bases only leaves the list that every reader reads.
+        """
+        runs = self._runs()
+        if not runs:
+            return 0
+        upto = runs[-1].number
+        hidden = {n for r in runs for n in r.replaces}
+        valid = {r.place: r for r in runs if r.number not in hidden}
+        replays = [(old, r.number) for r in runs for old in r.replaces]
+        inside = {day: self._children(day) for day in self._days()}
+        reached: dict[str, int] = {}
+        todo = []
+        for day, names in inside.items():
+            parts, base = self._parts(names, valid)
+            closed = before is None or day in ("", NO_DAY) or day < f"{EVENT_DATE}={before.isoformat()[:10]}"
+            stale = any(old <= base < new for old, new in replays)
+            reached[day] = base
+            if closed and parts and (stale or len(parts) > (base > 0)):
+                todo.append((day, parts, base))
+
+        def merge(day: str, parts: list[str], base: int) -> None:
+            where = "/".join([p for p in (self.path, day) if p])
+            paths = [f"{where}/{p}" for p in parts]
+            count = -(-sum(files.size(self.spark, p) for p in paths) // FILE_BYTES)
+            rows = self._scan(paths, hidden).drop(EVENT_DATE, ROWS)
+            if self.date_from:
+                rows = rows.repartitionByRange(count, EVENT_SECOND) if count > 1 else rows.coalesce(1)
+                rows = rows.sortWithinPartitions(EVENT_SECOND)
+            else:
+                rows = rows.repartition(count) if count > 1 else rows.coalesce(1)
+            place = f"{upto:012d}-{uuid.uuid4().hex[:12]}"
+            rows.write.parquet(f"{where}/{ROWS}={place}-base")
+            files.create(self.spark, f"{where}/_base~{place}")
+            reached[day] = upto
+            # What the base before this one had replaced, and what broken tries have left.
+            for name in inside[day]:
+                if name.startswith((f"{ROWS}=", "_base~")) and name not in parts and _number(name) <= base:
+                    files.remove(self.spark, f"{where}/{name}")
+
+        with ThreadPoolExecutor(4) as pool:  # days do not depend on each other
+            list(pool.map(lambda x: merge(*x), todo))
+        # A run that lies outside bases, or replaces rows in one, stays in the list.  So does the last one: it numbers the next.
+        for r in runs[:-1]:
+            outside = any(r.place in names and reached[day] < r.number for day, names in inside.items())
+            needed = any(old <= base < r.number for old in r.replaces for base in reached.values())
+            if r.number not in hidden and (outside or needed):
+                continue
+            if r.number not in hidden:
+                files.create(self.spark, f"{self.path}/_folded/{r.name}/{r.number:012d}")
+            files.remove(self.spark, f"{self.path}/_runs/{r.file}")
+        return len(todo)
 
     def ensure(self) -> None:
         if not files.exists(self.spark, self.path):
@@ -141,7 +365,12 @@ class AppendTable:
 
     def recreate(self) -> None:
         files.remove(self.spark, self.path)
-        empty(self.spark, self.schema).write.mode("overwrite").parquet(self.path)
+        files.make_dir(self.spark, f"{self.path}/_runs")
+
+
+def _quoted(value: object) -> str:
+    """A run's column as part of a file name."""
+    return quote(str(value), safe="").replace("~", "%7E")
 
 
 def not_before(rows: DataFrame, ts: Column) -> DataFrame:

@@ -106,6 +106,7 @@ def test_blocks_do_not_change_what_is_cut(spark, monkeypatch):
         monkeypatch.setattr(C, "blocks", lambda _, parts=parts: iter(parts))
         clean = C.remove(docs, bench)
         assert clean.schema == docs.schema
+        assert clean.columns == docs.columns  # among them all names that the stage uses
         out = clean.collect()
         assert len(out) == len(rows) and {(r.doc_id, r.text) for r in out} == want
         assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in out)

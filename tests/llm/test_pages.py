@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,3 +93,55 @@ def test_text_in_odd_places_is_shown(source):
 
 def test_depth_within_a_row():
     assert extract_text("<table><tr>" + "<div>" * 20000 + "x<td>cell").split() == ["x", "cell"]
+
+
+SPANS = {
+    "<table><tr><td colspan=2>wide one<td>c<tr><td>a<td>bb<td>d</table>": "wide one  c\na  bb     d",
+    "<table><tr><td rowspan=2>r<td>x<tr><td>y<tr><td>p<td>q</table>": "r  x\n   y\np  q",
+    "<table><tr><td colspan=900>a<td>b<tr><td>c</table>": "a  b\nc",
+    "<table><tr><td colspan=x rowspan=0>a<td>b</table>": "a  b",
+    "<ol><li>a<li value=7>b<li>c</ol>": "1. a\n7. b\n8. c",
+    "<svg><text><![CDATA[a<b>]]></text></svg>x": "a<b> x",
+    "<math><mtext><![CDATA[p > q]]></mtext></math>": "p > q",
+    "<a href='q>r'>s</a>": "s",
+    "<a href='q>r": "<a href='q>r",
+}
+
+
+@pytest.mark.parametrize("source", SPANS)
+def test_spans_and_numbers(source):
+    assert extract_text(source) == SPANS[source]
+
+
+def test_tables_nest_to_any_depth():
+    found = extract_text("<table><tr><td>a" * 100_000)
+    assert found == " ".join("a" * 100_000)
+
+
+LONG = {
+    "tag ends": "if (a<b && c<d) ",
+    "names": "a<b&&c<d&&",
+    "quotes": '<a "',
+    "both quotes": "<a \"'",
+    "declarations": "<!x",
+    "paragraphs": "<div><p>x",
+    "lists": "<ul><li>x",
+    "end tags": "<b></i></u>",
+    "buttons": "<p><button><b><div>",
+    "svg": "<svg><text>x",
+}
+
+
+@pytest.mark.parametrize("name", LONG)
+def test_time_is_in_proportion_to_the_page(name):
+    """Twice the page takes about twice the time; with a search from each place it would take four times."""
+
+    def seconds(size):
+        page, tries = LONG[name] * (size // len(LONG[name])) + ">", []
+        for _ in range(2):
+            begun = time.perf_counter()
+            extract_text(page)
+            tries.append(time.perf_counter() - begun)
+        return min(tries)
+
+    assert seconds(800_000) < 3.2 * seconds(400_000) + 0.2

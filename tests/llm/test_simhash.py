@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import xxhash
 from pyspark.sql import functions as F
@@ -187,3 +189,19 @@ def test_similar_connects_what_similar_pairs_connect():
             a, b = S.similar(ids, sets_, sides, 0.8)
             i, j = np.array(want).T
             assert sets(0, a, b, ids) == sets(0, i, j, ids)
+
+
+def test_repeated_rows_leave_the_first_of_them(spark):
+    """Rows equal in id and text may differ elsewhere; rows without an id are never repeated ones."""
+    text, other = sentence(1, 40), sentence(2, 40)
+    rows = [(1, text, "en", s, 3) for s in ("b", "a", "c", "a")] + [(2, other, "fr", "x", 1), (2, other, "de", "x", 1), (2, text, "de", "x", 1)]
+    rows += [(None, text, "en", "a", 3)] * 3 + [(None, other, "en", s, 3) for s in "ab"] + [(3, None, "en", None, None)] * 2
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    want = [(1, text, "en", "a", 3), (3, None, "en", None, None), *rows[7:12]]
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        docs = spark.createDataFrame(rows, schema).repartition(3 + seed)
+        kept = S.one_of_each(docs)
+        assert kept.schema == docs.schema
+        # The second document has a text of the first, and goes with all its rows.
+        assert sorted(map(repr, map(tuple, kept.collect()))) == sorted(map(repr, want))

@@ -4,17 +4,20 @@ import random
 
 from pyspark.sql import DataFrame, SparkSession
 
-SCHEMA = (
-    "doc_id bigint, text string, lang string, source string, n_chars bigint, "
+#: Columns beside those of a documents table, of names that operators use inside.
+EXTRA = (
     "n_words bigint, names string, part int, key string, votes int, rank int, spans string, fp string, x double, "
-    "shard int, text_key string, label int, one int, start int"
+    "shard int, text_key string, label int, one int, start int, named string, text_now string, id bigint, drop boolean, "
+    "times bigint, least bigint, node bigint, wanted bigint, items string, more_id bigint, token bigint, n bigint, size bigint, group bigint"
 )
+SCHEMA = f"doc_id bigint, text string, lang string, source string, n_chars bigint, {EXTRA}"
 
 
 def documents(spark: SparkSession, rows: list[tuple]) -> DataFrame:
-    """A documents table of (doc_id, text) with further columns whose names operators use inside."""
+    """A documents table of (doc_id, text) with the further columns."""
+    none = [None] * (EXTRA.count(",") + 1)
     return spark.createDataFrame(
-        [(i, t, "en", None, None if t is None else len(t), *[None] * 14) for i, t in rows], SCHEMA
+        [(i, t, "en", None, None if t is None else len(t), *none) for i, t in rows], SCHEMA
     )
 
 

@@ -1,13 +1,16 @@
+from datetime import datetime
+
 import pytest
+from pyspark.sql import functions as F
 
-from tallystar.operators import quality, seeds
+from tallystar.operators import facts, quality, seeds
 from tallystar.operators.dims import (
     BRANCH,
     COMPANY,
     EMPLOYEE,
     ORGANISATION,
     dim_upsert,
-    last_seconds_only,
+    last_rows,
     org_columns_select,
 )
 from tests.util import raw_frame, rows_of
@@ -73,17 +76,45 @@ def test_org_columns_keep_event_grain(spark, sf):
         assert rows.count() == raw.count(), name
 
 
-@pytest.mark.parametrize("bound", [500_000, 1])
-def test_narrowing_changes_no_dimension(spark, sf, bound):
+def test_last_rows_change_no_dimension(spark, sf):
+    from checks import fixtures
+
+    raw = fixtures.raw(spark, sf)
+    heads, count, upto = last_rows(raw, ORGANISATION)
+    assert heads.count() < raw.count() / 2
+    assert count == raw.count() and upto == raw.agg(F.max("event_ts")).first()[0]
+    assert last_rows(raw.where("false"), ORGANISATION)[1:] == (0, None)
+    for d in ORGANISATION:
+        assert rows_of(d.latest(heads), *d.schema.names) == rows_of(d.latest(raw), *d.schema.names)
+
+
+def test_extremes_are_hashed(spark, sf):
     from checks import fixtures
 
     raw = fixtures.raw(spark, sf)
-    with last_seconds_only(raw, max_broadcast_keys=bound) as narrowed:
-        assert (narrowed.count() < raw.count() / 2) == (bound > 1)
-        for d in ORGANISATION:
-            assert rows_of(d.latest(narrowed), *d.schema.names) == rows_of(
-                d.latest(raw), *d.schema.names
-            )
+    plans = [d.latest(raw) for d in ORGANISATION] + [d.first(raw) for d in ORGANISATION]
+    plans += [quality.dedupe_by_key(raw), facts.project_first_seen(raw)]
+    for rows in plans:
+        rows.collect()
+        assert "SortAggregate" not in rows._jdf.queryExecution().toString()
+
+
+def test_ties_beyond_the_number_are_settled(spark):
+    """Fractions of a second, long ids with one beginning, ids that begin each other, and no id at all."""
+    base = datetime(2025, 1, 1, 0, 0, 0, 5)
+    ids = ["event-000000001", "event-000000002", "event-0", "event-", None, "\u00e9vent", "\U0001f999"]
+    rows = [{"event_id": i, "event_ts": base, "branch_name": repr(i)} for i in ids]
+    rows += [{"event_id": "z", "event_ts": base.replace(microsecond=4), "branch_name": "before"}]
+    for n in range(len(ids)):
+        some = raw_frame(spark, *rows[n:])
+        known = [i for i in ids[n:] if i is not None]
+        last = max(known, key=lambda i: i.encode())
+        assert BRANCH.latest(some).first().branch_name == repr(last)
+        assert BRANCH.first(some).first().branch_name == "before"
+        first = None if None in ids[n:] else min(known, key=lambda i: i.encode())
+        assert BRANCH.first(raw_frame(spark, *rows[n:-1])).first().branch_name == repr(first)
+    old = raw_frame(spark, {"event_id": "1", "event_ts": datetime(1, 1, 1)}, {"event_id": "2", "event_ts": None})
+    assert facts.project_first_seen(old).first().created_at == datetime(1, 1, 1)
 
 
 def test_seeds(spark):

@@ -1,5 +1,7 @@
 """Time dimensions, facts, catalog and roll-ups on small literal input."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,3 +147,24 @@ def test_top_employees_ties_by_id(spark):
     employees = raw.select("employee_id", "employee_name").distinct()
     top = analytics.top_employees(raw, employees, n=3)
     assert rows_of(top, "place", "employee_id") == [(1, "E4"), (2, "E5"), (3, "E2")]
+
+
+def test_a_country_sized_box_makes_few_cells(spark):
+    boxes = spark.createDataFrame(
+        [("IN", "n", "c", 6.5, 35.5, 68.1, 97.4), ("TINY", "n", "c", 50.0, 50.01, 10.0, 10.01), ("POINT", "n", "c", 1.0, 1.0, 1.0, 1.0),
+         ("EARTH-S", "n", "c", -90.0, 0.0, -180.0, 180.0), ("NONE", "n", "c", 60.0, 59.0, 0.0, 1.0)],
+        schemas.DIM_REGION_BOX,
+    )
+    rng = random.Random(1)
+    points = [(str(n), rng.uniform(-90, 60), rng.uniform(-180, 180)) for n in range(500)]
+    points += [(f"i{n}", rng.uniform(6, 36), rng.uniform(68, 98)) for n in range(300)]
+    points += [("edge", 35.5, 97.4), ("tiny", 50.005, 10.01), ("point", 1.0, 1.0), ("none", None, 1.0), ("nan", float("nan"), 1.0)]
+    frame = spark.createDataFrame(points, "id string, lat double, lon double")
+    found = dict(rows_of(analytics.region_by_box(frame, boxes), "id", "box_region"))
+    assert len(found) == len(points)
+    every = boxes.collect()
+    for name, lat, lon in points:
+        inside = [b.region_code for b in every if lat is not None and b.min_lat <= lat <= b.max_lat and b.min_lon <= lon <= b.max_lon]
+        assert found[name] == (inside[0] if inside else None), name
+    plan = analytics.region_by_box(frame, boxes)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 3

@@ -56,8 +56,7 @@ def test_bootstrap(spark, root):
     assert mark(warehouse) == at(RUN_TS)
 
 
-@pytest.mark.parametrize("narrow_above", [silver.NARROW_ABOVE, 0])
-def test_incremental_runs_equal_one_run(spark, sf, root, one_run, narrow_above):
+def test_incremental_runs_equal_one_run(spark, sf, root, one_run):
     warehouse = Warehouse(spark, root)
     raw = fixtures.raw(spark, sf)
     cuts = ["2023-12-31", "2024-01-08", "2024-01-15", "2024-01-23", "2024-02-01"]
@@ -65,7 +64,7 @@ def test_incremental_runs_equal_one_run(spark, sf, root, one_run, narrow_above):
     for n, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
         part = raw.where(f"event_ts > timestamp_ntz'{lo}' AND event_ts <= timestamp_ntz'{hi}'")
         warehouse.raw.write_run(part, "t", n)
-        loaded += silver_run(warehouse, RUN_TS, narrow_above=narrow_above)["raw_loaded"]
+        loaded += silver_run(warehouse, RUN_TS)["raw_loaded"]
     assert loaded == 1000
     assert contents(warehouse) == one_run
     assert mark(warehouse) == raw.agg(F.max("event_ts")).first()[0]
@@ -216,9 +215,10 @@ def test_readers_see_whole_runs_only(spark, root):
     warehouse = Warehouse(spark, root)
     for n in range(2):
         warehouse.raw.write_run(raw_frame(spark, {"event_id": str(n), "event_ts": "2025-01-01 10:00:00"}), "t", n)
-    files.remove(spark, f"{warehouse.raw.path}/source=t/batch_id=1/_SUCCESS")
+    first, second = sorted(files.children(spark, f"{warehouse.raw.path}/_runs"))
+    files.remove(spark, f"{warehouse.raw.path}/_runs/{second}")
     assert rows_of(warehouse.raw.read(), "event_id") == [("0",)]
-    files.remove(spark, f"{warehouse.raw.path}/source=t/batch_id=0/_SUCCESS")
+    files.remove(spark, f"{warehouse.raw.path}/_runs/{first}")
     assert warehouse.raw.read().count() == 0
 
 

@@ -1,7 +1,7 @@
 """Type-2 users and the point-in-time lookup, against plain row-by-row replays."""
 
 import random
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -207,3 +207,58 @@ def test_published_counts(spark):
     history = scd2.scd2_history(raw)
     assert (after_two.count(), history.count()) == (300, 1777)
     assert scd2.fact_user_watch(raw, history).count() == 10_000
+
+
+def overlapping(spark, n, seed=1, fractions=True):
+    """Versions of one user that overlap, with odd ends, and events all over them."""
+    rng = random.Random(seed)
+    begin = datetime(2025, 1, 1)
+
+    def instant():
+        at_ = begin + timedelta(seconds=rng.randint(0, 5_000))
+        return at_ + timedelta(microseconds=rng.choice([0, 0, 250_000, 999_999])) if fractions else at_
+
+    versions = []
+    for k in range(n):
+        low = instant()
+        high = rng.choice([low, instant(), low + timedelta(seconds=rng.randint(0, 3)), datetime(9999, 12, 31, 23, 59, 59)])
+        versions.append((f"sk{k}", rng.choice(["U1", "U1", "U2", None]), low, high))
+    events = [(f"e{k % (n - 5)}", rng.choice(["U1", "U2", None]), instant()) for k in range(n)]
+    return (
+        versions,
+        events,
+        spark.createDataFrame(versions, "user_sk string, user_id string, effective_from timestamp_ntz, effective_to timestamp_ntz"),
+        spark.createDataFrame(events, "event_id string, user_id string, event_ts timestamp_ntz"),
+    )
+
+
+@pytest.mark.parametrize("fractions", [False, True])
+def test_overlapping_versions_equal_brute_force(spark, fractions):
+    versions, events, v, e = overlapping(spark, 120, fractions=fractions)
+    best = {}
+    for name, user, ts in events:
+        for sk, of, low, high in versions:
+            if user is not None and of == user and low <= ts < high:
+                order = (-int((ts - datetime(1970, 1, 1)).total_seconds() // 1), low, sk)
+                if name not in best or order > best[name][0]:
+                    best[name] = (order, (name, sk, low, high))
+    found = scd2.asof_lookup(e, v, disjoint=False)
+    assert rows_of(found, "event_id", "user_sk", "effective_from", "effective_to") == sorted(r for _, r in best.values())
+
+
+def test_a_hundred_thousand_overlapping_versions_make_no_pairs(spark):
+    seconds = "timestamp_ntz'2025-01-01 00:00:00' + make_dt_interval(0, 0, 0, {})"
+    versions = spark.range(100_000).selectExpr(
+        "concat('sk', id) AS user_sk", "'U1' AS user_id", f"{seconds.format('id % 60000')} AS effective_from",
+        f"{seconds.format('id % 60000 + 30000')} AS effective_to",
+    )
+    events = spark.range(100_000).selectExpr(
+        "concat('e', id) AS event_id", "'U1' AS user_id", f"{seconds.format('id')} AS event_ts"
+    )
+    found = scd2.asof_lookup(events, versions, disjoint=False)
+    # The last start up to the event, and of two that start together the greater key.
+    got = found.select("event_id", "user_sk").collect()
+    assert len(got) == 89_999
+    for r in got[::997]:
+        n = min(int(r.event_id[1:]), 59_999)
+        assert r.user_sk == max(f"sk{k}" for k in (n, n + 60_000) if k < 100_000)
