@@ -206,7 +206,7 @@ def parse(source: str) -> Node:
 
     at = 0
     while True:
-        start, end, slash, tag, inside = scan.token(at, bool(open_[-1].inner_space()))
+        start, end, slash, tag, inside = scan.token(at, bool(open_[-1].space))
         text(source[at : start if start >= 0 else len(source)])
         at = end
         if start < 0:
