@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 CUT = "2024-01-15 00:00:00"
 
+# Names of companies, branches, cities and regions, and the forms of ids, as the event producer gives them.
 _ADAPTER = """
 WITH b AS (
   SELECT event_id AS i, user_id AS u, {trunc} AS event_ts, value,

@@ -143,14 +143,15 @@ WIDE = f"""wide AS (
   LEFT JOIN dim_branch b ON b.branch_id = e.branch_id
   LEFT JOIN dim_company c ON c.company_id = b.company_id)"""
 
-EXPORT_COUNTS = " UNION ALL ".join(
+EXPORTED = " UNION ALL ".join(
     [
-        f"SELECT '{t}' AS table_name, '{','.join(PLAIN[t])}' AS header, count(*) AS row_count FROM {t}"
+        f"SELECT '{t}' AS table_name, '{','.join(PLAIN[t])}' AS line, count(*) AS row_count FROM {t} "
+        f"UNION ALL SELECT '{t}', {" || ',' || ".join(f"coalesce({c}, '')" for c in PLAIN[t])}, 1 FROM {t}"
         for t in DIMS
     ]
     + [
         "SELECT 'fact_user_activity' AS table_name, "
-        f"'{','.join(literals.FACT_USER_ACTIVITY)}' AS header, count(*) AS row_count FROM fact"
+        f"'{','.join(literals.FACT_USER_ACTIVITY)}' AS line, count(*) AS row_count FROM fact"
     ]
 )
 
@@ -236,8 +237,17 @@ ORACLE: dict[str, str] = {
         "substr(user_id, 2) AS user_id" if c == "user_id" else c for c in literals.RAW_USER
     )
     + f" FROM raw WHERE event_ts > TIMESTAMP '{CUT}'",
-    "csv_export": ctes(*DIM_CTES, FACT) + EXPORT_COUNTS,
-    "csv_scan": ctes(FACT) + "SELECT * FROM fact",
+    "csv_export": ctes(*DIM_CTES, FACT) + EXPORTED,
+    "csv_scan": ctes(*DIM_CTES)
+    + " UNION ALL ".join(
+        [f"SELECT '{t}' AS table_name, {joined(PLAIN[t])} AS content, CAST(0.0 AS DOUBLE) AS watch_time FROM {t}" for t in DIMS]
+        + [
+            "SELECT 'fact_user_activity', "
+            + joined([text(c) if c.endswith("_ts") else c for c in literals.FACT_USER_ACTIVITY if c != "watch_time"])
+            + ", watch_time FROM raw"
+        ]
+    ),
+    "csv_export_by_days": ctes(FACT) + "SELECT * FROM fact",
     "table_recreate": ctes(*DIM_CTES)
     + """SELECT 'filled' AS step, count(*) AS row_count FROM dim_employee
       UNION ALL SELECT 'recreated', 0""",
@@ -307,7 +317,11 @@ ORACLE: dict[str, str] = {
     **{t: ctes() + pick(t) for t in DIMS},
     **{f"{t}_first": ctes() + pick(t, last=False) for t in DIMS},
     "dim_upsert": ctes(*BATCHES)
-    + upserted(pick("dim_employee", "one"), pick("dim_employee", "two"), "employee_id"),
+    + " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, {joined(PLAIN[t])} AS columns FROM "
+        f"({upserted(pick(t, 'one'), pick(t, 'two'), DIMS[t][0])}) u"
+        for t in DIMS
+    ),
     "seed_dims": ctes(*DIM_CTES)
     + " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, {joined(PLAIN[t])} AS columns FROM "

@@ -219,31 +219,64 @@ def _exported(spark, sf) -> tuple[str, dict]:
     return directory, tables
 
 
+def _csv_lines(spark, path: str) -> DataFrame:
+    """Lines of a snapshot, each file's header among them."""
+    return spark.read.option("lineSep", "\r\n").option("recursiveFileLookup", True).text(path)
+
+
 @query
 def csv_export(spark, sf):
+    """Headers, the dimensions' lines as they stand, and how many lines the fact has."""
     directory, tables = _exported(spark, sf)
     reports = []
     for name, rows in tables.items():
         if not files.exists(spark, f"{directory}/{name}.csv"):
             continue
         header = ",".join(rows.columns)
-        lines = spark.read.text(f"{directory}/{name}.csv")
-        reports.append(
-            lines.agg(F.count_if(F.col("value") != header).alias("row_count")).select(
-                F.lit(name).alias("table_name"), F.lit(header).alias("header"), "row_count"
+        lines = _csv_lines(spark, f"{directory}/{name}.csv")
+        count = lines.agg(F.count_if(F.col("value") != header).alias("row_count"))
+        reports.append(count.select(F.lit(name).alias("table_name"), F.lit(header).alias("line"), "row_count"))
+        if name != "fact_user_activity":
+            reports.append(
+                lines.where(F.col("value") != header).select(
+                    F.lit(name).alias("table_name"), F.col("value").alias("line"), F.lit(1).cast("long").alias("row_count")
+                )
             )
-        )
     return union(reports)
 
 
 @query
 def csv_scan(spark, sf):
+    """All tables of a snapshot read back."""
     directory, _ = _exported(spark, sf)
-    return csv_snapshots.csv_scan(
-        spark, f"{directory}/fact_user_activity.csv", schemas.FACT_USER_ACTIVITY
+    parts = []
+    for d in dims.ORGANISATION:
+        rows = csv_snapshots.csv_scan(spark, f"{directory}/{d.table}.csv", d.schema)
+        parts.append((d.table, rows, d.schema.names, F.lit(0.0)))
+    fact = csv_snapshots.csv_scan(spark, f"{directory}/fact_user_activity.csv", schemas.FACT_USER_ACTIVITY)
+    described = [c for c in schemas.FACT_USER_ACTIVITY.names if c != "watch_time"]
+    parts.append(("fact_user_activity", fact, described, F.col("watch_time")))
+    return union(
+        [
+            rows.select(F.lit(name).alias("table_name"), F.concat_ws("|", *columns).alias("content"), measure.alias("watch_time"))
+            for name, rows, columns, measure in parts
+        ]
     )
 
 
+@query
+def csv_export_by_days(spark, sf):
+    """The fact's snapshot after two runs that export and one between that does not."""
+    warehouse = Warehouse(spark, files.shared_dir(spark, "warehouse"))
+    directory = files.shared_dir(spark, "export")
+    first, second = fixtures.two_batches(fixtures.raw(spark, sf))
+    later = F.col("event_ts") > F.lit("2024-01-25").cast("timestamp_ntz")
+    for n, (batch, export) in enumerate(((first, directory), (second.where(~later), None), (second.where(later), directory))):
+        warehouse.raw.write_run(batch, "test", n)
+        silver_run(warehouse, RUN_TS, export_dir=export)
+    return csv_snapshots.csv_scan(spark, f"{directory}/fact_user_activity.csv", schemas.FACT_USER_ACTIVITY)
+
+
 def _table_sizes(table, *steps) -> DataFrame:
     sizes = []
     for name, step in steps:
@@ -440,9 +473,16 @@ _register_dimensions()
 
 @query
 def dim_upsert(spark, sf):
+    """All five dimensions of the first batch, replaced by those of the second."""
     first, second = fixtures.two_batches(fixtures.raw(spark, sf))
-    d = dims.EMPLOYEE
-    return dims.dim_upsert(d.latest(first), d.latest(second), d.key)
+    return union(
+        [
+            dims.dim_upsert(d.latest(first), d.latest(second), d.key).select(
+                F.lit(d.table).alias("table_name"), F.concat_ws("|", *d.schema.names).alias("columns")
+            )
+            for d in dims.ORGANISATION
+        ]
+    )
 
 
 @query
@@ -484,7 +524,12 @@ def seed_region_boxes(spark, sf):
 # -- 2.5 time -------------------------------------------------------------------------
 @query
 def dim_time(spark, sf):
-    return calendar.dim_time_spanning(fixtures.raw(spark, sf))
+    """The seeded form, from the first day of the events for as many days as they cover."""
+    days = fixtures.raw(spark, sf).agg(
+        F.min("event_ts").cast("date").alias("first"), F.max("event_ts").cast("date").alias("last")
+    )
+    first, last = days.first()
+    return calendar.dim_time(spark, f"{first} 00:00:00", (last - first).days + 1)
 
 
 @query

@@ -22,7 +22,7 @@ from tallystar.operators.watermark import (
     watermark_read,
 )
 from tallystar.plans.warehouse import Warehouse
-from tallystar.sources.csv_snapshots import csv_export
+from tallystar.sources.csv_snapshots import csv_export, csv_export_days
 from tallystar.sources.rows import literal_rows, one_row
 from tallystar.sources.tables import not_before
 
@@ -164,8 +164,8 @@ def silver_run(
         warehouse.register_counts(run_ts)
     if export_dir:
         tables = {name: warehouse.dims[name].read() for name in EXPORTED}
-        tables["fact_user_activity"] = warehouse.fact.read()
         csv_export(tables, export_dir, one_file=EXPORTED)
+        csv_export_days(warehouse.fact, export_dir)
     return counts
 
 

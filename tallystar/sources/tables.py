@@ -24,7 +24,7 @@ Parquet row groups are skipped by the statistics of a bigint, not of a TIMESTAMP
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
@@ -257,8 +257,23 @@ class AppendTable:
         found = {x for r in runs if r.name in mine for x in (r.number, *r.replaces)}
         return found | {int(n) for name in mine for n in self._children("_folded", name)}
 
-    def read(self, prunable: bool = False, without_run: str | None = None, since: date | None = None) -> DataFrame:
-        """All rows, or those of the days from ``since`` on, of which alone files are listed.
+    def changed_days(self, after: int) -> tuple[list[str], int]:
+        """Directories of the days that runs with a number above ``after`` may have changed, and the last run's number."""
+        runs = self._runs()
+        late = [r for r in runs if r.number > after]
+        days = self._days()
+        if not any(r.replaces for r in late):  # what a replaced run held may be on any day
+            days = [d for d in days if any(n.startswith(f"{ROWS}=") and _number(n) > after for n in self._children(d))]
+        return days if late else [], runs[-1].number if runs else after
+
+    def read(
+        self,
+        prunable: bool = False,
+        without_run: str | None = None,
+        since: date | None = None,
+        days: Collection[str] | None = None,
+    ) -> DataFrame:
+        """All rows, or those of the days from ``since`` on or of the directories ``days``, of which alone files are listed.
 
         ``prunable`` adds event_date and event_second of a table with an event
         time.  ``without_run`` leaves out one run, for a retry that replaces it.
@@ -273,6 +288,7 @@ class AppendTable:
         paths = [
             "/".join([p for p in (self.path, day, part) if p])
             for day in self._days(since)
+            if days is None or day in days
             for part in self._parts(self._children(day), valid)[0]
         ]
         if not paths:

@@ -5,8 +5,9 @@ import pytest
 from tallystar import schemas
 from tallystar.functions.timestamps import as_wall_clock
 from tallystar.operators.dims import COMPANY
+from tallystar.operators.facts import fact_project
 from tallystar.sources import files
-from tallystar.sources.csv_snapshots import csv_export, csv_scan
+from tallystar.sources.csv_snapshots import csv_export, csv_export_days, csv_scan
 from tallystar.sources.tables import KEPT_VERSIONS, AppendTable, SnapshotTable, not_before
 from tests.util import raw_frame, rows_of
 
@@ -127,3 +128,35 @@ def test_shared_dir_follows_the_session(spark):
     assert named.startswith("hdfs://x/shared/job-")
     with pytest.raises(ValueError):
         files.shared_dir(session("yarn", None), "job")
+
+
+def test_exports_write_changed_days_only(spark, root):
+    table = AppendTable(spark, f"{root}/w", "fact", schemas.FACT_USER_ACTIVITY, date_from="event_ts")
+
+    def run(name, *days):
+        events = [{"event_id": f"{name}{d}", "event_ts": f"2025-01-{d:02d} 10:00:00", "username": 'a "b"\nc'} for d in days]
+        table.write_run(fact_project(raw_frame(spark, *events), "2025-02-01 00:00:00"), name)
+
+    def exported():
+        path = f"{root}/csv/fact.csv"
+        rows = csv_scan(spark, path, schemas.FACT_USER_ACTIVITY)
+        assert rows_of(rows, *rows.columns) == rows_of(table.read(), *rows.columns)
+        return {d: files.children(spark, f"{path}/{d}") for d in files.children(spark, path) if d.startswith("event_date=")}
+
+    assert csv_export_days(table, f"{root}/csv") == 0
+    run("a", 1, 2, 3)
+    run("b", 3, 4)
+    assert csv_export_days(table, f"{root}/csv") == 4
+    before = exported()
+    assert csv_export_days(table, f"{root}/csv") == 0
+    run("c", 4, 5)
+    run("d", 4)
+    assert csv_export_days(table, f"{root}/csv") == 2
+    after = exported()
+    assert {d for d in after if after[d] != before.get(d)} == {"event_date=2025-01-04", "event_date=2025-01-05"}
+    # A replay may have changed any day; compaction changes files, not rows.
+    run("a", 2, 3)
+    run("e", 1)
+    table.compact()
+    assert csv_export_days(table, f"{root}/csv") == 5
+    exported()
