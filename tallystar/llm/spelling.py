@@ -37,8 +37,8 @@ LENGTH, OCCURRENCES, EVERY = 7, 2, 31
 TIMES = 10
 #: Stored words of a shard, and of a key that is spread over shards of its own, on average.
 SHARD_WORDS = 40_000
-#: Asking words that are searched for at once.
-ASK_WORDS = 20_000
+#: Asking words that are searched for at once, and their symbols, each as long as the longest; a longer word is searched for alone.
+ASK_WORDS, ASK_SYMBOLS = 20_000, 1 << 20
 #: States of the search that are extended at once.
 PIECE = 1 << 14
 
@@ -222,6 +222,16 @@ class Words:
         return parts
 
 
+def batches(sizes: np.ndarray) -> Iterator[slice]:
+    """Slices of ascending lengths, each of ``ASK_WORDS`` words and ``ASK_SYMBOLS`` symbols at most, or one word."""
+    begin = 0
+    while begin < len(sizes):
+        some = sizes[begin : begin + ASK_WORDS]
+        fit = int((some * np.arange(1, len(some) + 1) <= ASK_SYMBOLS).sum())
+        yield slice(begin, begin + max(1, fit))
+        begin += max(1, fit)
+
+
 def half(length: np.ndarray | int):
     """Code points in the first half of a word."""
     return length // 2
@@ -276,20 +286,21 @@ def near_words(words: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
         index = Words(frame["word"][there].to_list())
         n = dict(zip(frame["word"][there], frame["n"][there].astype("int64")))
         count = np.array([n[w] for w in index.words], np.int64)
-        ask, ends = frame["word"][~there].to_list(), frame["ends"][~there].to_numpy(bool)
+        ask, ends = frame["word"][~there].to_numpy(object), frame["ends"][~there].to_numpy(bool)
+        size = np.fromiter(map(len, ask), np.int64, len(ask))
+        order = np.argsort(size, kind="stable")
         parts = [found]
-        for k in range(0, len(ask), ASK_WORDS):
-            some = ask[k : k + ASK_WORDS]
-            at, place = index.search(some, ends[k : k + ASK_WORDS])
-            here = ends[k : k + ASK_WORDS]
+        for batch in batches(size[order]):
+            some, here = ask[order[batch]].tolist(), ends[order[batch]]
+            at, place = index.search(some, here)
             # A word that shares the first half as well is found by that one.  A shift of equal letters gives the word itself.
             fresh = [
                 index.words[p] != some[a] and not (here[a] and index.words[p].startswith(some[a][: half(len(some[a]))]))
                 for a, p in zip(at.tolist(), place.tolist())
             ]
             at, place = at[fresh], place[fresh]
-            order = np.lexsort((place, -count[place], at))
-            at, place = at[order], place[order]
+            best = np.lexsort((place, -count[place], at))
+            at, place = at[best], place[best]
             firsts = np.flatnonzero(np.r_[True, np.diff(at) != 0]) if len(at) else np.empty(0, np.int64)
             parts.append(
                 pd.DataFrame(

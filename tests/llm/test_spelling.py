@@ -115,3 +115,25 @@ def test_suffix_order():
         text = np.r_[rng.integers(1, 4, n), 0]
         want = sorted(range(n + 1), key=lambda k: text[k:].tolist())
         assert S.suffix_order(text).tolist() == want
+
+
+def test_very_long_words_beside_short_ones(spark):
+    rng = random.Random(8)
+    long = "".join(rng.choice("ab") for _ in range(2_000))
+    near_ = long[:600] + "c" + long[601:]
+    words = [long, long, near_ + "x", near_, near_, "a" * 300, "a" * 300, "a" * 301, "a" * 301]
+    rows = [(k, w + " shortish shortis") for k, w in enumerate(words)]
+    got = {r[0]: (r[4], r[3]) for r in found(spark, rows)}
+    want = {r[0]: (r[4], r[3]) for r in brute(rows)}
+    assert got == want and max(map(len, want)) >= 1_999
+
+
+def test_batches_are_bounded():
+    sizes = np.sort(np.random.default_rng(1).integers(7, 300, 70_000))
+    sizes = np.r_[sizes, 10**6, 2 * 10**6, 3 * 10**6]
+    done = 0
+    for b in S.batches(sizes):
+        n = sizes[b]
+        assert b.start == done and (len(n) == 1 or len(n) <= S.ASK_WORDS and len(n) * n[-1] <= S.ASK_SYMBOLS)
+        done = b.stop
+    assert done == len(sizes)
