@@ -1,9 +1,10 @@
 """First/last row per key, and neighbours in a per-key order.
 
-``latest_by_key``/``first_by_key`` pack the first two columns of the order into one number of
-fixed width, whose extreme per key is a hash aggregation over narrow rows: a hot key is combined on the
-map side.  The table of extremes is stored, so that its size is known when it is joined back; the few rows
-that have one settle what ties are left.  No wide row is sorted or shuffled but those.
+``latest_by_key``/``first_by_key`` aggregate the time of the order by key, a hash aggregation of one
+bigint over narrow rows: a hot key is combined on the map side.  The table of extremes is stored, so that its size is
+known when it is joined back; the few rows at such a time are stored too, and only if some share their key's time,
+the first two columns of the order, packed into one number of fixed width, say which of them to settle.  No wide row is
+sorted or shuffled but those.
 
 A per-key *order* (previous row, next row, last known value) does need a key's
 rows together.  ``add_slices`` cuts the time line of a hot key into slices of
@@ -24,6 +25,8 @@ from tallystar.sources.files import shared_dir
 
 EVENT_ORDER = ("event_ts", "event_id")
 SLICE = "_slice"
+# Before the year 1, where wall clocks begin.
+BEFORE_ALL = "0000-01-01 00:00:00"
 # Rows of one key that one task may sort; above it the key is sliced.
 MAX_ROWS_PER_GROUP = 1_000_000
 
@@ -64,14 +67,28 @@ def settle(near: DataFrame, key: str, order: Sequence[str], last: bool) -> DataF
     return near.withColumn("_turn", turn).where("_turn = 1").drop("_turn")
 
 
+def timed(rows: DataFrame, name: str) -> Column | None:
+    """A wall clock in which NULL is before all times; None for a column of another type."""
+    if rows.schema[name].dataType.simpleString() != "timestamp_ntz":
+        return None
+    return F.coalesce(F.col(name), F.lit(BEFORE_ALL).cast("timestamp_ntz"))
+
+
 def _extreme(rows: DataFrame, key: str, columns: Sequence[str], order: Sequence[str], last: bool) -> DataFrame:
-    number, _ = order_number(rows, order)
     needed = list(dict.fromkeys([key, *columns, *order]))
-    numbered = rows.select(*needed, number.alias("_number"))
-    extreme = (F.max if last else F.min)("_number").alias("_head")
-    heads = written(numbered.groupBy(F.col(key).alias("_of")).agg(extreme), "heads")
-    near = numbered.join(heads, (F.col(key) == F.col("_of")) & (F.col("_number") == F.col("_head")))
-    return settle(near.select(*needed), key, order, last).select(key, *columns)
+    best, near = F.max if last else F.min, rows.select(*needed)
+    at = timed(near, order[0])
+    if at is not None:
+        heads = written(near.groupBy(F.col(key).alias("_of")).agg(best(at).alias("_head")), "heads")
+        near = near.join(heads, (F.col(key) == F.col("_of")) & (at == F.col("_head"))).select(*needed)
+        near = written(near, "near")
+        if near.groupBy(key).count().where("count > 1").isEmpty():
+            return near.select(key, *columns)
+    number, _ = order_number(near, order)
+    numbered = near.withColumn("_number", number)
+    heads = written(numbered.groupBy(F.col(key).alias("_of")).agg(best("_number").alias("_head")), "heads")
+    ties = numbered.join(heads, (F.col(key) == F.col("_of")) & (F.col("_number") == F.col("_head")))
+    return settle(ties.select(*needed), key, order, last).select(key, *columns)
 
 
 def latest_by_key(

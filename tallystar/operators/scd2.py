@@ -285,6 +285,7 @@ def asof_lookup(
     versions: DataFrame,
     disjoint: bool = True,
     max_rows: int = MAX_ROWS_PER_GROUP,
+    few: bool = False,
 ) -> DataFrame:
     """Events with the version valid at event_ts; an event without one is dropped.
 
@@ -292,8 +293,18 @@ def asof_lookup(
     version starts, linear in both.  ``disjoint=False`` allows
     overlapping versions of a user: the latest start wins, and the result holds
     one row per event_id, its first, as the fact's primary key demands.  It costs a
-    factor of the logarithm of time, whatever overlaps.
+    factor of the logarithm of time, whatever overlaps.  ``few`` says that no user has more than a few
+    versions, disjoint ones: events are joined with all of their user's, and nothing is sorted by time.
     """
+    if few:
+        version = [F.col(c).alias(f"_{c}") for c in ("user_id", "user_sk", "effective_from", "effective_to")]
+        holds = (
+            (F.col("user_id") == F.col("_user_id"))
+            & (F.col("event_ts") >= F.col("_effective_from"))
+            & (F.col("event_ts") < F.col("_effective_to"))
+        )
+        found = [F.col(f"_{c}").alias(c) for c in ("user_sk", "effective_from", "effective_to")]
+        return events.join(versions.select(*version), holds).select(*events.columns, *found)
     if not disjoint:
         version = ("user_sk", "effective_from", "effective_to")
         order = F.struct(-epoch_seconds(F.col("event_ts")), "effective_from", "user_sk")

@@ -43,10 +43,6 @@ def _begin(warehouse: Warehouse, pipeline: str) -> tuple[datetime, int, str]:
     return mark, number, f"run-{number:08d}"
 
 
-def _bounds(batch: DataFrame):
-    return batch.agg(F.count("*").alias("row_count"), F.max("event_ts").alias("upto")).first()
-
-
 def _begin_of(warehouse: Warehouse, mark: datetime, lateness: str | None) -> datetime:
     """The time from which events may be news."""
     if lateness is None:
@@ -177,12 +173,13 @@ def user_star_run(warehouse: Warehouse, raw: DataFrame, run_ts: datetime | str)
     """
     mark, number, run_id = _begin(warehouse, RAW_TO_SILVER)
     batch = incremental_load_14col(raw, mark)
-    upto = _bounds(batch)["upto"]
-    if upto is None:
+    sums = warehouse.user_current.summed(batch, F.max("event_ts").alias("upto"))
+    if not sums:
         return {}
+    upto = max(r["upto"] for r in sums)
     # Only the buckets of the batch's users are read and rewritten.  A retry must compare with the versions from
     # before its first try.
-    touched = warehouse.user_current.touched(batch.select("user_id"))
+    touched = warehouse.user_current.of(sums)
     current = warehouse.user_current.read(touched, before_run=run_id)
     delta = scd2.scd2_delta(current, batch).persist()
     # Versions opened by this batch start after the mark, older ones do not.
@@ -193,7 +190,7 @@ def user_star_run(warehouse: Warehouse, raw: DataFrame, run_ts: datetime | str)
     # Versions closed by earlier batches end before this one begins: the delta holds
     # every version that can match, two per user at most.
     versions = delta.select("user_sk", "user_id", "effective_from", "effective_to")
-    warehouse.user_fact.write_run(scd2.fact_user_watch(batch, versions), run_id)
+    warehouse.user_fact.write_run(scd2.fact_user_watch(batch, versions, few=True), run_id)
     delta.unpersist()
     _save_mark(warehouse, RAW_TO_SILVER, upto, number)
     return {"inserts": inserts, "updates": updates}

@@ -5,7 +5,7 @@ directory and readers take the newest one that carries ``_SUCCESS``, so a run
 may read the table it is about to replace and a broken write is never seen.
 
 ``BucketTable`` holds rows by key in a fixed number of buckets.  A run replaces the buckets it touches; a
-version is one small file that names each bucket's directory.
+version is one small file that names for each bucket the directory of the run that wrote it last.
 
 ``AppendTable`` grows by named runs.  A table with an event time has a directory for each of its
 days first, in which every run has one of its own; a reader that asks for the time since a
@@ -24,15 +24,16 @@ Parquet row groups are skipped by the statistics of a bigint, not of a TIMESTAMP
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from collections.abc import Collection, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType
 
 from tallystar.functions.timestamps import epoch_seconds
 from tallystar.sources import files
@@ -98,9 +99,10 @@ class SnapshotTable:
 
 
 class BucketTable:
-    """``<table>/_versions/<number>~<run>`` lists ``<bucket> <token>``; the rows lie in ``<table>/<token>/bucket=<bucket>``."""
+    """``<table>/_versions/<number>~<run>`` lists ``<bucket> <token>``; the rows lie in ``<table>/token=<token>``, ordered by
+    their bucket, in as many files as they need.  A token ends with the number of buckets it was written with."""
 
-    BUCKET = "bucket"
+    BUCKET, TOKEN = "bucket", "token"
 
     def __init__(self, spark: SparkSession, root: str, name: str, schema: StructType, key: str, buckets: int = 1_000):
         self.spark, self.name, self.schema = spark, name, schema
@@ -109,10 +111,18 @@ class BucketTable:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int").alias(self.BUCKET)
 
+    def summed(self, rows: DataFrame, *measures: Column) -> list[Row]:
+        """Measures of the rows by their bucket, NULL for rows without a key: as many as there are buckets, and one more."""
+        bucket = F.when(F.col(self.key).isNotNull(), self._bucket()).alias(self.BUCKET)
+        return rows.groupBy(bucket).agg(*(measures or [F.count("*")])).collect()
+
     def touched(self, keys: DataFrame) -> list[int]:
         """Buckets of the keys, as many as there are buckets at most."""
-        found = keys.where(F.col(self.key).isNotNull()).select(self._bucket()).distinct().collect()
-        return sorted(r[0] for r in found)
+        return self.of(self.summed(keys))
+
+    def of(self, sums: Sequence[Row]) -> list[int]:
+        """The buckets of ``summed``."""
+        return sorted(r[self.BUCKET] for r in sums if r[self.BUCKET] is not None)
 
     def _versions(self, before_run: str | None = None) -> list[str]:
         versions = sorted(files.children(self.spark, f"{self.path}/_versions"))
@@ -127,23 +137,44 @@ class BucketTable:
     def _last(self, before_run: str | None) -> dict[int, str]:
         return self._places(next(iter(self._versions(before_run)[::-1]), None))
 
+    def _place(self, token: str) -> str:
+        return f"{self.path}/{self.TOKEN}={token}"
+
     def read(self, buckets: Sequence[int] | None = None, before_run: str | None = None) -> DataFrame:
         """The newest version, or some of its buckets; ``before_run`` skips what an earlier try of that run wrote."""
         places = self._last(before_run)
-        wanted = places if buckets is None else [b for b in buckets if b in places]
+        wanted = places if buckets is None else {b: places[b] for b in buckets if b in places}
         if not wanted:
             return empty(self.spark, self.schema)
-        paths = [f"{self.path}/{places[b]}/{self.BUCKET}={b}" for b in wanted]
-        return self.spark.read.schema(self.schema).parquet(*paths)
+        tokens = sorted(set(wanted.values()))
+        stored = StructType([*self.schema.fields, StructField(self.BUCKET, IntegerType()), StructField(self.TOKEN, StringType())])
+        rows = self.spark.read.schema(stored).option("basePath", self.path).parquet(*[self._place(t) for t in tokens])
+        if len(wanted) < len(places):  # row groups of other buckets are skipped
+            rows = rows.where(F.col(self.BUCKET).isin(*wanted))
+        if len(wanted) < sum(map(_written_buckets, tokens)):  # buckets that a later run has taken elsewhere
+            holders = F.lit([wanted.get(b, "") for b in range(self.buckets)])
+            rows = rows.where(F.get(holders, F.col(self.BUCKET)) == F.col(self.TOKEN))
+        return rows.select(*self.schema.names)
 
     def replace(self, rows: DataFrame, buckets: Sequence[int], run: str) -> None:
-        """A version in which ``buckets`` hold ``rows``, and the others what they held before the run."""
-        places, token = self._last(run), uuid.uuid4().hex[:12]
-        # As many files as the rows need: a large bucket is split, small ones share a task.
-        rows = rows.select(*self.schema.names, self._bucket()).hint("rebalance", self.BUCKET)
-        rows.write.partitionBy(self.BUCKET).parquet(f"{self.path}/{token}")
-        filled = {int(n.partition("=")[2]) for n in files.children(self.spark, f"{self.path}/{token}") if "=" in n}
-        now = {b: t for b, t in places.items() if b not in set(buckets)} | dict.fromkeys(filled, token)
+        """A version in which ``buckets`` hold ``rows``, and the others what they held before the run.
+
+        Of tokens of which less than half would be left, the rest is written anew too: what no version needs takes no more room
+        than what it needs.
+        """
+        places, mine = self._last(run), set(buckets)
+        left = Counter(t for b, t in places.items() if b not in mine)
+        thin = [b for b, t in places.items() if b not in mine and 2 * left[t] < _written_buckets(t)]
+        if thin:
+            rows = rows.select(*self.schema.names).unionByName(self.read(thin, before_run=run))
+        mine |= set(thin)
+        now = {b: t for b, t in places.items() if b not in mine}
+        if mine:
+            token = f"{uuid.uuid4().hex[:12]}-{len(mine)}"
+            # As many files as the rows need: a large bucket is split, small ones share a task.
+            rows = rows.select(*self.schema.names, self._bucket()).hint("rebalance", self.BUCKET)
+            rows.sortWithinPartitions(self.BUCKET).write.parquet(self._place(token))
+            now |= dict.fromkeys(mine, token)
         versions = self._versions()
         number = int(versions[-1].partition("~")[0]) + 1 if versions else 1
         text = "\n".join(f"{b} {t}" for b, t in sorted(now.items()))
@@ -151,11 +182,10 @@ class BucketTable:
         # Readers may still hold the versions before this one, and a retry needs the last of another run.
         older = [v for v in versions if not v.endswith(f"~{run}")][: 1 - KEPT_VERSIONS]
         if older:
-            kept = {x for v in self._versions() if v not in older for x in self._places(v).items()}
+            kept = {t for v in self._versions() if v not in older for t in self._places(v).values()}
             for version in older:
-                for b, t in self._places(version).items():
-                    if (b, t) not in kept:
-                        files.remove(self.spark, f"{self.path}/{t}/{self.BUCKET}={b}")
+                for token in set(self._places(version).values()) - kept:
+                    files.remove(self.spark, self._place(token))
                 files.remove(self.spark, f"{self.path}/_versions/{version}")
 
     def ensure(self) -> None:
@@ -384,6 +414,11 @@ class AppendTable:
         files.make_dir(self.spark, f"{self.path}/_runs")
 
 
+def _written_buckets(token: str) -> int:
+    """How many buckets a token of a ``BucketTable`` was written with."""
+    return int(token.rpartition("-")[2])
+
+
 def _quoted(value: object) -> str:
     """A run's column as part of a file name."""
     return quote(str(value), safe="").replace("~", "%7E")

@@ -222,3 +222,37 @@ def test_late_events_split_and_remove_versions(spark, root, seed):
         rows = raw_frame(spark, *events[:cut])
         user_history_run(warehouse, rows, RUN_TS, lateness="30 days")
         assert history(warehouse.user_versions.read()) == history(scd2.scd2_history(rows))
+
+
+# -- what the runs cost --------------------------------------------------------------
+def test_a_bucket_table_has_files_by_size_and_sheds_what_is_replaced(spark, root):
+    table = BucketTable(spark, root, "users", schemas.DIM_USER_SCD2, "user_id", 100)
+    every = versions(spark, *[f"u{n}" for n in range(1000)])
+    table.replace(every, table.touched(every), "r0")
+    for n in range(1, 12):  # each run replaces a sixth of the buckets, other ones each time
+        some = table.touched(every)[n % 6 :: 6]
+        rows = table.read(some).withColumn("username", F.lit(f"r{n}"))
+        table.replace(rows, some, f"r{n}")
+        assert table.read().count() == table.read().distinct().count() == 1000
+        assert table.read(some).where(f"username = 'r{n}'").count() == table.read(some).count() > 0
+        tokens = set(table._last(None).values())
+        # of what is stored, at least half is needed
+        assert sum(int(t.rpartition("-")[2]) for t in tokens) <= 2 * len(table._last(None))
+        size = sum(1 for f in table.read().inputFiles())
+        assert size <= 2 * len(tokens)
+
+
+def test_user_facts_of_a_run_are_joined(spark):
+    """Users of a run have two versions at most: no window over their events, and the result of the sorted pass."""
+    from datetime import timedelta
+
+    first = at("2025-01-01 00:00:00")
+    rows = [event(n, 1, n % 20, user_id=None if n % 11 == 0 else f"U{n % 3}") for n in range(60)]
+    events = raw_frame(spark, *rows)
+    lows = [(f"U{u}", first + timedelta(days=d)) for u in range(2) for d in (-1, 0)]
+    held = [(f"{u}-{low}", u, low, low + timedelta(days=1)) for u, low in lows]
+    held = spark.createDataFrame(held, "user_sk string, user_id string, effective_from timestamp_ntz, effective_to timestamp_ntz")
+    few = scd2.fact_user_watch(events, held, few=True)
+    assert "Window" not in few._jdf.queryExecution().optimizedPlan().toString()
+    sorted_ = scd2.fact_user_watch(events, held)
+    assert rows_of(few, "event_id", "user_sk") == rows_of(sorted_, "event_id", "user_sk")
