@@ -27,17 +27,18 @@ def dedupe_by_key(
     # Remaining columns end the order, so that equal times give one fixed answer.
     full_order = [*order, *[c for c in rows.columns if c != key and c not in order]]
     keyed = rows.where(F.col(key).isNotNull())
-    number, _ = order_number(rows, full_order)
     # Keys that repeat, from narrow rows; the wide ones of all other keys pass as they are.
-    repeated = (
-        keyed.groupBy(F.col(key).alias("_of"))
-        .agg(F.count("*").alias("_n"), F.min(number).alias("_head"))
-        .where("_n > 1")
-    )
-    known = keyed.withColumn("_number", number).join(written(repeated, "repeated"), F.col(key) == F.col("_of"), "left")
-    single = known.where(F.col("_of").isNull()).select(*rows.columns)
-    near = known.where(F.col("_number") == F.col("_head")).select(*rows.columns)
-    unique = single.unionByName(settle(near, key, full_order, last=False))
+    repeated = keyed.groupBy(F.col(key).alias("_of")).agg(F.count("*").alias("_n")).where("_n > 1").select("_of")
+    repeated, unique = written(repeated, "repeated"), keyed
+    if not repeated.isEmpty():
+        number, _ = order_number(rows, full_order)
+        same = F.col(key) == F.col("_of")
+        numbered = keyed.withColumn("_number", number)
+        heads = numbered.join(repeated, same, "left_semi").groupBy(F.col(key).alias("_of")).agg(F.min("_number").alias("_head"))
+        known = numbered.join(written(heads, "heads"), same, "left")
+        single = known.where(F.col("_of").isNull()).select(*rows.columns)
+        near = known.where(F.col("_number") == F.col("_head")).select(*rows.columns)
+        unique = single.unionByName(settle(near, key, full_order, last=False))
     if existing is None:
         return unique
     return unique.join(existing.select(key), key, "left_anti").select(*rows.columns)

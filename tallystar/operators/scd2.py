@@ -112,23 +112,26 @@ def scd2_history(events: DataFrame, max_rows: int = MAX_ROWS_PER_GROUP) -> DataF
     """Every attribute change opens a version, whatever the batch cuts.
 
     Keys have second precision: of the states of one user in one second the last
-    counts.  That is an aggregation, so a crowded second is combined before the shuffle.
+    counts.  Where no user has more than ``max_rows`` events, one sort by user and time answers all; else that last state is
+    an aggregation, so that a crowded second is combined before the shuffle, and hot users are cut into slices.
     """
-    second = truncate_to_second(F.col("event_ts")).alias("event_ts")
-    last = F.max_by(F.struct(*TRACKED), F.struct("event_ts", "event_id")).alias("_last")
-    rows = (
-        events.where(F.col("user_id").isNotNull() & F.col("event_ts").isNotNull())
-        .groupBy("user_id", second)
-        .agg(last)
-        .select("user_id", "event_ts", "_last.*")
-    )
-    sliced, hot = add_slices(rows, "user_id", "event_ts", max_rows)
-    attributes = F.struct(*TRACKED)
-    steps = with_previous(sliced, "user_id", attributes, ("event_ts",), hot)
-    changes = steps.withColumn("_now", attributes).where(
-        F.col("_previous").isNull() | _changed("_previous", "_now")
-    )
-    closed = with_next(changes, "user_id", F.struct("event_ts"), ("event_ts",), hot)
+    known = events.where(F.col("user_id").isNotNull() & F.col("event_ts").isNotNull())
+    second, attributes = truncate_to_second(F.col("event_ts")), F.struct(*TRACKED)
+    changed = F.col("_previous").isNull() | _changed("_previous", "_now")
+    if known.groupBy("user_id").count().where(F.col("count") > max_rows).isEmpty():
+        turn = Window.partitionBy("user_id").orderBy("event_ts", "event_id")
+        rows = known.select("user_id", "event_ts", "event_id", *TRACKED, second.alias("_second"))
+        rows = rows.withColumn("_then", F.lead("_second").over(turn)).where("_then IS NULL OR _then <> _second")
+        changes = rows.withColumns({"_previous": F.lag(attributes).over(turn), "_now": attributes}).where(changed)
+        closed = changes.withColumn("_next", F.lead(F.struct(F.col("_second").alias("event_ts"))).over(turn))
+        closed = closed.withColumn("event_ts", F.col("_second"))
+    else:
+        last = F.max_by(attributes, F.struct("event_ts", "event_id")).alias("_last")
+        rows = known.groupBy("user_id", second.alias("event_ts")).agg(last).select("user_id", "event_ts", "_last.*")
+        sliced, hot = add_slices(rows, "user_id", "event_ts", max_rows)
+        steps = with_previous(sliced, "user_id", attributes, ("event_ts",), hot)
+        changes = steps.withColumn("_now", attributes).where(changed)
+        closed = with_next(changes, "user_id", F.struct("event_ts"), ("event_ts",), hot)
     end = F.coalesce("_next.event_ts", as_wall_clock(END_OF_TIME))
     return closed.select(
         surrogate_key(F.col("user_id"), F.col("event_ts")).alias("user_sk"),
@@ -154,6 +157,7 @@ def scd2_splice(versions: DataFrame, held: DataFrame, batch: DataFrame, **histor
     begins = batch.groupBy(F.col("user_id").alias("_user")).agg(
         truncate_to_second(F.min("event_ts")).alias("_from")
     )
+    begins = written(begins, "begins")
     sided = versions.join(begins, F.col("user_id") == F.col("_user"), "left")
     kept = sided.where(F.col("_from").isNull() | (F.col("effective_to") < F.col("_from")))
     open_ = sided.where((F.col("effective_from") < F.col("_from")) & (F.col("effective_to") >= F.col("_from")))

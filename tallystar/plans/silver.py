@@ -66,15 +66,17 @@ def _save_mark(warehouse: Warehouse, pipeline: str, upto: datetime, number: int)
     marks.replace(dim_upsert(marks.read(), mark, "pipeline_name"))
 
 
-def _late(batch: DataFrame, mark: datetime, held: DataFrame) -> DataFrame:
-    """What a run with lateness loads: events the fact does not hold, once each.
+def _late(batch: DataFrame, mark: datetime, held: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What a run with lateness loads: events the fact does not hold, once each; and the kept rows that this reads, to be
+    let go of at the end.
 
     Without an id nothing tells a late event from a loaded one: those count from
     the mark on, as in any other run.
     """
+    fresh = batch.join(held.select("event_id"), "event_id", "left_anti").select(*batch.columns).persist()
     has_id = F.col("event_id").isNotNull()
-    plain = batch.where(~has_id & (F.col("event_ts") > as_wall_clock(mark)))
-    return dedupe_by_key(batch.where(has_id), "event_id", held).unionByName(plain)
+    plain = fresh.where(~has_id & (F.col("event_ts") > as_wall_clock(mark)))
+    return dedupe_by_key(fresh.where(has_id), "event_id").unionByName(plain), fresh
 
 
 def _declared(warehouse: Warehouse, batch: DataFrame, run_id: str) -> None:
@@ -115,7 +117,7 @@ def silver_run(
     batch = incremental_load(warehouse.raw.read(prunable=True, since=oldest), mark, lateness)
     if lateness is not None:
         held = warehouse.fact.read(prunable=True, without_run=run_id, since=oldest)
-        batch = _late(batch, mark, not_before(held, as_wall_clock(oldest))).persist()
+        batch, fresh = _late(batch, mark, not_before(held, as_wall_clock(oldest)))
     heads, row_count, upto = last_rows(batch, ORGANISATION)
     heads = heads.persist()
     try:
@@ -144,7 +146,7 @@ def silver_run(
     finally:
         heads.unpersist()
         if lateness is not None:
-            batch.unpersist()
+            fresh.unpersist()
     # RAW holds doubles, so no row can be refused by the fact's cast here; text
     # sources go through facts.fact_errors.
     _save_mark(warehouse, LIVE_STREAM, max(upto, mark), number)
@@ -210,21 +212,23 @@ def user_history_run(
     batch = incremental_load_14col(raw, as_wall_clock(oldest))
     if lateness is not None:
         held = warehouse.user_events.read(prunable=True, without_run=run_id, since=oldest)
-        batch = _late(batch, mark, not_before(held, as_wall_clock(oldest)))
-    batch = batch.persist()
+        batch, kept = _late(batch, mark, not_before(held, as_wall_clock(oldest)))
+    else:
+        kept = batch.persist()
     try:
-        bounds = batch.agg(
-            F.count("*").alias("events"), F.max("event_ts").alias("upto"), F.min("event_ts").alias("begin")
-        ).first()
-        if not bounds["events"]:
+        sums = warehouse.user_versions.summed(
+            batch, F.count("*").alias("events"), F.max("event_ts").alias("upto"), F.min("event_ts").alias("begin")
+        )
+        if not sums:
             return {}
+        events, upto, begin = sum(r["events"] for r in sums), max(r["upto"] for r in sums), min(r["begin"] for r in sums)
         # Events that other runs have loaded, from the batch's first one on.
-        held = warehouse.user_events.read(without_run=run_id, since=bounds["begin"])
-        touched = warehouse.user_versions.touched(batch.select("user_id"))
+        held = warehouse.user_events.read(without_run=run_id, since=begin)
+        touched = warehouse.user_versions.of(sums)
         versions = warehouse.user_versions.read(touched, before_run=run_id)
         warehouse.user_versions.replace(scd2.scd2_splice(versions, held, batch), touched, run_id)
         warehouse.user_events.write_run(batch, run_id)
     finally:
-        batch.unpersist()
-    _save_mark(warehouse, USER_HISTORY, max(bounds["upto"], mark), number)
-    return {"events": bounds["events"], "buckets": len(touched)}
+        kept.unpersist()
+    _save_mark(warehouse, USER_HISTORY, max(upto, mark), number)
+    return {"events": events, "buckets": len(touched)}

@@ -262,3 +262,12 @@ def test_a_hundred_thousand_overlapping_versions_make_no_pairs(spark):
     for r in got[::997]:
         n = min(int(r.event_id[1:]), 59_999)
         assert r.user_sk == max(f"sk{k}" for k in (n, n + 60_000) if k < 100_000)
+
+
+def test_history_of_ordinary_users_takes_one_shuffle(spark, skewed):
+    plan = scd2.scd2_history(skewed, max_rows=10_000)
+    plan.collect()
+    final = plan._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in final
+    sliced = scd2.scd2_history(skewed, max_rows=50)
+    assert rows_of(plan, *plan.columns) == rows_of(sliced, *plan.columns)
