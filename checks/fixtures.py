@@ -74,10 +74,10 @@ def two_batches(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     return events.where(F.col("event_ts") <= cut), events.where(F.col("event_ts") > cut)
 
 
-def messages(spark: SparkSession, sf_dir: str, bad_times: bool = False) -> DataFrame:
+def messages(spark: SparkSession, sf_dir: str, bad_times: bool = False, timed: bool = False) -> DataFrame:
     """One JSON payload per event; some are broken on purpose.
 
-    ``bad_times`` also gives every 89th event a timestamp that is none.
+    ``bad_times`` also gives every 89th event a timestamp that is none.  ``timed`` adds the event's time, to cut batches by.
     """
     from tallystar.schemas import EVENT_TEXT
 
@@ -99,4 +99,4 @@ def messages(spark: SparkSession, sf_dir: str, bad_times: bool = False) -> DataF
         .when(F.col("i") % 131 == 0, F.lit(None))
         .otherwise(F.to_json(F.struct(*fields)))
     )
-    return rows.select("i", value.alias("value"))
+    return rows.select("i", value.alias("value"), *(["event_ts"] if timed else []))

@@ -118,13 +118,10 @@ def raw_append(spark, sf):
 @query
 def raw_append_idempotent(spark, sf):
     warehouse = Warehouse(spark, files.shared_dir(spark, "warehouse"))
-    first, second = fixtures.two_batches(
-        fixtures.numbered(spark, sf).select("event_id", "event_ts", "i")
-    )
-    payloads = fixtures.messages(spark, sf)
+    first, second = fixtures.two_batches(fixtures.messages(spark, sf, timed=True))
     writer = RawIngest(warehouse, source="replay", ingested_at=RUN_TS)
     for batch_id, part in ((0, first), (1, second), (1, second), (0, first)):
-        writer(payloads.join(part.select("i"), "i", "left_semi").select("value"), batch_id)
+        writer(part.select("value"), batch_id)
     return warehouse.raw.read(prunable=True).select(*schemas.RAW.names, text("event_date"))
 
 

@@ -106,6 +106,12 @@ def classify(messages: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+def outcome(messages: DataFrame, value: str = "value") -> DataFrame:
+    """``classify`` with what its outputs need, to be kept: the text of a decoded payload is not held beside its fields."""
+    refused = F.when(F.col("status") == QUARANTINE, F.col(value).cast("string")).alias(value)
+    return classify(messages, value).select(refused, "data", "reason", "_event_ts", "status")
+
+
 def raw_rows(classified: DataFrame, ingested_at=None) -> DataFrame:
     """Accepted messages as RAW rows."""
     measures = {"watch_time", "lat", "lon"}

@@ -60,7 +60,7 @@ class RawIngest:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> dict[str, int]:
         source = self.source or run_source(batch)
-        kept = decode.classify(batch, self.value).persist(StorageLevel.MEMORY_AND_DISK)
+        kept = decode.outcome(batch, self.value).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             counts = decode.batch_counts(kept).first().asDict()
             if not any(counts.values()):

@@ -188,3 +188,18 @@ def test_trigger_interval(spark, root):
     assert warehouse.raw.read().select(F.max("event_ts")).first()[0] == at(
         "2025-01-01 00:00:01"
     ) + timedelta(0)
+
+
+def test_replayed_batches_are_cut_without_a_join_and_kept_once(spark, sf):
+    from checks import fixtures
+    from tallystar.operators import decode
+
+    whole = fixtures.messages(spark, sf)
+    parts = fixtures.two_batches(fixtures.messages(spark, sf, timed=True))
+    assert sum(p.count() for p in parts) == whole.count()
+    for part in parts:
+        kept = decode.outcome(part.select("value"))
+        plan = kept._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan
+        assert kept.where("status = 'ok' AND value IS NOT NULL").isEmpty()
+        assert not kept.where("status = 'quarantine' AND value IS NOT NULL").isEmpty()
