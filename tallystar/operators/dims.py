@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallystar import schemas
-from tallystar.operators.rank import EVENT_ORDER, first_by_key, latest_by_key, order_number, written
+from tallystar.operators.rank import BEFORE_ALL, first_by_key, latest_by_key, written
 
 
 @dataclass(frozen=True)
@@ -71,24 +72,22 @@ def dim_upsert(existing: DataFrame, new: DataFrame, key: str | Sequence[str]) ->
 
 
 def last_rows(
-    events: DataFrame, dimensions: Sequence[Dimension] = ORGANISATION
+    events: DataFrame, dimensions: Sequence[Dimension] = ORGANISATION, first: Sequence[str] = ()
 ) -> tuple[DataFrame, int, datetime | None]:
     """The events among which the last one of every key of every dimension is: ``Dimension.latest`` over them
-    equals ``latest`` over all events.  And how many events there are, up to when.
+    equals ``latest`` over all events.  And how many events there are, up to when.  The first events of the keys ``first``
+    are among them too, with a time and without.
 
-    One narrow hash aggregation finds the number of each key's last event in the order, for all dimensions at once, and one join by that
-    number alone reads the wide rows.
+    One narrow hash aggregation finds the times of all keys together; of its few rows come those of each key, and one join by
+    time alone reads the wide rows.
     """
-    number, _ = order_number(events, EVENT_ORDER)
-    keys = [F.struct(F.lit(d.table).alias("dim"), F.col(d.key).alias("key")) for d in dimensions]
-    every = F.struct(F.lit(None).cast("string").alias("dim"), F.lit(None).cast("string").alias("key"))
-    heads = (
-        events.select("event_ts", number.alias("_number"), F.explode(F.array(*keys, every)).alias("c"))
-        .groupBy("c.dim", "c.key")
-        .agg(F.max("_number").alias("_head"), F.count("*").alias("_n"), F.max("event_ts").alias("_upto"))
-    )
-    heads = written(heads, "heads")
-    total = heads.where(F.col("dim").isNull()).select("_n", "_upto").first()
-    heads = heads.where(F.col("key").isNotNull()).select("_head").distinct()
-    rows = events.join(heads, number == F.col("_head"), "left_semi")
-    return rows, total["_n"] if total else 0, total["_upto"] if total else None
+    at = F.coalesce("event_ts", F.lit(BEFORE_ALL).cast("timestamp_ntz"))
+    lasting = [d.key for d in dimensions]
+    keys = list(dict.fromkeys([*lasting, *first]))
+    ends = {"_last": F.max(at), "_first": F.min(at), "_begin": F.min("event_ts"), "_upto": F.max("event_ts")}
+    together = written(events.groupBy(*keys).agg(F.count("*").alias("_n"), *[c.alias(n) for n, c in ends.items()]), "heads")
+    total = together.agg(F.sum("_n"), F.max("_upto")).first()
+    wanted = [(k, F.max("_last")) for k in lasting] + [(k, F.min(c)) for k in first for c in ("_first", "_begin")]
+    heads = [together.where(F.col(k).isNotNull()).groupBy(k).agg(c.alias("_head")).select("_head") for k, c in wanted]
+    heads = written(reduce(DataFrame.unionByName, heads).where(F.col("_head").isNotNull()).distinct(), "times")
+    return events.join(heads, at == F.col("_head"), "left_semi"), total[0] or 0, total[1]

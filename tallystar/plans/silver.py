@@ -27,6 +27,8 @@ from tallystar.sources.rows import literal_rows, one_row
 from tallystar.sources.tables import not_before
 
 EXPORTED = tuple(d.table for d in ORGANISATION)
+# Keys whose first events the declared tables hold.
+FIRST_KEYS = ("employee_id", "project_code")
 
 
 def _begin(warehouse: Warehouse, pipeline: str) -> tuple[datetime, int, str]:
@@ -79,13 +81,13 @@ def _late(batch: DataFrame, mark: datetime, held: DataFrame) -> tuple[DataFrame,
     return dedupe_by_key(fresh.where(has_id), "event_id").unionByName(plain), fresh
 
 
-def _declared(warehouse: Warehouse, batch: DataFrame, run_id: str) -> None:
+def _declared(warehouse: Warehouse, batch: DataFrame, heads: DataFrame, run_id: str) -> None:
     """Employees with the names above them, keyed by their first event; projects by theirs; and facts with the employee's
-    key.  First events are minima of what is held and the batch, so a retry changes nothing."""
+    key.  First events are minima of what is held and the batch, whose own ones are among ``heads``, so a retry changes nothing."""
     held = warehouse.employee_seen
-    held.replace(facts.earliest(held.read(), facts.first_seen(batch, "employee_id"), "employee_id", "effective_from"))
+    held.replace(facts.earliest(held.read(), facts.first_seen(heads, "employee_id"), "employee_id", "effective_from"))
     projects = warehouse.project_seen
-    projects.replace(facts.earliest(projects.read(), facts.project_first_seen(batch), "project_code", "created_at"))
+    projects.replace(facts.earliest(projects.read(), facts.project_first_seen(heads), "project_code", "created_at"))
     names = ("dim_employee", "dim_manager", "dim_branch", "dim_company")
     wide = facts.dim_employee_wide(*[warehouse.dims[n].read() for n in names], held.read())
     # Seeded employees have no event yet, and so no key.
@@ -118,7 +120,7 @@ def silver_run(
     if lateness is not None:
         held = warehouse.fact.read(prunable=True, without_run=run_id, since=oldest)
         batch, fresh = _late(batch, mark, not_before(held, as_wall_clock(oldest)))
-    heads, row_count, upto = last_rows(batch, ORGANISATION)
+    heads, row_count, upto = last_rows(batch, ORGANISATION, FIRST_KEYS if declared else ())
     heads = heads.persist()
     try:
         if not row_count:
@@ -142,7 +144,7 @@ def silver_run(
         fact = facts.fact_project(batch, run_ts).observe(written, F.count(F.lit(1)).alias("rows"))
         warehouse.fact.write_run(fact, run_id)
         if declared:
-            _declared(warehouse, batch, run_id)
+            _declared(warehouse, batch, heads, run_id)
     finally:
         heads.unpersist()
         if lateness is not None:

@@ -163,3 +163,15 @@ def test_dedupe_first_wins_and_null_key_is_refused(spark):
     held = raw.where("event_id = '2'")
     unique = quality.dedupe_by_key(raw, "event_id", held)
     assert rows_of(unique, "event_id", "username") == [("", "ann"), ("1", "early")]
+
+
+def test_first_events_are_among_the_last_ones_if_asked(spark, sf):
+    from checks import fixtures
+
+    raw = fixtures.raw(spark, sf)
+    heads, count, _ = last_rows(raw, ORGANISATION, ("employee_id", "project_code"))
+    assert count == raw.count() and heads.count() < raw.count() / 2
+    for first in (facts.project_first_seen, lambda rows: facts.first_seen(rows, "employee_id")):
+        assert rows_of(first(heads), *first(raw).columns) == rows_of(first(raw), *first(raw).columns)
+    for d in ORGANISATION:
+        assert rows_of(d.latest(heads), *d.schema.names) == rows_of(d.latest(raw), *d.schema.names)
