@@ -30,6 +30,7 @@ from tallystar.operators import (
     seeds,
     watermark,
 )
+from tallystar.operators.rank import written
 from tallystar.plans import silver
 from tallystar.plans.silver import silver_run
 from tallystar.plans.warehouse import Warehouse, bootstrap
@@ -208,7 +209,7 @@ def incremental_load_14col(spark, sf):
 
 def _exported(spark, sf) -> tuple[str, dict]:
     raw = fixtures.raw(spark, sf)
-    tables = organisation(raw)
+    tables = organisation(written(dims.last_rows(raw)[0], "heads"))
     tables["fact_user_activity"] = facts.fact_project(raw, RUN_TS)
     tables["dim_nothing"] = raw.where("event_id IS NULL").select("event_id")
     directory = files.shared_dir(spark, "export")

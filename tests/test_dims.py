@@ -175,3 +175,11 @@ def test_first_events_are_among_the_last_ones_if_asked(spark, sf):
         assert rows_of(first(heads), *first(raw).columns) == rows_of(first(raw), *first(raw).columns)
     for d in ORGANISATION:
         assert rows_of(d.latest(heads), *d.schema.names) == rows_of(d.latest(raw), *d.schema.names)
+
+
+def test_exported_dimensions_do_not_read_the_events_again(spark, sf):
+    from checks.queries import _exported
+
+    _, tables = _exported(spark, sf)
+    for d in ORGANISATION:
+        assert not [f for f in tables[d.table].inputFiles() if "events.parquet" in f]
